@@ -25,7 +25,11 @@ TEXT_FIELDS = {
     "created": "createdAt",
     "updated": "updatedAt",
 }
-LIST_FIELDS = ("token_list", "price_list")
+
+# Kept as text, so an array or object in their place must become NULL. The other fields
+# are cast, which does the same, or are lists themselves.
+NAME_FIELDS = ("market_id", "condition_id", "slug", "uma_resolution_status")
+PROSE_FIELDS = ("question",)
 
 EVENTS_FIELD = "events"
 EVENT_REFS = "array<struct<id: string, slug: string>>"
@@ -46,15 +50,29 @@ def first_event(events: Column) -> Column:
     return F.get(F.from_json(events, EVENT_REFS), F.lit(0))
 
 
-def scalar(text: Column) -> Column:
-    """NULL when the text is really a JSON array or object, else the text itself."""
-    container = F.substring(text, 1, 1).isin("[", "{") & F.try_parse_json(text).isNotNull()
-    return F.when(~F.coalesce(container, F.lit(False)), text)
+def opens_container(text: Column) -> Column:
+    return F.startswith(text, F.lit("[")) | F.startswith(text, F.lit("{"))
+
+
+def name(text: Column) -> Column:
+    """An identifier-like scalar; NULL when the text is a JSON array or object."""
+    return F.when(~opens_container(text), text)
+
+
+def prose(text: Column) -> Column:
+    """Free text, which may well begin with a bracket: NULL only if it parses as JSON."""
+    return F.when(~opens_container(text) | F.try_parse_json(text).isNull(), text)
+
+
+def scalar_fields() -> dict[str, Column]:
+    """The extracted text fields by output name, scalars guarded."""
+    guard = {**dict.fromkeys(NAME_FIELDS, name), **dict.fromkeys(PROSE_FIELDS, prose)}
+    return {f: guard.get(f, lambda text: text)(F.col(f)) for f in TEXT_FIELDS}
 
 
 def json_scalar(payload: Column, path: str) -> Column:
     """One scalar by path. For a single field; `fields` reads many in one pass."""
-    return scalar(F.get_json_object(payload, path))
+    return prose(F.get_json_object(payload, path))
 
 
 def string_list(text: Column) -> Column:

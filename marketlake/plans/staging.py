@@ -59,14 +59,10 @@ def parse_markets(raw: DataFrame) -> DataFrame:
         F.xxhash64("payload").alias("payload_hash"),
     )
     event = payload.first_event(F.col(payload.EVENTS_FIELD))
-    columns = {
-        name: F.col(name) if name in payload.LIST_FIELDS else payload.scalar(F.col(name))
-        for name in payload.TEXT_FIELDS
-    }
     return text.select(
-        *[value.alias(name) for name, value in columns.items()],
-        payload.scalar(event["id"]).alias("event_id"),
-        payload.scalar(event["slug"]).alias("event_slug"),
+        *[value.alias(field) for field, value in payload.scalar_fields().items()],
+        payload.name(event["id"]).alias("event_id"),
+        payload.name(event["slug"]).alias("event_slug"),
         "ingested_at",
         "run_id",
         "payload_hash",

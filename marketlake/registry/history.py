@@ -76,20 +76,7 @@ def markets_scd2_incremental(x: Inputs) -> DataFrame:
 BUILDS = [datetime(year, 1, 1) for year in range(1993, 2026)]
 
 
-@query(
-    "markets_scd2_at_builds",
-    """with landed as (
-         select * from market_log where updated_at is not null
-         qualify row_number() over (partition by market_id, date_part('year', ingested_at)
-           order by ingested_at desc, run_id desc) = 1),
-       marked as (
-         select *, max(updated_at) over (partition by market_id order by ingested_at, run_id
-           rows between unbounded preceding and 1 preceding) as seen
-         from landed where ingested_at <= timestamp '2025-01-01')
-       select market_id, volume_usd, is_closed, updated_at as valid_from,
-         lead(updated_at) over (partition by market_id order by updated_at) as valid_to
-       from marked where seen is null or updated_at > seen""",
-)
+@query("markets_scd2_at_builds", "select * from history_at_builds")
 def markets_scd2_at_builds(x: Inputs) -> DataFrame:
     versions = facts.markets_history(stored(x.market_log), builds=BUILDS)
     return emit(versions.select("market_id", "volume_usd", "is_closed", "valid_from", "valid_to"))

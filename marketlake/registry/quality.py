@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.prices import out_of_range
 from marketlake.operators import quality
 from marketlake.plans import checks, facts, marts
+from marketlake.plans.staging import price_points
 from marketlake.registry.core import Inputs, emit, query
 from marketlake.registry.fixtures import NOW
 from marketlake.registry.history import _unordered_history
@@ -28,24 +29,23 @@ DUCK_TABLES = {
 
 
 def _tables(x: Inputs, *names: str) -> dict[str, DataFrame]:
-    """The checked tables; the volume mart comes from the restating log, and the
+    """The named tables, or all. The volume mart comes from the restating log, and the
     dimension misses some markets, so that warnings have something to find."""
     markets, points = stored(x.stg_markets), stored(x.stg_prices)
     dims = facts.dim_markets(markets)
     resolutions = facts.fct_resolutions(markets)
-    tables = {
-        "stg_markets": markets,
-        "stg_prices": points,
-        "dim_markets": dims.filter(KEPT_MARKETS),
-        "fct_prices": points,
-        "fct_resolutions": resolutions,
-        "mart_calibration": marts.mart_calibration(resolutions, points),
-        "mart_price_dynamics": marts.mart_price_dynamics(resolutions, points),
-        "mart_event_coherence": marts.mart_event_coherence(dims, points),
-        "mart_daily_volume": marts.mart_daily_volume(_unordered_history(x)),
+    recipes = {
+        "stg_markets": lambda: markets,
+        "stg_prices": lambda: points,
+        "dim_markets": lambda: dims.filter(KEPT_MARKETS),
+        "fct_prices": lambda: points,
+        "fct_resolutions": lambda: resolutions,
+        "mart_calibration": lambda: stored(marts.mart_calibration(resolutions, points)),
+        "mart_price_dynamics": lambda: stored(marts.mart_price_dynamics(resolutions, points)),
+        "mart_event_coherence": lambda: stored(marts.mart_event_coherence(dims, points)),
+        "mart_daily_volume": lambda: stored(marts.mart_daily_volume(_unordered_history(x))),
     }
-    return {n: stored(t) if n.startswith("mart") else t for n, t in tables.items()
-            if not names or n in names}
+    return {name: recipes[name]() for name in names or recipes}
 
 
 def _union(counts: list[DataFrame]) -> DataFrame:
@@ -102,8 +102,6 @@ ALL = " union all "
     ),
 )
 def dq_unique(x: Inputs) -> DataFrame:
-    from marketlake.plans.staging import price_points
-
     raw = quality.duplicates(price_points(x.raw_prices), ["price_id"])
     return _union(
         checks.unique_counts(_tables(x), width=1)

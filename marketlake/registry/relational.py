@@ -349,14 +349,13 @@ def report_dataset(x: Inputs) -> DataFrame:
 
 @query(
     "report_tiles",
-    """with tiles as (
+    """select label, n, case when n >= 1e6 then printf('%.1fM', n / 1e6)
+         when n >= 1e3 then printf('%.1fK', n / 1e3) else cast(n as varchar) end as value
+       from (
          select 'Markets cataloged' as label, count(*) as n from dim_markets
          union all select 'Resolved & scored', count(*) from fct_resolutions
          union all select 'Price points', count(*) from stg_prices
-         union all select 'Calibration sample', cast(sum(n_markets) as bigint) from calibration)
-       select label, n, case when n >= 1e6 then printf('%.1fM', n / 1e6)
-         when n >= 1e3 then printf('%.1fK', n / 1e3) else cast(n as varchar) end as value
-       from tiles""",
+         union all select 'Calibration sample', cast(sum(n_markets) as bigint) from calibration)""",
 )
 def report_tiles(x: Inputs) -> DataFrame:
     stats = report.warehouse_stats(facts.dim_markets(x.stg_markets), x.resolutions, x.stg_prices)
