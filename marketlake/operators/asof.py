@@ -20,7 +20,7 @@ def asof_join(
     right_ts: str,
     tolerance_hours: int,
     values: list[str],
-    right_day: str,
+    right_day: str | None,
 ) -> DataFrame:
     """Inner as-of join over the window (left_ts - tolerance, left_ts].
 
@@ -32,18 +32,26 @@ def asof_join(
     (key, day), so a row meets at most those days of its key's history, one key's
     history spreads over all tasks, and the day predicate prunes partitions. The best
     row is an aggregate with map-side partials, not a sort.
+
+    With `right_day` None the join is on the key alone: for a right table bucketed by
+    the key, which then is read in place instead of shuffled.
     """
     low = F.col(left_ts) - F.make_dt_interval(hours=F.lit(tolerance_hours))
-    bins = day_bins(left, low, F.col(left_ts), "_bin")
-    keep = {name: f"_r_{name}" for name in {*on.values(), *values, right_ts, right_day}}
+    wanted = {*on.values(), *values, right_ts, *([right_day] if right_day else [])}
+    keep = {name: f"_r_{name}" for name in wanted}
     probe = right.select(*[F.col(name).alias(alias) for name, alias in sorted(keep.items())])
 
     ts = F.col(keep[right_ts])
-    match = (F.col("_bin") == F.col(keep[right_day])) & (ts <= F.col(left_ts)) & (ts > low)
+    match = (ts <= F.col(left_ts)) & (ts > low)
     for mine, theirs in on.items():
         match = match & (F.col(mine) == F.col(keep[theirs]))
+    targets = left
+    if right_day is not None:
+        targets = day_bins(left, low, F.col(left_ts), "_bin")
+        match = match & (F.col("_bin") == F.col(keep[right_day]))
+    # The long side streams through the join; only a key's few targets are buffered.
     return (
-        bins.join(probe, match)
+        probe.join(targets, match)
         .groupBy(*left.columns)
         .agg(
             F.max(ts).alias(right_ts),

@@ -32,11 +32,18 @@ def out_of_bounds(column: str, low=None, high=None) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def orphans(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row."""
-    return child.filter(F.col(column).isNotNull()).join(
-        parent.select(column), column, "left_anti"
+def orphan_counts(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
+    """Child keys without a parent row, and their row counts; NULL keys aside.
+
+    The child is counted per key first, so the anti join sees keys, not rows: a key with
+    a third of all rows is one row there.
+    """
+    counted = (
+        child.filter(F.col(column).isNotNull())
+        .groupBy(column)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    return counted.join(parent.select(column), column, "left_anti")
 
 
 @dataclass(frozen=True)
@@ -66,9 +73,12 @@ def row_check_counts(df: DataFrame, checks: list[RowCheck]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def count_check(name: str, failing_rows: DataFrame, severity: str = "error") -> DataFrame:
-    """The same shape for a check that needs its own shuffle."""
-    return failing_rows.agg(F.count(F.lit(1)).alias("failures")).select(
+def count_check(
+    name: str, failing: DataFrame, severity: str = "error", n: Column | None = None
+) -> DataFrame:
+    """The same shape for a check that needs its own shuffle: failing rows, or the sum of `n`."""
+    total = F.count(F.lit(1)) if n is None else F.coalesce(F.sum(n), F.lit(0).cast("bigint"))
+    return failing.agg(total.alias("failures")).select(
         F.lit(name).alias("name"), F.lit(severity).alias("severity"), "failures"
     )
 

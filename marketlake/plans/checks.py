@@ -88,8 +88,8 @@ def value_counts(tables: dict[str, DataFrame]) -> list[DataFrame]:
 
 def relationship_counts(tables: dict[str, DataFrame]) -> list[DataFrame]:
     """Prices whose market is not catalogued. A warning: both sweeps run on their own."""
-    lost = q.orphans(tables["fct_prices"], tables["dim_markets"], "market_id")
-    return [q.count_check("relationship:fct_prices.market_id", lost, "warn")]
+    lost = q.orphan_counts(tables["fct_prices"], tables["dim_markets"], "market_id")
+    return [q.count_check("relationship:fct_prices.market_id", lost, "warn", F.col("n_rows"))]
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:

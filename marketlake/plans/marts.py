@@ -29,8 +29,13 @@ def horizon_targets(resolutions: DataFrame) -> DataFrame:
     return with_hours.withColumn("target_ts", target).drop("resolved_at")
 
 
-def price_at_targets(targets: DataFrame, fct_prices: DataFrame) -> DataFrame:
-    """Last known price at or before each target, if recent enough; unmatched ones drop."""
+def price_at_targets(
+    targets: DataFrame, fct_prices: DataFrame, bucketed: bool = False
+) -> DataFrame:
+    """Last known price at or before each target, if recent enough; unmatched ones drop.
+
+    `bucketed` says that `fct_prices` is a table bucketed by token.
+    """
     return asof_join(
         targets,
         fct_prices,
@@ -39,7 +44,7 @@ def price_at_targets(targets: DataFrame, fct_prices: DataFrame) -> DataFrame:
         right_ts="price_ts",
         tolerance_hours=ASOF_TOLERANCE_HOURS,
         values=["price", "fidelity_minutes"],
-        right_day="price_date",
+        right_day=None if bucketed else "price_date",
     )
 
 
@@ -76,21 +81,25 @@ def with_wilson(buckets: DataFrame) -> DataFrame:
     )
 
 
-def mart_calibration(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
+def mart_calibration(
+    resolutions: DataFrame, fct_prices: DataFrame, bucketed: bool = False
+) -> DataFrame:
     """Per (horizon, price decile): how often did it happen? At most 30 rows."""
     targets = horizon_targets(resolutions).drop("volume_usd")
-    priced = price_at_targets(targets, fct_prices)
+    priced = price_at_targets(targets, fct_prices, bucketed)
     return with_wilson(calibration_agg(scored(priced))).orderBy("horizon_hours", "price_bucket")
 
 
 # --- price dynamics --------------------------------------------------------------
 
 
-def prices_before_resolution(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
+def prices_before_resolution(
+    resolutions: DataFrame, fct_prices: DataFrame, bucketed: bool = False
+) -> DataFrame:
     """Every price of a resolved market from 30 days out up to its resolution moment.
 
     Joined on (token, day): a long history is spread by day, and days out of reach are
-    never read.
+    never read. A table `bucketed` by token is joined on the token, in place.
     """
     resolved = resolutions.select(
         "market_id",
@@ -99,11 +108,12 @@ def prices_before_resolution(resolutions: DataFrame, fct_prices: DataFrame) -> D
         "resolved_at",
     )
     first = F.date_sub(F.to_date("resolved_at"), DYNAMICS_DAYS)
+    points = fct_prices.select("token_id", "price_date", "price_ts", "price")
+    in_time = F.col("price_ts") <= F.col("resolved_at")
+    if bucketed:
+        return points.join(resolved, "token_id").filter(in_time & (F.col("price_date") >= first))
     days = day_bins(resolved, first, F.col("resolved_at"), "price_date")
-    return days.join(
-        fct_prices.select("token_id", "price_date", "price_ts", "price"),
-        ["token_id", "price_date"],
-    ).filter(F.col("price_ts") <= F.col("resolved_at"))
+    return points.join(days, ["token_id", "price_date"]).filter(in_time)
 
 
 def daily_before_resolution(joined: DataFrame) -> DataFrame:
@@ -136,9 +146,11 @@ def dynamics_agg(moves: DataFrame) -> DataFrame:
     )
 
 
-def mart_price_dynamics(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
+def mart_price_dynamics(
+    resolutions: DataFrame, fct_prices: DataFrame, bucketed: bool = False
+) -> DataFrame:
     """Error and movement by days before resolution, 0 to 30."""
-    daily = daily_before_resolution(prices_before_resolution(resolutions, fct_prices))
+    daily = daily_before_resolution(prices_before_resolution(resolutions, fct_prices, bucketed))
     return dynamics_agg(with_moves(daily)).orderBy("days_before")
 
 

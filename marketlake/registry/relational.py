@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import prices
 from marketlake.operators import quality
 from marketlake.operators.dedupe import first_by
-from marketlake.plans import facts, marts, planning, report, staging
+from marketlake.plans import facts, marts, planning, report
 from marketlake.registry.core import Inputs, emit, query
-from marketlake.registry.fixtures import NOW
 from marketlake.registry.oracle import r6
-from marketlake.session import stored
 
 CALIBRATION_FLOATS = ("avg_price", "outcome_rate", "wilson_low", "wilson_high", "brier_score")
 CALIBRATION_SQL = f"""select horizon_hours, price_bucket, n_markets,
@@ -64,8 +61,8 @@ KEPT_MARKETS = "cast(market_id as bigint) % 13 <> 0"
 )
 def orphan_prices(x: Inputs) -> DataFrame:
     dims = facts.dim_markets(x.stg_markets).filter(KEPT_MARKETS)
-    lost = quality.orphans(x.stg_prices, dims, "market_id")
-    return lost.groupBy("market_id").agg(F.count(F.lit(1)).alias("n_prices"))
+    lost = quality.orphan_counts(x.stg_prices, dims, "market_id")
+    return lost.withColumnRenamed("n_rows", "n_prices")
 
 
 @query(

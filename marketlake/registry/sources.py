@@ -118,7 +118,9 @@ def load_quarantine(x: Inputs) -> DataFrame:
     "include_events",
     """select false as include_events, 'raw_markets' as table_name, count(*) as n_rows from orders
        union all select true, 'raw_markets', count(*) from orders
-       union all select true, 'raw_events', count(*) from orders""",
+       union all select true, 'raw_events', count(*) from orders
+       union all select false, 'raw_price_history', 0
+       union all select true, 'raw_price_history', 0""",
 )
 def include_events(x: Inputs) -> DataFrame:
     root = shared_dir(x.spark, "landing")

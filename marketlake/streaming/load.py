@@ -32,7 +32,6 @@ def landed_stream(
         spark.readStream.schema(with_corrupt(RAW_TABLES[table]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.*")
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -95,11 +94,9 @@ def load_pending(
     max_files: int | None = None,
     archive_dir: str | None = None,
 ) -> list[str]:
-    """Load every selected table that has landed files; returns the tables loaded."""
-    loaded = []
-    for table in selected_tables(include_events):
-        if not _landed(spark, root, table):
-            continue
+    """Load the pending files of every selected table; returns the tables."""
+    tables = selected_tables(include_events)
+    for table in tables:
         load_table(
             spark,
             root,
@@ -109,22 +106,7 @@ def load_pending(
             max_files=max_files,
             archive_dir=archive_dir,
         )
-        loaded.append(table)
-    return loaded
-
-
-def _landed(spark: SparkSession, root: str, table: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
-            table_path(root, table)
-        )
-        return True
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+    return tables
 
 
 def raw_path(warehouse: str, table: str) -> str:
