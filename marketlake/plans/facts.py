@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,9 +94,16 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], FCT_PRICES)
 
 
-def rebuild_prices(raw: DataFrame, path: str) -> None:
-    """Full refresh of the price fact from the raw rows."""
-    write_price_partitions(best_points(price_points(raw)), path)
+def rebuild_prices(raw: DataFrame, path: str, dates: Sequence[date | str] | None = None) -> None:
+    """Full refresh of the price fact from the raw rows, or of some `dates` only.
+
+    The raw log is the truth, so this also repairs dates a crashed driver left half swapped.
+    """
+    points = price_points(raw)
+    if dates is not None:
+        days = [F.lit(day).cast("date") for day in dates]
+        points = points.filter(F.col("price_date").isin(days))
+    write_price_partitions(best_points(points), path)
 
 
 def merge_prices(spark: SparkSession, path: str, raw_batch: DataFrame) -> None:
