@@ -113,16 +113,13 @@ def merge_prices(spark: SparkSession, path: str, raw_batch: DataFrame) -> None:
     under the same total order as in a full rebuild, so any batch split ends equal to it.
     One writer at a time.
     """
-    batch = best_points(price_points(raw_batch))
+    batch = price_points(raw_batch)
     # One value per calendar day: bounded by the calendar, not by the data.
-    touched = [
-        row.price_date for row in price_points(raw_batch).select("price_date").distinct().collect()
-    ]
+    touched = [row.price_date for row in batch.select("price_date").distinct().collect()]
     if not touched:
         return
     old = read_prices(spark, path).filter(F.col("price_date").isin(touched))
-    merged = best_points(old.unionByName(batch))
-    write_price_partitions(merged, path)
+    write_price_partitions(best_points(old.unionByName(batch)), path)
 
 
 def newer_than_fact(staged: DataFrame, fact: DataFrame) -> DataFrame:

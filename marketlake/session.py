@@ -44,6 +44,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, **extra: str) -> Sp
         .appName("marketlake")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in {**SQL_CONF, **extra}.items():
