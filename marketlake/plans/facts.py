@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from marketlake.functions import prices
 from marketlake.operators import history
-from marketlake.plans.staging import best_points, newest_first, price_points
+from marketlake.plans.staging import POINT_COLUMNS, best_points, newest_first, price_points
 from marketlake.session import stored
 from marketlake.sources.layout import write_price_partitions
 from marketlake.sources.schemas import FCT_PRICES
@@ -102,7 +102,7 @@ def rebuild_prices(raw: DataFrame, path: str, dates: Sequence[date | str] | None
     points = price_points(raw)
     if dates is not None:
         days = [F.lit(day).cast("date") for day in dates]
-        points = points.filter(F.col("price_date").isin(days))
+        points = points.filter(F.to_date("price_ts").isin(days))
     write_price_partitions(best_points(points), path)
 
 
@@ -115,10 +115,12 @@ def merge_prices(spark: SparkSession, path: str, raw_batch: DataFrame) -> None:
     """
     batch = price_points(raw_batch)
     # One value per calendar day: bounded by the calendar, not by the data.
-    touched = [row.price_date for row in batch.select("price_date").distinct().collect()]
+    days = batch.select(F.to_date("price_ts").alias("price_date")).distinct()
+    touched = [row.price_date for row in days.collect()]
     if not touched:
         return
     old = read_prices(spark, path).filter(F.col("price_date").isin(touched))
+    old = old.select(*POINT_COLUMNS)
     write_price_partitions(best_points(old.unionByName(batch)), path)
 
 

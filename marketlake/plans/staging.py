@@ -113,21 +113,30 @@ def latest_markets(log: DataFrame) -> DataFrame:
     return first_by(log, ["market_id"], newest_first()).select(*MARKET_COLUMNS)
 
 
+POINT_COLUMNS = [
+    "token_id",
+    "market_id",
+    "condition_id",
+    "price_ts",
+    "price",
+    "fidelity_minutes",
+    "ingested_at",
+    "run_id",
+]
+
+
 def price_points(raw: DataFrame) -> DataFrame:
-    """Usable raw price rows in staged form, duplicates still in."""
+    """Usable raw price rows with typed time and clamped price, duplicates still in."""
     usable = raw.filter(prices.usable_point(F.col("token_id"), F.col("t"), F.col("p")))
-    ts = prices.epoch_ts(F.col("t"))
     return usable.select(
-        prices.price_key(F.col("token_id"), F.col("t")).alias("price_id"),
         "token_id",
         "market_id",
         "condition_id",
-        ts.alias("price_ts"),
+        prices.epoch_ts(F.col("t")).alias("price_ts"),
         prices.clamp_unit(F.col("p")).alias("price"),
         "fidelity_minutes",
         F.col("_ingested_at").alias("ingested_at"),
         F.col("_run_id").alias("run_id"),
-        F.to_date(ts).alias("price_date"),
     )
 
 
@@ -135,6 +144,7 @@ def best_points(points: DataFrame) -> DataFrame:
     """One row per (token, moment): finest fidelity, then newest landing.
 
     The order is total, so any split of the rows into batches ends in the same winners.
+    Key and date are derived columns: they are added to the winners, not shuffled.
     """
     order = [
         F.asc("fidelity_minutes"),
@@ -144,7 +154,11 @@ def best_points(points: DataFrame) -> DataFrame:
         F.desc("market_id"),
         F.desc("condition_id"),
     ]
-    return first_by(points, ["token_id", "price_ts"], order)
+    winners = first_by(points.select(*POINT_COLUMNS), ["token_id", "price_ts"], order)
+    key = prices.price_key(F.col("token_id"), F.unix_seconds("price_ts"))
+    return winners.select(
+        key.alias("price_id"), *POINT_COLUMNS, F.to_date("price_ts").alias("price_date")
+    )
 
 
 def stg_prices(raw: DataFrame) -> DataFrame:

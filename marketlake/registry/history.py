@@ -33,7 +33,7 @@ def fct_prices_incremental(x: Inputs) -> DataFrame:
 
 @query(
     "late_rows",
-    """select price_id, ingested_at, run_id from price_points
+    """select token_id, price_ts, ingested_at, run_id from price_points
        where cast(substr(run_id, 5) as bigint) % 10 = 0 and ingested_at <= (
          select max(ingested_at) from price_points
          where cast(substr(run_id, 5) as bigint) % 10 <> 0)""",
@@ -41,7 +41,8 @@ def fct_prices_incremental(x: Inputs) -> DataFrame:
 def late_rows(x: Inputs) -> DataFrame:
     late = staging.price_points(x.raw_prices.filter(f"{RUN_NUMBER} % 10 = 0"))
     fact = staging.price_points(x.raw_prices.filter(f"{RUN_NUMBER} % 10 <> 0"))
-    return emit(facts.late_rows(late, fact).select("price_id", "ingested_at", "run_id"))
+    lost = facts.late_rows(late, fact)
+    return emit(lost.select("token_id", "price_ts", "ingested_at", "run_id"))
 
 
 @query("markets_scd2", "select * from history")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.prices import out_of_range
+from marketlake.functions.prices import out_of_range, price_key
 from marketlake.operators import quality
 from marketlake.plans import checks, facts, marts
-from marketlake.plans.staging import price_points
 from marketlake.registry.core import Inputs, emit, query
 from marketlake.registry.fixtures import NOW
 from marketlake.registry.history import _unordered_history
@@ -102,7 +101,8 @@ ALL = " union all "
     ),
 )
 def dq_unique(x: Inputs) -> DataFrame:
-    raw = quality.duplicates(price_points(x.raw_prices), ["price_id"])
+    keys = x.raw_prices.select(price_key(F.col("token_id"), F.col("t")).alias("price_id"))
+    raw = quality.duplicates(keys, ["price_id"])
     return _union(
         checks.unique_counts(_tables(x), width=1)
         + [quality.count_check("unique:raw_price_history.price_id", raw, "warn")]
