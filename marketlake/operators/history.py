@@ -28,20 +28,23 @@ def scd2_from_log(
     key, in `order`; the first landing of an `updated_at` wins. `chunk` is any column
     non-decreasing in `order` (say the ingest day): it cuts a key's log into pieces, so
     that no task ever holds a whole key. `floor` (key, floor) gives a key's newest
-    version so far: only later ones count. The deduplicated log and the versions are each
-    read by two branches: `cut`, such as `session.stored`, computes them once.
+    version so far: only later ones count. The versions are read by two branches: `cut`,
+    such as `session.stored`, computes them once.
     """
     cut = cut or (lambda df: df)
-    rows = log.filter(F.col(updated_at).isNotNull() & F.col(key).isNotNull())
+    present = F.col(updated_at).isNotNull() & F.col(key).isNotNull()
+    rows = log.filter(present).withColumn("_chunk", chunk)
     # Re-lands of an unchanged record collapse before the shuffle.
-    firsts = first_by(rows, [key, updated_at], order).withColumn("_chunk", chunk)
+    firsts = first_by(rows, [key, updated_at], order)
     if floor is not None:
         firsts = (
             firsts.join(floor, key, "left")
             .filter(F.col("floor").isNull() | (F.col(updated_at) > F.col("floor")))
             .drop("floor")
         )
-    seen = running_max_by_chunk(cut(firsts), [key], "_chunk", order, updated_at, "_seen")
+    seen = running_max_by_chunk(
+        firsts, [key], "_chunk", order, updated_at, "_seen", condense=rows
+    )
     versions = (
         seen.filter(F.col("_seen").isNull() | (F.col(updated_at) > F.col("_seen")))
         .withColumn("valid_from", F.col(updated_at))

@@ -64,14 +64,25 @@ def lag_by_chunk(
 
 
 def running_max_by_chunk(
-    df: DataFrame, keys: list[str], chunk: str, order: list[Column], value: str, alias: str
+    df: DataFrame,
+    keys: list[str],
+    chunk: str,
+    order: list[Column],
+    value: str,
+    alias: str,
+    condense: DataFrame | None = None,
 ) -> DataFrame:
-    """Greatest `value` among the strictly earlier rows of the key, in the same two levels."""
+    """Greatest `value` among the strictly earlier rows of the key, in the same two levels.
+
+    `condense` may name a cheaper input with the same maxima so far, such as `df` before
+    its repeated values were removed; by default `df` is read for both levels.
+    """
     earlier_chunks = (
         Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     )
+    source = df if condense is None else condense
     before = _carry_from_chunks(
-        df, keys, chunk, F.max(value), F.max("_s").over(earlier_chunks), "_before"
+        source, keys, chunk, F.max(value), F.max("_s").over(earlier_chunks), "_before"
     )
     inner = (
         Window.partitionBy(*keys, chunk)
