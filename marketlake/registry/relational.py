@@ -226,7 +226,7 @@ def asof_rank(x: Inputs) -> DataFrame:
     priced = marts.price_at_targets(marts.horizon_targets(x.resolutions), x.stg_prices)
     return emit(
         priced.select(
-            "market_id", "horizon_hours", "price_ts", "price", F.lit(1).alias("recency_rank")
+            "market_id", "horizon_hours", "price_ts", "price", F.lit(1).cast("bigint").alias("recency_rank")
         )
     )
 
