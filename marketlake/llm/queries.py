@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import compression, line_dedup, ranking, text_density, token_counts
+from marketlake.llm import (
+    compression,
+    lattice,
+    line_dedup,
+    parity_join,
+    positional_index,
+    quotes,
+    raking,
+    ranking,
+    text_density,
+    token_counts,
+)
 from marketlake.llm.common import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +45,12 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+@query("op1_parity_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return parity_join.jaccard_classes(docs)
+
+
 @query("op2_compression_bands")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,12 +60,89 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_quotation_linking")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query("op4_text_density")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return text_density.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+VOCABULARY = "piece_bpe_32k.model"
+
+
+@query("op5_subword_lattice")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lattice.lattice_scores(
+        docs, fold("doc_id", 7) != 2, public_tokenizers.path(VOCABULARY)
+    )
+    return scored.select(
+        "doc_id", (fold("doc_id", 7) == 2).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
+@query(
+    "op6_positional_index",
+    r"""
+    with doc_words as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from documents
+    ), item_words as (
+        select item_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from benchmark
+    ), item_windows as (
+        select distinct item_id, width, array_to_string(w[s : s + width - 1], ' ') as phrase
+        from (
+            select item_id, w, least(len(w), 10) as width,
+                unnest(range(1, len(w) - least(len(w), 10) + 2)) as s
+            from item_words where len(w) > 0
+        )
+    ), doc_windows as (
+        select doc_id, s, width, array_to_string(w[s : s + width - 1], ' ') as phrase
+        from (
+            select doc_id, w, width, unnest(range(1, len(w) - width + 2)) as s
+            from doc_words, (select distinct width from item_windows) where len(w) >= width
+        )
+    ), found as (
+        select doc_id, s, width, item_id from doc_windows join item_windows using (width, phrase)
+    ), hit as (
+        select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(s, s + width)) as p from found) group by doc_id
+    ), named as (
+        select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+        from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+    )
+    select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit,
+        coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 as contaminated
+    from doc_words left join hit using (doc_id) left join named using (doc_id)
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = positional_index.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op7_raking")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return raking.mix_sources(docs).drop("text")
+
+
 @query("op8_pairwise_ranking")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
