@@ -20,8 +20,17 @@ def clamp_unit(p: Column) -> Column:
     return F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
 
 
+# Seconds between which a price point can lie: 2010 to 2100. Milliseconds and microseconds of the
+# same years are far above; the fact therefore has at most some 33,000 dates.
+EARLIEST, LATEST = 1_262_304_000, 4_102_444_800
+
+
+def plausible_time(t: Column) -> Column:
+    return t.between(EARLIEST, LATEST - 1)
+
+
 def usable_point(token_id: Column, t: Column, p: Column) -> Column:
-    return token_id.isNotNull() & t.isNotNull() & p.isNotNull() & ~F.isnan(p)
+    return token_id.isNotNull() & plausible_time(t) & p.isNotNull() & ~F.isnan(p)
 
 
 def out_of_range(p: Column) -> Column:

@@ -11,7 +11,22 @@ def day_bins(df: DataFrame, first: Column, last: Column, bin_col: str) -> DataFr
     return df.withColumn(bin_col, F.explode(F.sequence(F.to_date(first), F.to_date(last))))
 
 
-def asof_join(
+def reachable_days(
+    left: DataFrame, right: DataFrame, first: Column, last: Column, right_day: str
+) -> DataFrame:
+    """`right` between the earliest and the latest day that any left interval touches.
+
+    Two scalar subqueries over the left side: Spark runs them first and hands the scan plain
+    bounds on its partition column, so days out of reach are not listed, let alone read.
+    """
+    bounds = left.agg(F.min(F.to_date(first)).alias("lo"), F.max(F.to_date(last)).alias("hi"))
+    day = F.col(right_day)
+    return right.filter(
+        (day >= bounds.select("lo").scalar()) & (day <= bounds.select("hi").scalar())
+    )
+
+
+def asof_candidates(
     left: DataFrame,
     right: DataFrame,
     *,
@@ -20,41 +35,44 @@ def asof_join(
     right_ts: str,
     tolerance_hours: int,
     values: list[str],
-    right_day: str | None,
+    right_day: str,
 ) -> DataFrame:
-    """Inner as-of join over the window (left_ts - tolerance, left_ts].
+    """Left rows with every right row in the window (left_ts - tolerance, left_ts].
 
     on: left column -> right column, equal in both.
     right_day: the right side's UTC calendar date of `right_ts` (its partition column).
-    Left rows must be distinct; right rows unique per (key, right_ts).
 
     Each left row is repeated for the few days its window touches and equi-joined on
-    (key, day), so a row meets at most those days of its key's history, one key's
-    history spreads over all tasks, and the day predicate prunes partitions. The best
-    row is an aggregate with map-side partials, not a sort.
-
-    With `right_day` None the join is on the key alone: for a right table bucketed by
-    the key, which then is read in place instead of shuffled.
+    (key, day), so a row meets at most those days of its key's history and one key's
+    history spreads over all tasks.
     """
     low = F.col(left_ts) - F.make_dt_interval(hours=F.lit(tolerance_hours))
-    wanted = {*on.values(), *values, right_ts, *([right_day] if right_day else [])}
-    keep = {name: f"_r_{name}" for name in wanted}
-    probe = right.select(*[F.col(name).alias(alias) for name, alias in sorted(keep.items())])
+    near = reachable_days(left, right, low, F.col(left_ts), right_day)
+    keep = {name: f"_r_{name}" for name in {*on.values(), *values, right_ts, right_day}}
+    probe = near.select(*[F.col(name).alias(alias) for name, alias in sorted(keep.items())])
 
     ts = F.col(keep[right_ts])
-    match = (ts <= F.col(left_ts)) & (ts > low)
+    match = (ts <= F.col(left_ts)) & (ts > low) & (F.col("_bin") == F.col(keep[right_day]))
     for mine, theirs in on.items():
         match = match & (F.col(mine) == F.col(keep[theirs]))
-    targets = left
-    if right_day is not None:
-        targets = day_bins(left, low, F.col(left_ts), "_bin")
-        match = match & (F.col("_bin") == F.col(keep[right_day]))
     # The long side streams through the join; only a key's few targets are buffered.
+    met = probe.join(day_bins(left, low, F.col(left_ts), "_bin"), match)
+    taken = [right_ts, *values]
+    return met.select(*left.columns, *[F.col(keep[name]).alias(name) for name in taken])
+
+
+def asof_join(left: DataFrame, right: DataFrame, **options) -> DataFrame:
+    """Inner as-of join: of `asof_candidates` (same arguments) the latest right row.
+
+    Left rows must be distinct; right rows unique per (key, right_ts). The best row is an
+    aggregate with map-side partials, not a sort.
+    """
+    ts = F.col(options["right_ts"])
     return (
-        probe.join(targets, match)
+        asof_candidates(left, right, **options)
         .groupBy(*left.columns)
         .agg(
-            F.max(ts).alias(right_ts),
-            *[F.max_by(F.col(keep[v]), ts).alias(v) for v in values],
+            F.max(ts).alias(options["right_ts"]),
+            *[F.max_by(F.col(v), ts).alias(v) for v in options["values"]],
         )
     )

@@ -41,6 +41,14 @@ def _carry_from_chunks(
     return condensed.withColumn(alias, carry).select(*keys, chunk, alias)
 
 
+def _join_chunks(rows: DataFrame, found: DataFrame, keys: list[str], chunk: str) -> DataFrame:
+    """`rows` with the carried column of their chunk; a null chunk is a chunk like any other."""
+    names = [*keys, chunk]
+    carried = found.withColumnsRenamed({name: f"_c_{name}" for name in names})
+    same = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in names]
+    return rows.join(carried, same, "left").drop(*[f"_c_{name}" for name in names])
+
+
 def lag_by_chunk(
     df: DataFrame, keys: list[str], chunk: str, order: str, alias: str
 ) -> DataFrame:
@@ -55,9 +63,9 @@ def lag_by_chunk(
         df, keys, chunk, F.max(order), F.lag("_s").over(by_chunk), "_before"
     )
     inner = Window.partitionBy(*keys, chunk).orderBy(order)
+    lagged = df.withColumn("_lag", F.lag(order).over(inner))
     return (
-        df.withColumn("_lag", F.lag(order).over(inner))
-        .join(before, [*keys, chunk], "left")
+        _join_chunks(lagged, before, keys, chunk)
         .withColumn(alias, F.coalesce("_lag", "_before"))
         .drop("_lag", "_before")
     )
@@ -89,9 +97,9 @@ def running_max_by_chunk(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    within = df.withColumn("_within", F.max(value).over(inner))
     return (
-        df.withColumn("_within", F.max(value).over(inner))
-        .join(before, [*keys, chunk], "left")
+        _join_chunks(within, before, keys, chunk)
         .withColumn(alias, F.greatest("_within", "_before"))
         .drop("_within", "_before")
     )
@@ -106,9 +114,9 @@ def lead_by_chunk(
         df, keys, chunk, F.min(order), F.lead("_s").over(by_chunk), "_after"
     )
     inner = Window.partitionBy(*keys, chunk).orderBy(order)
+    led = df.withColumn("_lead", F.lead(order).over(inner))
     return (
-        df.withColumn("_lead", F.lead(order).over(inner))
-        .join(after, [*keys, chunk], "left")
+        _join_chunks(led, after, keys, chunk)
         .withColumn(alias, F.coalesce("_lead", "_after"))
         .drop("_lead", "_after")
     )

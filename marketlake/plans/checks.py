@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.prices import plausible_time
 from marketlake.operators import quality as q
 
 # Fixed service levels per source, in hours: (warn after, error after).
@@ -122,3 +123,23 @@ def parse_quality(log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("yes_token_id").isNull()).alias("n_without_token"),
     )
+
+
+def unusable_points(raw_prices: DataFrame) -> DataFrame:
+    """Raw price rows that staging leaves out, by reason and run."""
+    t, p = F.col("t"), F.col("p")
+    reason = (
+        F.when(F.col("token_id").isNull(), "no token")
+        .when(t.isNull(), "no time")
+        .when(~plausible_time(t), "implausible time")
+        .when(p.isNull() | F.isnan(p), "no price")
+    )
+    bad = raw_prices.select("_run_id", reason.alias("reason")).filter("reason is not null")
+    return bad.groupBy("_run_id", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def require_fresh(report: DataFrame) -> None:
+    """Raise when a source of a freshness report is too old or empty."""
+    stale = [row["source"] for row in report.filter("status = 'error'").collect()]
+    if stale:
+        raise RuntimeError(f"stale sources: {', '.join(sorted(stale))}")

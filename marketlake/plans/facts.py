@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from marketlake.functions import prices
@@ -16,6 +17,7 @@ from marketlake.session import stored
 from marketlake.sources.layout import write_price_partitions
 from marketlake.sources.schemas import FCT_PRICES
 
+# The public columns of the dimension and those a new version is recorded with.
 DIM_COLUMNS = [
     "market_id",
     "condition_id",
@@ -52,6 +54,19 @@ TRACKED_COLUMNS = [
 ]
 
 
+HISTORY_COLUMNS = [*TRACKED_COLUMNS, "valid_from", "valid_to"]
+HISTORY_TYPES = {
+    "is_active": T.BooleanType(),
+    "is_closed": T.BooleanType(),
+    "volume_usd": T.DoubleType(),
+    "liquidity_usd": T.DoubleType(),
+    "end_at": T.TimestampType(),
+    "updated_at": T.TimestampType(),
+    "valid_from": T.TimestampType(),
+    "valid_to": T.TimestampType(),
+}
+
+
 def dim_markets(stg_markets: DataFrame) -> DataFrame:
     """One row per market, current state."""
     return stg_markets.select(*DIM_COLUMNS)
@@ -114,7 +129,7 @@ def merge_prices(spark: SparkSession, path: str, raw_batch: DataFrame) -> None:
     One writer at a time.
     """
     batch = price_points(raw_batch)
-    # One value per calendar day: bounded by the calendar, not by the data.
+    # Points outside `EARLIEST` to `LATEST` are gone, so there are some 33,000 days at most.
     days = batch.select(F.to_date("price_ts").alias("price_date")).distinct()
     touched = [row.price_date for row in days.collect()]
     if not touched:
@@ -171,7 +186,14 @@ def markets_history(log: DataFrame, builds: Sequence[datetime] | None = None) ->
             rows, key="market_id", landed_at="ingested_at", order=newest_first(), builds=builds
         )
     versions = history.scd2_from_log(rows, **_history_args())
-    return versions.select(*TRACKED_COLUMNS, "valid_from", "valid_to")
+    return versions.select(*HISTORY_COLUMNS)
+
+
+def history_schema() -> T.StructType:
+    """Columns of the stored history."""
+    return T.StructType(
+        [T.StructField(name, HISTORY_TYPES.get(name, T.StringType())) for name in HISTORY_COLUMNS]
+    )
 
 
 def extend_history(versions: DataFrame, new_log: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions import prices
-from marketlake.operators.asof import asof_join, day_bins
+from marketlake.operators.asof import asof_candidates, asof_join, day_bins, reachable_days
 from marketlake.operators.periods import diff_cumulative, last_of_period
 
 # Fixed parameters of the marts.
@@ -29,23 +29,28 @@ def horizon_targets(resolutions: DataFrame) -> DataFrame:
     return with_hours.withColumn("target_ts", target).drop("resolved_at")
 
 
-def price_at_targets(
-    targets: DataFrame, fct_prices: DataFrame, bucketed: bool = False
-) -> DataFrame:
-    """Last known price at or before each target, if recent enough; unmatched ones drop.
+ASOF = {
+    "on": {"yes_token_id": "token_id"},
+    "left_ts": "target_ts",
+    "right_ts": "price_ts",
+    "tolerance_hours": ASOF_TOLERANCE_HOURS,
+    "right_day": "price_date",
+}
 
-    `bucketed` says that `fct_prices` is a table bucketed by token.
+
+def price_at_targets(targets: DataFrame, fct_prices: DataFrame) -> DataFrame:
+    """Last known price at or before each target, if recent enough; unmatched ones drop."""
+    return asof_join(targets, fct_prices, values=["price", "fidelity_minutes"], **ASOF)
+
+
+def ranked_prices(targets: DataFrame, fct_prices: DataFrame) -> DataFrame:
+    """All prices near enough to each target, ranked from the latest (`recency_rank` 1).
+
+    A window holds the prices of one market within the tolerance: some 180,000 at one a second.
     """
-    return asof_join(
-        targets,
-        fct_prices,
-        on={"yes_token_id": "token_id"},
-        left_ts="target_ts",
-        right_ts="price_ts",
-        tolerance_hours=ASOF_TOLERANCE_HOURS,
-        values=["price", "fidelity_minutes"],
-        right_day=None if bucketed else "price_date",
-    )
+    latest_first = Window.partitionBy("market_id", "horizon_hours").orderBy(F.desc("price_ts"))
+    met = asof_candidates(targets, fct_prices, values=["price"], **ASOF)
+    return met.withColumn("recency_rank", F.row_number().over(latest_first).cast("bigint"))
 
 
 def scored(priced: DataFrame) -> DataFrame:
@@ -81,25 +86,21 @@ def with_wilson(buckets: DataFrame) -> DataFrame:
     )
 
 
-def mart_calibration(
-    resolutions: DataFrame, fct_prices: DataFrame, bucketed: bool = False
-) -> DataFrame:
+def mart_calibration(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
     """Per (horizon, price decile): how often did it happen? At most 30 rows."""
     targets = horizon_targets(resolutions).drop("volume_usd")
-    priced = price_at_targets(targets, fct_prices, bucketed)
+    priced = price_at_targets(targets, fct_prices)
     return with_wilson(calibration_agg(scored(priced))).orderBy("horizon_hours", "price_bucket")
 
 
 # --- price dynamics --------------------------------------------------------------
 
 
-def prices_before_resolution(
-    resolutions: DataFrame, fct_prices: DataFrame, bucketed: bool = False
-) -> DataFrame:
+def prices_before_resolution(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
     """Every price of a resolved market from 30 days out up to its resolution moment.
 
-    Joined on (token, day): a long history is spread by day, and days out of reach are
-    never read. A table `bucketed` by token is joined on the token, in place.
+    Joined on (token, day), so a long history is spread by day. Days before the earliest or
+    after the latest that any market needs are pruned from the scan (`reachable_days`).
     """
     resolved = resolutions.select(
         "market_id",
@@ -108,12 +109,12 @@ def prices_before_resolution(
         "resolved_at",
     )
     first = F.date_sub(F.to_date("resolved_at"), DYNAMICS_DAYS)
-    points = fct_prices.select("token_id", "price_date", "price_ts", "price")
-    in_time = F.col("price_ts") <= F.col("resolved_at")
-    if bucketed:
-        return points.join(resolved, "token_id").filter(in_time & (F.col("price_date") >= first))
+    near = reachable_days(resolved, fct_prices, first, F.col("resolved_at"), "price_date")
+    points = near.select("token_id", "price_date", "price_ts", "price")
     days = day_bins(resolved, first, F.col("resolved_at"), "price_date")
-    return points.join(days, ["token_id", "price_date"]).filter(in_time)
+    return points.join(days, ["token_id", "price_date"]).filter(
+        F.col("price_ts") <= F.col("resolved_at")
+    )
 
 
 def daily_before_resolution(joined: DataFrame) -> DataFrame:
@@ -146,11 +147,9 @@ def dynamics_agg(moves: DataFrame) -> DataFrame:
     )
 
 
-def mart_price_dynamics(
-    resolutions: DataFrame, fct_prices: DataFrame, bucketed: bool = False
-) -> DataFrame:
+def mart_price_dynamics(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
     """Error and movement by days before resolution, 0 to 30."""
-    daily = daily_before_resolution(prices_before_resolution(resolutions, fct_prices, bucketed))
+    daily = daily_before_resolution(prices_before_resolution(resolutions, fct_prices))
     return dynamics_agg(with_moves(daily)).orderBy("days_before")
 
 
@@ -175,9 +174,22 @@ def eod_prices(fct_prices: DataFrame) -> DataFrame:
     return last_of_period(fct_prices, ["token_id", "price_date"], "price", "price_ts", "eod_price")
 
 
-def priced_roster(roster: DataFrame, daily: DataFrame) -> DataFrame:
-    """Roster rows of multi-outcome events with each day's closing price."""
-    members = roster.join(multi_outcome_events(roster), "event_id")
+def roster_members(roster: DataFrame) -> DataFrame:
+    """Roster rows of multi-outcome events, with the number of markets of their event.
+
+    Counted with partials and joined back, so that an event with very many markets is split by
+    Spark's skew handling instead of being one window.
+    """
+    return roster.join(multi_outcome_events(roster), "event_id")
+
+
+def priced_roster(members: DataFrame, fct_prices: DataFrame) -> DataFrame:
+    """Members with each day's closing price.
+
+    Prices of other tokens go before the closing prices are taken: they are the most of the fact.
+    """
+    tokens = members.select(F.col("yes_token_id").alias("token_id")).distinct()
+    daily = eod_prices(fct_prices.join(tokens, "token_id", "left_semi"))
     return members.join(daily, members.yes_token_id == daily.token_id).select(
         "event_id", "n_markets", "market_id", "token_id", "price_date", "eod_price"
     )
@@ -191,7 +203,8 @@ def event_day_sums(priced: DataFrame) -> DataFrame:
 
 def mart_event_coherence(markets: DataFrame, fct_prices: DataFrame) -> DataFrame:
     """Sum of Yes prices per exclusive event and fully priced day."""
-    sums = event_day_sums(priced_roster(exclusive_roster(markets), eod_prices(fct_prices)))
+    members = roster_members(exclusive_roster(markets))
+    sums = event_day_sums(priced_roster(members, fct_prices))
     return sums.filter(F.col("n_priced") == F.col("n_markets")).select(
         "event_id",
         "price_date",

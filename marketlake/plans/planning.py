@@ -39,29 +39,30 @@ def advance_watermarks(marks: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
-def harvest_scope(
-    markets: DataFrame, floor: float = VOLUME_FLOOR, max_markets: int | None = None
-) -> DataFrame:
+def at_least(volume: Column, floor: float) -> Column:
+    """Volume at or above a floor. NaN, which Spark takes for the largest number, is not."""
+    return (volume >= floor) & ~F.isnan(volume)
+
+
+def harvest_scope(markets: DataFrame, floor: float = VOLUME_FLOOR) -> DataFrame:
     """Open markets at or above the volume floor."""
-    scope = markets.filter(~F.col("is_closed") & (F.col("volume_usd") >= floor))
-    return scope if max_markets is None else top_by_volume(scope, max_markets)
+    return markets.filter(~F.col("is_closed") & at_least(F.col("volume_usd"), floor))
 
 
 def top_by_volume(markets: DataFrame, n: int) -> DataFrame:
-    return markets.orderBy(F.desc("volume_usd"), "market_id").limit(n)
+    """The `n` markets of the largest volume; unknown volumes and NaN come last."""
+    known = F.nanvl(F.col("volume_usd"), F.lit(None).cast("double"))
+    return markets.orderBy(known.desc_nulls_last(), "market_id").limit(n)
 
 
 def backfill_scope(
-    markets: DataFrame,
-    floor: float = VOLUME_FLOOR,
-    end_date_min: str | None = None,
-    max_markets: int | None = None,
+    markets: DataFrame, floor: float = VOLUME_FLOOR, end_date_min: str | None = None
 ) -> DataFrame:
     """Closed markets at or above the floor, optionally ended on or after a date."""
-    scope = markets.filter(F.col("is_closed") & (F.col("volume_usd") >= floor))
+    scope = markets.filter(F.col("is_closed") & at_least(F.col("volume_usd"), floor))
     if end_date_min is not None:
         scope = scope.filter(F.to_date("end_at") >= F.lit(end_date_min).cast("date"))
-    return scope if max_markets is None else top_by_volume(scope, max_markets)
+    return scope
 
 
 def backfill_todo(scope: DataFrame, attempted: DataFrame) -> DataFrame:
@@ -88,10 +89,15 @@ def fetch_status(now: Column) -> Column:
 
 def with_window(planned: DataFrame, now: Column) -> DataFrame:
     """Next fetch window: an overlap before the watermark, or the initial lookback, never
-    longer than the longest window."""
+    longer than the longest window. What an older watermark leaves uncovered is counted."""
     start = F.coalesce(F.col("watermark") - OVERLAP, now - INITIAL_LOOKBACK)
+    oldest = now - MAX_WINDOW
     return planned.withColumns(
-        {"start_ts": F.greatest(start, now - MAX_WINDOW), "end_ts": now}
+        {
+            "start_ts": F.greatest(start, oldest),
+            "end_ts": now,
+            "uncovered_seconds": F.greatest(oldest - start, F.lit(0).cast("bigint")),
+        }
     )
 
 

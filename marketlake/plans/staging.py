@@ -108,9 +108,14 @@ def stg_markets(raw: DataFrame) -> DataFrame:
     return type_markets(latest).select(*MARKET_COLUMNS)
 
 
+def newest_versions(log: DataFrame) -> DataFrame:
+    """Each market's latest fetch with what ranks it, so that later fetches can compete."""
+    return first_by(log, ["market_id"], newest_first())
+
+
 def latest_markets(log: DataFrame) -> DataFrame:
     """The same rows as `stg_markets`, from a market log that is already stored."""
-    return first_by(log, ["market_id"], newest_first()).select(*MARKET_COLUMNS)
+    return newest_versions(log).select(*MARKET_COLUMNS)
 
 
 POINT_COLUMNS = [

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from marketlake.plans import facts, marts, staging
+from marketlake.operators.quality import raise_on_errors
+from marketlake.plans import checks, facts, marts, staging
+from marketlake.plans.history_store import HistoryStore
+from marketlake.session import stored
 
 
 @dataclass(frozen=True)
@@ -37,19 +41,48 @@ class Warehouse:
         reader = self.spark.read if like is None else self.spark.read.schema(like.schema)
         return reader.parquet(self.path(name))
 
+    def _markets(self, raw_markets: DataFrame, full_refresh: bool, batch: str) -> DataFrame:
+        """Current markets and the history, from all raw rows or from one more batch of them."""
+        history = HistoryStore(self.spark, self.path("markets_history"))
+        if full_refresh:
+            log = self.write("market_log", staging.market_log(raw_markets))
+            newest = self.write("newest_markets", staging.newest_versions(log))
+            history.rebuild(log, batch)
+        else:
+            # Only the batch is parsed; it competes with the newest version of each market.
+            log = stored(staging.market_log(raw_markets))
+            before = self.read("newest_markets", log)
+            newest = stored(staging.newest_versions(before.unionByName(log)))
+            newest = self.write("newest_markets", newest)
+            history.extend(log, batch)
+        return newest.select(*staging.MARKET_COLUMNS)
+
     def build(
-        self, raw_markets: DataFrame, raw_prices: DataFrame, *, full_refresh: bool = True
+        self,
+        raw_markets: DataFrame,
+        raw_prices: DataFrame,
+        *,
+        full_refresh: bool = True,
+        batch: str | None = None,
+        now: Column | None = None,
+        strict: bool = True,
     ) -> dict[str, DataFrame]:
         """All tables from the raw rows.
 
-        The typed market log is written once and feeds both the current state and the
-        history. With `full_refresh` off, `raw_prices` is one batch, merged into the fact.
+        With `full_refresh` off both inputs are one batch (named `batch`), merged into what is
+        stored; the result equals a full build of all rows, whatever the split of the prices, for
+        markets that come in the order of their landing. Views and marts are made from the stored
+        facts, so they hold all rows too.
+
+        With `strict` a failed error check raises at the end. With `now` the inputs' age is checked
+        first, and a stale source raises before anything is built.
         """
-        log = self.write("market_log", staging.market_log(raw_markets))
-        staged = self.write("stg_markets", staging.latest_markets(log))
+        batch = batch or uuid.uuid4().hex
+        if now is not None:
+            sources = {"raw_markets": raw_markets, "raw_price_history": raw_prices}
+            checks.require_fresh(checks.freshness_report(sources, now))
+        staged = self.write("stg_markets", self._markets(raw_markets, full_refresh, batch))
         staged.createOrReplaceTempView("stg_markets")
-        staged_prices = staging.stg_prices(raw_prices)
-        staged_prices.createOrReplaceTempView("stg_prices")
 
         prices_path = self.path("fct_prices")
         if full_refresh:
@@ -57,11 +90,14 @@ class Warehouse:
         else:
             facts.merge_prices(self.spark, prices_path, raw_prices)
         prices = facts.read_prices(self.spark, prices_path)
+        # The fact holds the best point of every moment of all raw rows: that is the staging view.
+        staged_prices = prices.select(*staging.PRICE_COLUMNS)
+        staged_prices.createOrReplaceTempView("stg_prices")
 
         dims = self.write("dim_markets", facts.dim_markets(staged))
         resolutions = self.write("fct_resolutions", facts.fct_resolutions(staged))
-        history = self.write("markets_history", facts.markets_history(log))
-        return {
+        history = HistoryStore(self.spark, self.path("markets_history")).read()
+        tables = {
             "stg_markets": staged,
             "stg_prices": staged_prices,
             "dim_markets": dims,
@@ -81,3 +117,6 @@ class Warehouse:
                 "mart_daily_volume", marts.mart_daily_volume(history)
             ),
         }
+        if strict:
+            raise_on_errors(checks.quality_report(tables))
+        return tables

@@ -25,6 +25,10 @@ class Inputs:
         self.spark = configure(spark)
         self.sf_dir = sf_dir
 
+    @cached_property
+    def events(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
+
     @cached_property
     def raw_prices(self) -> DataFrame:
         return fixtures.raw_price_history(self.spark, self.sf_dir)

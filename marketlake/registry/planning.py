@@ -34,7 +34,7 @@ def fetch_window(x: Inputs) -> DataFrame:
 
 @query(
     "fetch_chunks",
-    """select market_id, yes_token_id, watermark, chunk_start,
+    """select market_id, yes_token_id, watermark, uncovered_seconds, chunk_start,
          least(chunk_start + 1209600, end_ts) as chunk_end
        from (select *, unnest(range(start_ts, end_ts, 1209600)) as chunk_start from windows)""",
 )
@@ -54,10 +54,10 @@ def skip_fresh(x: Inputs) -> DataFrame:
 @query(
     "harvest_scope",
     """select market_id, yes_token_id, volume_usd from stg_markets
-       where not is_closed and volume_usd >= 1000000""",
+       where not is_closed and volume_usd >= 10000""",
 )
 def harvest_scope(x: Inputs) -> DataFrame:
-    scope = planning.harvest_scope(x.stg_markets, floor=1_000_000.0)
+    scope = planning.harvest_scope(x.stg_markets)
     return scope.select("market_id", "yes_token_id", "volume_usd")
 
 

@@ -11,14 +11,13 @@ from marketlake.plans import checks, facts, marts
 from marketlake.registry.core import Inputs, emit, query
 from marketlake.registry.fixtures import NOW
 from marketlake.registry.history import _unordered_history
-from marketlake.registry.relational import KEPT_MARKETS
 from marketlake.session import stored
 
 DUCK_TABLES = {
     "stg_markets": "stg_markets",
     "stg_prices": "stg_prices",
     "dim_markets": "dim_markets",
-    "fct_prices": "stg_prices",
+    "fct_prices": "fact_with_lost",
     "fct_resolutions": "fct_resolutions",
     "mart_calibration": "calibration",
     "mart_price_dynamics": "dynamics",
@@ -28,16 +27,16 @@ DUCK_TABLES = {
 
 
 def _tables(x: Inputs, *names: str) -> dict[str, DataFrame]:
-    """The named tables, or all. The volume mart comes from the restating log, and the
-    dimension misses some markets, so that warnings have something to find."""
+    """The named tables, or all. The volume mart comes from the restating log, and the price fact
+    has some more rows of unknown markets, so that warnings have something to find."""
     markets, points = stored(x.stg_markets), stored(x.stg_prices)
     dims = facts.dim_markets(markets)
     resolutions = facts.fct_resolutions(markets)
     recipes = {
         "stg_markets": lambda: markets,
         "stg_prices": lambda: points,
-        "dim_markets": lambda: dims.filter(KEPT_MARKETS),
-        "fct_prices": lambda: points,
+        "dim_markets": lambda: dims,
+        "fct_prices": lambda: points.union(_lost(points)),
         "fct_resolutions": lambda: resolutions,
         "mart_calibration": lambda: stored(marts.mart_calibration(resolutions, points)),
         "mart_price_dynamics": lambda: stored(marts.mart_price_dynamics(resolutions, points)),
@@ -47,6 +46,12 @@ def _tables(x: Inputs, *names: str) -> dict[str, DataFrame]:
     return {name: recipes[name]() for name in names or recipes}
 
 
+def _lost(points: DataFrame) -> DataFrame:
+    """The points of the coarsest series again, under keys of their own and unknown markets."""
+    prefixed = {c: F.concat(F.lit("lost-"), c) for c in ("price_id", "token_id", "market_id")}
+    return points.filter("fidelity_minutes = 1440").withColumns(prefixed)
+
+
 def _union(counts: list[DataFrame]) -> DataFrame:
     out = counts[0]
     for more in counts[1:]:
@@ -83,9 +88,9 @@ RANGE_SQL = [
     """select 'range:mart_daily_volume.volume_delta_usd' as name, 'warn' as severity,
        count(*) filter (where volume_delta_usd < 0) as failures from unordered_changes""",
 ]
-ORPHAN_SQL = f"""select 'relationship:fct_prices.market_id' as name, 'warn' as severity,
-    count(*) as failures from stg_prices where market_id is not null and market_id not in (
-      select market_id from dim_markets where {KEPT_MARKETS})"""
+ORPHAN_SQL = """select 'relationship:fct_prices.market_id' as name, 'warn' as severity,
+    count(*) as failures from fact_with_lost where market_id is not null and market_id not in (
+      select market_id from dim_markets)"""
 RAW_DUPLICATES_SQL = """select 'unique:raw_price_history.token_id+t' as name, 'warn' as severity,
     count(*) as failures from (select token_id, t from fx_raw_price_history group by 1, 2
       having count(*) > 1)"""

@@ -18,19 +18,19 @@ CALIBRATION_SQL = f"""select horizon_hours, price_bucket, n_markets,
 # --- joins -----------------------------------------------------------------------
 
 
-@query("horizon_cross_join", "select * from targets")
+@query("horizon_cross_join", "select * from horizon_targets")
 def horizon_cross_join(x: Inputs) -> DataFrame:
     return emit(marts.horizon_targets(x.resolutions))
 
 
-@query("asof_price", "select * from asof_priced")
+@query("asof_price", "select * from horizon_prices")
 def asof_price(x: Inputs) -> DataFrame:
     return emit(marts.price_at_targets(marts.horizon_targets(x.resolutions), x.stg_prices))
 
 
 @query(
     "price_until_resolution",
-    """select market_id, token_id, price_ts, price, resolved_at from before_resolution""",
+    "select * from final_month",
 )
 def price_until_resolution(x: Inputs) -> DataFrame:
     joined = marts.prices_before_resolution(x.resolutions, x.stg_prices)
@@ -39,40 +39,43 @@ def price_until_resolution(x: Inputs) -> DataFrame:
 
 @query(
     "event_roster_join",
-    """select em.event_id, mo.n_markets, em.market_id, dp.token_id, dp.price_date, dp.eod_price
-       from event_roster em join multi_outcome mo using (event_id)
-         join eod_price dp on dp.token_id = em.yes_token_id""",
+    "select * from roster_closes",
 )
 def event_roster_join(x: Inputs) -> DataFrame:
-    roster = marts.exclusive_roster(facts.dim_markets(x.stg_markets))
-    return marts.priced_roster(roster, marts.eod_prices(x.stg_prices))
-
-
-KEPT_MARKETS = "cast(market_id as bigint) % 13 <> 0"
+    members = marts.roster_members(marts.exclusive_roster(facts.dim_markets(x.stg_markets)))
+    return marts.priced_roster(members, x.stg_prices)
 
 
 @query(
     "orphan_prices",
-    f"""select market_id, count(*) as n_prices from stg_prices p
-       where market_id is not null and not exists (
-         select 1 from dim_markets d where d.market_id = p.market_id
-           and {KEPT_MARKETS.replace('market_id', 'd.market_id')})
+    """select concat('lost-', cast(user_id % 7 as varchar)) as market_id, count(*) as n_prices
+       from events where event_type = 'view' group by 1
+       union all
+       select market_id, count(*) from stg_prices p
+       where market_id is not null
+         and not exists (select 1 from dim_markets d where d.market_id = p.market_id)
        group by 1""",
 )
 def orphan_prices(x: Inputs) -> DataFrame:
-    dims = facts.dim_markets(x.stg_markets).filter(KEPT_MARKETS)
-    lost = quality.orphan_counts(x.stg_prices, dims, "market_id")
-    return lost.withColumnRenamed("n_rows", "n_prices")
+    """Price rows without a market: those of the data, and one added for each view event."""
+    lost = x.events.filter("event_type = 'view'").selectExpr(
+        "concat('lost-', cast(user_id % 7 as string)) as market_id"
+    )
+    rows = x.stg_prices.select("market_id").union(lost)
+    counts = quality.orphan_counts(rows, facts.dim_markets(x.stg_markets), "market_id")
+    return counts.withColumnRenamed("n_rows", "n_prices")
 
 
 @query(
     "hwm_scalar_subquery",
     """select * from stg_prices where ingested_at > (
          select coalesce(max(ingested_at), timestamp '1970-01-01') from stg_prices
-         where price_date <= date '2024-01-20')""",
+         where price_date <= (select max(price_date) - 10 from stg_prices))""",
 )
 def hwm_scalar_subquery(x: Inputs) -> DataFrame:
-    fact = x.stg_prices.filter(F.col("price_date") <= F.lit("2024-01-20").cast("date"))
+    """The fact so far ends ten days before the newest point."""
+    newest = x.stg_prices.agg(F.date_sub(F.max("price_date"), 10).alias("d"))
+    fact = x.stg_prices.filter(F.col("price_date") <= newest.scalar())
     return emit(facts.newer_than_fact(x.stg_prices, fact))
 
 
@@ -103,9 +106,9 @@ def backfill_todo(x: Inputs) -> DataFrame:
 
 @query(
     "calibration_agg",
-    f"""select horizon_hours, price_bucket, n_markets, {r6('avg_price')} as avg_price,
-         {r6('outcome_rate')} as outcome_rate, {r6('brier_score')} as brier_score
-       from calibration_groups""",
+    f"""select horizon_hours, price_bucket, n as n_markets, {r6('prices / n')} as avg_price,
+         {r6('wins / n')} as outcome_rate, {r6('squares / n')} as brier_score
+       from decile_sums""",
 )
 def calibration_agg(x: Inputs) -> DataFrame:
     targets = marts.horizon_targets(x.resolutions).drop("volume_usd")
@@ -113,12 +116,12 @@ def calibration_agg(x: Inputs) -> DataFrame:
     return emit(rows, "avg_price", "outcome_rate", "brier_score")
 
 
-@query("eod_price", "select * from eod_price")
+@query("eod_price", "select * from day_close")
 def eod_price(x: Inputs) -> DataFrame:
     return marts.eod_prices(x.stg_prices)
 
 
-@query("multi_outcome_events", "select * from multi_outcome")
+@query("multi_outcome_events", "select event_id, n_markets from rosters")
 def multi_outcome_events(x: Inputs) -> DataFrame:
     return marts.multi_outcome_events(marts.exclusive_roster(facts.dim_markets(x.stg_markets)))
 
@@ -126,11 +129,11 @@ def multi_outcome_events(x: Inputs) -> DataFrame:
 @query(
     "event_day_sum",
     f"""select event_id, n_markets, price_date, n_priced,
-         {r6('sum_yes_prices')} as sum_yes_prices from event_day""",
+         {r6('sum_yes_prices')} as sum_yes_prices from event_days""",
 )
 def event_day_sum(x: Inputs) -> DataFrame:
-    roster = marts.exclusive_roster(facts.dim_markets(x.stg_markets))
-    rows = marts.event_day_sums(marts.priced_roster(roster, marts.eod_prices(x.stg_prices)))
+    members = marts.roster_members(marts.exclusive_roster(facts.dim_markets(x.stg_markets)))
+    rows = marts.event_day_sums(marts.priced_roster(members, x.stg_prices))
     return emit(rows, "sum_yes_prices")
 
 
@@ -215,20 +218,15 @@ def dedupe_price_points(x: Inputs) -> DataFrame:
 
 @query(
     "asof_rank",
-    """select t.market_id, t.horizon_hours, p.price_ts, p.price,
-         row_number() over (partition by t.market_id, t.horizon_hours order by p.price_ts desc)
-           as recency_rank
-       from targets t join stg_prices p on p.token_id = t.yes_token_id
-         and p.price_ts <= t.target_ts and p.price_ts > t.target_ts - interval 50 hour
-       qualify recency_rank = 1""",
+    """select g.market_id, g.horizon_hours, q.price_ts, q.price,
+         1 + count(*) over (partition by g.market_id, g.horizon_hours order by q.price_ts desc
+           rows between unbounded preceding and 1 preceding) as recency_rank
+       from horizon_targets g join stg_prices q on q.token_id = g.yes_token_id
+       where g.target_ts >= q.price_ts and g.target_ts - to_hours(50) < q.price_ts""",
 )
 def asof_rank(x: Inputs) -> DataFrame:
-    priced = marts.price_at_targets(marts.horizon_targets(x.resolutions), x.stg_prices)
-    return emit(
-        priced.select(
-            "market_id", "horizon_hours", "price_ts", "price", F.lit(1).cast("bigint").alias("recency_rank")
-        )
-    )
+    ranked = marts.ranked_prices(marts.horizon_targets(x.resolutions), x.stg_prices)
+    return emit(ranked.select("market_id", "horizon_hours", "price_ts", "price", "recency_rank"))
 
 
 @query("eod_version", "select * from eod_volume")
@@ -250,7 +248,7 @@ def lag_date_gap(x: Inputs) -> DataFrame:
 @query(
     "lag_price_move",
     f"""select market_id, days_before, eod_price, {r6('abs_daily_move')} as abs_daily_move
-       from daily_moves""",
+       from month_moves""",
 )
 def lag_price_move(x: Inputs) -> DataFrame:
     daily = marts.daily_before_resolution(
@@ -273,7 +271,7 @@ def order_marts(x: Inputs) -> DataFrame:
        where not is_closed and volume_usd >= 10000 order by volume_usd desc, market_id limit 50""",
 )
 def top_markets_by_volume(x: Inputs) -> DataFrame:
-    top = planning.harvest_scope(x.stg_markets, max_markets=50)
+    top = planning.top_by_volume(planning.harvest_scope(x.stg_markets), 50)
     return top.select("market_id", "yes_token_id", "volume_usd")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import casts, display, payload, prices
 from marketlake.plans import facts, marts
 from marketlake.registry.core import Inputs, emit, query
-from marketlake.registry.oracle import WILSON, r6
+from marketlake.registry.oracle import r6
 
 
 @query(
@@ -164,10 +164,7 @@ def clamp_unit(x: Inputs) -> DataFrame:
 
 @query(
     "not_null_filter",
-    """select market_id, condition_id, question, slug, yes_token_id, volume_usd, end_at,
-         closed_at, outcome, oracle_confirms, resolved_at
-       from resolved where outcome is not null and yes_token_id is not null
-         and resolved_at is not null""",
+    "select * from fct_resolutions",
 )
 def not_null_filter(x: Inputs) -> DataFrame:
     candidates = facts.resolution_candidates(x.stg_markets)
@@ -186,8 +183,9 @@ def boolean_filter(x: Inputs) -> DataFrame:
 
 @query(
     "between_filter",
-    """select market_id, token_id, price_date, days_before, count(*) as n_points
-       from before_resolution group by 1, 2, 3, 4""",
+    """select market_id, token_id, cast(price_ts as date) as price_date,
+         cast(resolved_at as date) - cast(price_ts as date) as days_before, count(*) as n_points
+       from final_month group by all""",
 )
 def between_filter(x: Inputs) -> DataFrame:
     joined = marts.prices_before_resolution(x.resolutions, x.stg_prices)
@@ -200,17 +198,20 @@ def between_filter(x: Inputs) -> DataFrame:
     )
 
 
-@query("terminal_outcome", "select market_id, outcome from resolved")
+@query("terminal_outcome", """select market_id, case [yes_price, no_price] when [1.0, 0.0] then 'yes'
+         when [0.0, 1.0] then 'no' end as outcome from stg_markets where is_closed""")
 def terminal_outcome(x: Inputs) -> DataFrame:
     return facts.resolution_candidates(x.stg_markets).select("market_id", "outcome")
 
 
-@query("oracle_confirms", "select market_id, oracle_confirms from resolved")
+@query("oracle_confirms", """select market_id, uma_resolution_status = 'resolved' as oracle_confirms
+       from stg_markets where is_closed""")
 def oracle_confirms(x: Inputs) -> DataFrame:
     return facts.resolution_candidates(x.stg_markets).select("market_id", "oracle_confirms")
 
 
-@query("resolved_at", "select market_id, closed_at, end_at, resolved_at from resolved")
+@query("resolved_at", """select market_id, closed_at, end_at, ifnull(closed_at, end_at) as resolved_at
+       from stg_markets where is_closed""")
 def resolved_at(x: Inputs) -> DataFrame:
     rows = facts.resolution_candidates(x.stg_markets)
     return emit(rows.select("market_id", "closed_at", "end_at", "resolved_at"))
@@ -237,7 +238,7 @@ def price_bucket(x: Inputs) -> DataFrame:
 @query(
     "ts_minus_hours",
     """select market_id, horizon_hours, target_ts, target_ts - interval 50 hour as earliest_ts
-       from targets""",
+       from horizon_targets""",
 )
 def ts_minus_hours(x: Inputs) -> DataFrame:
     earliest = prices.minus_hours(F.col("target_ts"), F.lit(marts.ASOF_TOLERANCE_HOURS))
@@ -262,9 +263,9 @@ def days_between(x: Inputs) -> DataFrame:
 
 @query(
     "wilson_interval",
-    f"""select horizon_hours, price_bucket, {r6(WILSON.format(sign='-'))} as wilson_low,
-         {r6(WILSON.format(sign='+'))} as wilson_high
-       from calibration_groups""",
+    f"""select horizon_hours, price_bucket, {r6('wilson_low')} as wilson_low,
+         {r6('wilson_high')} as wilson_high
+       from calibration""",
 )
 def wilson_interval(x: Inputs) -> DataFrame:
     rows = x.calibration.select("horizon_hours", "price_bucket", "wilson_low", "wilson_high")
@@ -276,7 +277,7 @@ def wilson_interval(x: Inputs) -> DataFrame:
     f"""select market_id, horizon_hours,
          {r6("pow(price - case when outcome = 'yes' then 1 else 0 end, 2)")} as squared_error,
          {r6("abs(price - case when outcome = 'yes' then 1 else 0 end)")} as abs_error
-       from asof_priced""",
+       from horizon_prices""",
 )
 def squared_error(x: Inputs) -> DataFrame:
     priced = marts.price_at_targets(marts.horizon_targets(x.resolutions), x.stg_prices)

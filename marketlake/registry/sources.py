@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from marketlake.registry.oracle import r6
 from marketlake.session import shared_dir
 from marketlake.sources import landing, sweeps
 
-from marketlake.sources.schemas import RAW_PRICES
+from marketlake.sources.schemas import CORRUPT, RAW_PRICES
 from marketlake.streaming import load, upsert
 
 
@@ -83,9 +84,9 @@ def load_pending(x: Inputs) -> DataFrame:
 
 @query(
     "load_quarantine",
-    """select event_id % 100 = 0 as quarantined, count(*) as n_rows,
-         count(distinct case when event_id % 100 <> 0 then user_id end) as n_tokens
-       from events group by 1""",
+    """select bad as quarantined, _run_id, token_id, if(bad, null, t) as t, if(bad, null, p) as p
+       from (select *, cast(substr(_run_id, 5) as bigint) % 100 = 0 as bad
+             from fx_raw_price_history)""",
 )
 def load_quarantine(x: Inputs) -> DataFrame:
     root, warehouse = shared_dir(x.spark, "landing"), shared_dir(x.spark, "warehouse")
@@ -99,28 +100,29 @@ def load_quarantine(x: Inputs) -> DataFrame:
         .write.partitionBy("dt")
         .text(landing.table_path(root, "raw_price_history"))
     )
-    load.load_pending(x.spark, root, warehouse)
+    load.load_pending(x.spark, root, warehouse, strict=False)
     path = load.raw_path(warehouse, "raw_price_history")
-    good = load.scan_raw(x.spark, path, "raw_price_history").agg(
-        F.lit(False).alias("quarantined"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("token_id").alias("n_tokens"),
+    good = load.scan_raw(x.spark, path, "raw_price_history").select(
+        F.lit(False).alias("quarantined"), "_run_id", "token_id", "t", "p"
     )
-    bad = load.quarantine(x.spark, path, "raw_price_history").agg(
+    text = load.quarantine(x.spark, path, "raw_price_history")
+    bad = text.select(
         F.lit(True).alias("quarantined"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.lit(0).cast("bigint").alias("n_tokens"),
+        F.regexp_extract(CORRUPT, '"_run_id":"([^"]*)"', 1).alias("_run_id"),
+        F.regexp_extract(CORRUPT, '"token_id":"([^"]*)"', 1).alias("token_id"),
+        F.lit(None).cast("bigint").alias("t"),
+        F.lit(None).cast("double").alias("p"),
     )
     return good.unionByName(bad)
 
 
 @query(
     "include_events",
-    """select false as include_events, 'raw_markets' as table_name, count(*) as n_rows from orders
-       union all select true, 'raw_markets', count(*) from orders
-       union all select true, 'raw_events', count(*) from orders
-       union all select false, 'raw_price_history', 0
-       union all select true, 'raw_price_history', 0""",
+    """select flag as include_events, 'raw_markets' as table_name, payload
+       from fx_raw_markets, (values (false), (true)) flags(flag)
+       union all
+       select true, 'raw_events', concat('{"id":"e","markets":[', payload, ']}')
+       from fx_raw_markets""",
 )
 def include_events(x: Inputs) -> DataFrame:
     root = shared_dir(x.spark, "landing")
@@ -129,22 +131,21 @@ def include_events(x: Inputs) -> DataFrame:
     landing.land(
         _stamped(x.raw_markets.withColumn("payload", event), "sync-1"), root, "raw_events"
     )
-    counts = []
+    landing.land(_stamped(x.raw_prices.limit(0), "sync-1"), root, "raw_price_history")
+    loaded = []
     for flag in (False, True):
         warehouse = shared_dir(x.spark, "warehouse")
         for table in load.load_pending(x.spark, root, warehouse, include_events=flag):
             rows = load.scan_raw(x.spark, load.raw_path(warehouse, table), table)
-            counts.append(
-                rows.agg(
-                    F.lit(flag).alias("include_events"),
-                    F.lit(table).alias("table_name"),
-                    F.count(F.lit(1)).alias("n_rows"),
+            if "payload" in rows.columns:
+                loaded.append(
+                    rows.select(
+                        F.lit(flag).alias("include_events"),
+                        F.lit(table).alias("table_name"),
+                        "payload",
+                    )
                 )
-            )
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, loaded)
 
 
 @query(
@@ -200,50 +201,69 @@ def sweep_full(x: Inputs) -> DataFrame:
        qualify row_number() over (partition by is_closed order by market_id) <= 25""",
 )
 def max_rows_cap(x: Inputs) -> DataFrame:
-    return emit(sweeps.sweep(x.stg_markets, full=True, max_rows=25).select(*SWEEP_COLUMNS))
+    first = sweeps.first_of_arms(sweeps.sweep(x.stg_markets, full=True), 25)
+    return emit(first.select(*SWEEP_COLUMNS))
+
+
+MATERIALISED = {  # table -> (the same table for the oracle, a column that is summed)
+    "stg_markets": ("stg_markets", "volume_usd"),
+    "stg_prices": ("stg_prices", "price"),
+    "dim_markets": ("dim_markets", "volume_usd"),
+    "fct_prices": ("stg_prices", "price"),
+    "fct_resolutions": ("fct_resolutions", "volume_usd"),
+    "markets_history": ("history", "volume_usd"),
+    "mart_calibration": ("calibration", "brier_score"),
+    "mart_price_dynamics": ("dynamics", "avg_abs_error"),
+    "mart_event_coherence": ("coherence", "deviation"),
+    "mart_daily_volume": ("daily_volume", "volume_delta_usd"),
+}
 
 
 @query(
     "materialize_marts",
-    """select 'stg_markets' as table_name, count(*) as n_rows from stg_markets
-       union all select 'stg_prices', count(*) from stg_prices
-       union all select 'dim_markets', count(*) from dim_markets
-       union all select 'fct_prices', count(*) from stg_prices
-       union all select 'fct_resolutions', count(*) from fct_resolutions
-       union all select 'markets_history', count(*) from history
-       union all select 'mart_calibration', count(*) from calibration
-       union all select 'mart_price_dynamics', count(*) from dynamics
-       union all select 'mart_event_coherence', count(*) from coherence
-       union all select 'mart_daily_volume', count(*) from daily_volume""",
+    " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows, round(sum({column}), 3) as total "
+        f"from {source}"
+        for name, (source, column) in MATERIALISED.items()
+    ),
 )
 def materialize_marts(x: Inputs) -> DataFrame:
-    built = Warehouse(x.spark, shared_dir(x.spark, "warehouse")).build(x.raw_markets, x.raw_prices)
+    """A build in two batches, markets in the order of their landing: rows and a sum per table."""
+    house = Warehouse(x.spark, shared_dir(x.spark, "warehouse"))
+    later = F.col("_ingested_at") >= F.lit("1996-06-01").cast("timestamp")
+    odd = F.substring("_run_id", 5, 12).cast("bigint") % 2 == 1
+    house.build(x.raw_markets.filter(~later), x.raw_prices.filter(~odd), strict=False)
+    built = house.build(
+        x.raw_markets.filter(later), x.raw_prices.filter(odd), full_refresh=False, strict=False
+    )
     counts = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        df.agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.round(F.sum(MATERIALISED[name][1]), 3).alias("total"),
+        )
         for name, df in built.items()
     ]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
     "report_sources",
     f"""select horizon_hours, price_bucket, n_markets, {r6('avg_price')} as avg_price,
-         {r6('outcome_rate')} as outcome_rate, {r6('brier_score')} as brier_score
+         {r6('outcome_rate')} as outcome_rate, {r6('wilson_low')} as wilson_low,
+         {r6('wilson_high')} as wilson_high, {r6('brier_score')} as brier_score
        from calibration""",
 )
 def report_sources(x: Inputs) -> DataFrame:
     house = Warehouse(x.spark, shared_dir(x.spark, "warehouse"))
     house.write("mart_calibration", x.calibration)
-    rows = house.read("mart_calibration").drop("wilson_low", "wilson_high")
-    return emit(rows, "avg_price", "outcome_rate", "brier_score")
+    columns = ("avg_price", "outcome_rate", "wilson_low", "wilson_high", "brier_score")
+    return emit(house.read("mart_calibration"), *columns)
 
 
 @query("stream_upsert_prices", "select * from stg_prices")
 def stream_upsert_prices(x: Inputs) -> DataFrame:
     raw, fact = shared_dir(x.spark, "raw_prices"), shared_dir(x.spark, "fct_prices")
     x.raw_prices.select(*RAW_PRICES.fieldNames()).repartition(3, "_run_id").write.parquet(raw)
-    upsert.upsert_prices(x.spark, raw, fact, shared_dir(x.spark, "checkpoint"), max_files=1)
+    upsert.upsert_prices(x.spark, raw, fact, shared_dir(x.spark, "checkpoint"), files_per_merge=1)
     return emit(facts.read_prices(x.spark, fact).drop("run_id"))

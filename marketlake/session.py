@@ -17,9 +17,6 @@ SQL_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-MIB = 1 << 20
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SQL_CONF.items():
@@ -27,18 +24,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions(input_bytes: int, cores: int, target_mib: int = 256) -> int:
-    """Initial shuffle partitions for an input size; AQE coalesces downwards from here.
-
-    Enough partitions that one holds about `target_mib`, at least one per core, at most
-    100,000 so the driver's shuffle bookkeeping stays small.
-    """
-    by_size = -(-input_bytes // (target_mib * MIB))
-    return max(cores, min(by_size, 100_000))
-
-
 def local_session(cores: int | str = 8, partitions: int = 8, **extra: str) -> SparkSession:
-    """A local session for tests and bench.py."""
+    """A local session for tests and bench.py; sets a shared folder where none is set."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("marketlake")
@@ -50,20 +37,17 @@ def local_session(cores: int | str = 8, partitions: int = 8, **extra: str) -> Sp
     for key, value in {**SQL_CONF, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="marketlake-"))
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables, below the cluster's `spark.checkpoint.dir`.
-
-    Only a local-mode session may fall back to this machine's temporary folder.
-    """
+    """A fresh path for intermediate tables, below the cluster's `spark.checkpoint.dir`."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="marketlake-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

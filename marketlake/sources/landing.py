@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.sources.schemas import CORRUPT, RAW_TABLES, with_corrupt
@@ -37,7 +37,12 @@ def table_path(root: str, table: str) -> str:
 
 
 def json_line(df: DataFrame) -> Column:
-    """One JSON object per row. A `payload` goes in as the nested JSON it is, byte for byte."""
+    """One JSON object per row, on one line.
+
+    A `payload` goes in as the nested JSON it is; its line breaks, which JSON allows between
+    fields only, become spaces. One that is no JSON goes in as a string, so that its row comes back
+    with the same text.
+    """
     flat = [
         F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssxxx").alias(c) if c == "_ingested_at" else F.col(c)
         for c in df.columns
@@ -47,21 +52,33 @@ def json_line(df: DataFrame) -> Column:
     if "payload" not in df.columns:
         return line
     opened = F.left(line, F.length(line) - 1)
-    return F.concat(
-        opened, F.lit(',"payload":'), F.coalesce("payload", F.lit("null")), F.lit("}")
+    # As the one item of a list, so that text after the value is not taken for more of the line.
+    listed = F.concat(F.lit("["), F.col("payload"), F.lit("]"))
+    is_json = F.try_parse_json(listed).isNotNull() & (
+        F.size(F.from_json(listed, "array<string>")) == 1
     )
+    nested = F.concat(
+        opened, F.lit(',"payload":'),
+        F.coalesce(F.translate("payload", "\r\n", "  "), F.lit("null")), F.lit("}"),
+    )
+    as_text = F.to_json(F.struct(*flat, F.col("payload")))
+    return F.when(F.col("payload").isNull() | is_json, nested).otherwise(as_text)
 
 
 def land(df: DataFrame, root: str, table: str) -> bool:
-    """Append lineage-stamped rows below `raw/<table>/dt=<ingest date>/`.
+    """Append lineage-stamped rows below `raw/<table>/dt=<ingest date>/run=<run id>/`.
 
-    Nothing is written for an empty run; returns whether anything was.
+    One pass: rows are counted while they are written. Returns whether there were any; an empty
+    run leaves no date folder.
     """
-    if df.isEmpty():
-        return False
-    lines = df.select(json_line(df).alias("value"), F.to_date("_ingested_at").alias("dt"))
-    lines.write.mode("append").partitionBy("dt").text(table_path(root, table))
-    return True
+    counted = Observation()
+    lines = df.select(
+        json_line(df).alias("value"),
+        F.to_date("_ingested_at").alias("dt"),
+        F.col("_run_id").alias("run"),
+    ).observe(counted, F.count(F.lit(1)).alias("n"))
+    lines.write.mode("append").partitionBy("dt", "run").text(table_path(root, table))
+    return counted.get["n"] > 0
 
 
 def scan_landed(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -72,6 +89,7 @@ def scan_landed(spark: SparkSession, root: str, table: str) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(table_path(root, table))
+        .drop("run")
     )
 
 

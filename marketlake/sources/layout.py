@@ -22,21 +22,3 @@ def write_price_partitions(df: DataFrame, path: str) -> None:
         .partitionBy("price_date")
         .parquet(path)
     )
-
-
-def save_bucketed_prices(df: DataFrame, table: str, path: str, buckets: int) -> None:
-    """A catalog table partitioned by date and bucketed by token.
-
-    Joins and aggregations on `token_id` then need no shuffle of the prices. Rows per
-    (token, date) are at most one per second, so a busy token's bucket stays bounded.
-    """
-    (
-        df.repartition(buckets, "token_id")
-        .write.mode("overwrite")
-        .partitionBy("price_date")
-        .bucketBy(buckets, "token_id")
-        .sortBy("token_id", "price_ts")
-        .option("path", path)
-        .format("parquet")
-        .saveAsTable(table)
-    )

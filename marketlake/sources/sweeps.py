@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CLOSED_LOOKBACK_DAYS = 14
@@ -30,22 +30,23 @@ def sweep(
     full: bool = False,
     since: date | None = None,
     volume_floor: float | None = None,
-    max_rows: int | None = None,
 ) -> DataFrame:
-    """Markets in scope, tagged with their arm. Uncapped it is one scan with one filter;
-    `max_rows` caps each arm on its own, in market order."""
+    """Markets in scope, tagged with their arm: one scan with one filter. NaN volumes are below
+    every floor."""
     arms = sweep_arms(full, since)
     if volume_floor:
-        markets = markets.filter(F.col("volume_usd") >= volume_floor)
-    if max_rows is None:
-        tag = reduce(
-            lambda acc, arm: acc.when(arms[arm], F.lit(arm)),
-            list(arms)[1:],
-            F.when(arms["open"], F.lit("open")),
-        )
-        return markets.withColumn("sweep", tag).filter(F.col("sweep").isNotNull())
-    capped = [
-        markets.filter(keep).orderBy("market_id").limit(max_rows).withColumn("sweep", F.lit(arm))
-        for arm, keep in arms.items()
-    ]
-    return reduce(DataFrame.unionByName, capped)
+        volume = F.col("volume_usd")
+        markets = markets.filter((volume >= volume_floor) & ~F.isnan(volume))
+    tag = reduce(
+        lambda acc, arm: acc.when(arms[arm], F.lit(arm)),
+        list(arms)[1:],
+        F.when(arms["open"], F.lit("open")),
+    )
+    return markets.withColumn("sweep", tag).filter(F.col("sweep").isNotNull())
+
+
+def first_of_arms(swept: DataFrame, n: int) -> DataFrame:
+    """The first `n` markets of each arm, in market order. A report of a sweep; no sweep is cut."""
+    w = Window.partitionBy("sweep").orderBy("market_id")
+    # row_number <= n makes Spark keep n rows per arm and task before the shuffle.
+    return swept.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")

@@ -1,56 +1,87 @@
 """Incremental load of landed files into the raw tables.
 
-The stream's checkpoint is the load state: a file is pending while the checkpoint does
-not know it, whether or not it was archived yet. The parquet sink commits each batch
-once, so a crash neither loses nor doubles rows.
+The stream's checkpoint is the load state: a file is pending while the checkpoint does not know it,
+whether or not it was archived yet. One call loads every pending file, in batches of a bounded
+number of files. Each batch overwrites its own partitions, so a batch that is replayed after a crash
+neither loses nor doubles rows, and the table needs no log of its files.
 """
 
 from __future__ import annotations
 
-import time
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from marketlake.sources.landing import table_path
 from marketlake.sources.schemas import CORRUPT, RAW_TABLES, selected_tables, with_corrupt
 
-# Longer than any run: a query on this trigger does its first batch and then idles.
-ONE_BATCH_INTERVAL = "3650 days"
+# Files of one batch: bounds the work that a crash repeats, not what a call loads.
+FILES_PER_BATCH = 1000
+
+# What the load adds to a raw row. The first three are the table's partitions.
+LOADED = [
+    T.StructField("load_file", T.StringType()),
+    T.StructField("load_batch", T.LongType()),
+    T.StructField("quarantined", T.BooleanType()),
+    T.StructField("ingest_date", T.DateType()),
+]
+
+
+@dataclass
+class LoadResult:
+    """What one call did for one table."""
+
+    table: str
+    batches: list[int] = field(default_factory=list)
+    rows: int = 0
+    bad_lines: int = 0
+    unreadable_files: int = 0
+    error: str | None = None
+
+    @property
+    def failed(self) -> bool:
+        return bool(self.bad_lines or self.unreadable_files or self.error)
+
+
+class LoadFailed(RuntimeError):
+    """Raised after everything that could be loaded was."""
+
+    def __init__(self, results: dict[str, LoadResult]):
+        self.results = results
+        bad = [r for r in results.values() if r.failed]
+        super().__init__(
+            "; ".join(
+                f"{r.table}: {r.bad_lines} line(s) and {r.unreadable_files} file(s) failed to load"
+                + (f": {r.error}" if r.error else "")
+                for r in bad
+            )
+        )
 
 
 def landed_stream(
     spark: SparkSession,
     root: str,
     table: str,
-    max_files: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     archive_dir: str | None = None,
 ) -> DataFrame:
-    """Landed files of a table as a stream, oldest first."""
+    """Landed files of a table as a stream, oldest first. What cannot be read is passed over."""
     reader = (
         spark.readStream.schema(with_corrupt(RAW_TABLES[table]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("ignoreCorruptFiles", True)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("recursiveFileLookup", True)
     )
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.json(f"{table_path(root, table)}/dt=*")
 
 
-def _wait_for_first_batch(query: StreamingQuery) -> None:
-    while query.isActive:
-        status = query.status
-        if status["message"] == "Waiting for next trigger" and not status["isTriggerActive"]:
-            break
-        time.sleep(0.1)
-    query.stop()
-    if query.exception() is not None:
-        raise query.exception()
-
-
 def load_table(
     spark: SparkSession,
     root: str,
@@ -58,31 +89,78 @@ def load_table(
     target: str,
     checkpoint: str,
     *,
-    max_files: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     archive_dir: str | None = None,
-) -> None:
-    """Append all pending files of one table to `target`, or at most `max_files` of them.
+) -> list[int]:
+    """Load all pending files of one table into `target`; returns the numbers of the batches.
 
-    Lines that do not parse go to the `quarantined=true` partition, so a bad file holds
-    up no other.
+    Lines that do not parse go to `quarantined=true`, so a bad line holds up no other.
     """
-    stream = landed_stream(spark, root, table, max_files, archive_dir)
-    writer = (
-        stream.withColumns(
+    batches: list[int] = []
+
+    def write(rows: DataFrame, batch: int) -> None:
+        (
+            rows.withColumn("load_batch", F.lit(batch).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("load_batch", "quarantined", "ingest_date")
+            .parquet(target)
+        )
+        batches.append(batch)
+
+    landed = landed_stream(spark, root, table, files_per_batch, archive_dir)
+    (
+        landed.withColumns(
             {
+                "load_file": F.col("_metadata.file_path"),
                 "quarantined": F.col(CORRUPT).isNotNull(),
                 "ingest_date": F.to_date("_ingested_at"),
             }
         )
-        .writeStream.format("parquet")
-        .partitionBy("quarantined", "ingest_date")
-        .option("path", target)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return batches
+
+
+def unread_files(spark: SparkSession, root: str, target: str, table: str) -> DataFrame:
+    """Landed files with content of which the loaded table has no row.
+
+    Only names and sizes are listed. A file that was archived is not looked for.
+    """
+    there = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(f"{table_path(root, table)}/dt=*")
+        .filter(F.col("length") > 0)
+        .select(F.col("path").alias("load_file"))
+    )
+    known = loaded_rows(spark, target, table).select("load_file").distinct()
+    # The two listings write a local path in two ways.
+    name = F.regexp_replace("load_file", "^file:/*", "file:/")
+    return there.withColumn("load_file", name).join(
+        known.withColumn("load_file", name), "load_file", "left_anti"
     )
-    if max_files is None:
-        writer.trigger(availableNow=True).start().awaitTermination()
-    else:
-        _wait_for_first_batch(writer.trigger(processingTime=ONE_BATCH_INTERVAL).start())
+
+
+def _summary(spark: SparkSession, root: str, target: str, table: str, batches: list[int]):
+    result = LoadResult(table, batches)
+    if batches:
+        counts = (
+            loaded_rows(spark, target, table)
+            .filter(F.col("load_batch").between(min(batches), max(batches)))
+            .agg(
+                F.count_if(~F.col("quarantined")).alias("good"),
+                F.count_if("quarantined").alias("bad"),
+            )
+            .head()
+        )
+        result.rows, result.bad_lines = counts["good"], counts["bad"]
+        result.unreadable_files = unread_files(spark, root, target, table).count()
+    return result
 
 
 def load_pending(
@@ -91,48 +169,65 @@ def load_pending(
     warehouse: str,
     *,
     include_events: bool = False,
-    max_files: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     archive_dir: str | None = None,
-) -> list[str]:
-    """Load the pending files of every selected table; returns the tables."""
-    tables = selected_tables(include_events)
-    for table in tables:
-        load_table(
-            spark,
-            root,
-            table,
-            raw_path(warehouse, table),
-            f"{warehouse.rstrip('/')}/checkpoints/load_{table}",
-            max_files=max_files,
-            archive_dir=archive_dir,
-        )
-    return tables
+    strict: bool = True,
+) -> dict[str, LoadResult]:
+    """Load the pending files of every selected table; table -> what was done.
+
+    A table that fails does not hold up the next. With `strict`, bad lines, unreadable files and
+    failed tables of this call raise `LoadFailed` at the end.
+    """
+    results = {}
+    for table in selected_tables(include_events):
+        target = raw_path(warehouse, table)
+        try:
+            batches = load_table(
+                spark,
+                root,
+                table,
+                target,
+                f"{warehouse.rstrip('/')}/checkpoints/load_{table}",
+                files_per_batch=files_per_batch,
+                archive_dir=archive_dir,
+            )
+            results[table] = _summary(spark, root, target, table, batches)
+        except Exception as exc:  # reported with the others at the end
+            results[table] = LoadResult(table, error=f"{type(exc).__name__}: {str(exc)[:500]}")
+    if strict and any(r.failed for r in results.values()):
+        raise LoadFailed(results)
+    return results
 
 
 def raw_path(warehouse: str, table: str) -> str:
     return f"{warehouse.rstrip('/')}/{table}"
 
 
-def _loaded(spark: SparkSession, path: str, table: str) -> DataFrame:
-    schema = with_corrupt(RAW_TABLES[table]).add("quarantined", "boolean").add(
-        "ingest_date", "date"
-    )
-    return spark.read.schema(schema).parquet(path)
+def loaded_schema(table: str) -> T.StructType:
+    return T.StructType([*with_corrupt(RAW_TABLES[table]).fields, *LOADED])
 
 
-def scan_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Good rows of a loaded raw table, in its declared schema."""
-    rows = _loaded(spark, path, table).filter(~F.col("quarantined"))
+def loaded_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """All rows of a loaded raw table, with what the load added; none before the first load."""
+    schema = loaded_schema(table)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def scan_raw(
+    spark: SparkSession, path: str, table: str, batches: list[int] | None = None
+) -> DataFrame:
+    """Good rows of a loaded raw table in its declared schema, of some load batches or of all."""
+    rows = loaded_rows(spark, path, table).filter(~F.col("quarantined"))
+    if batches is not None:
+        rows = rows.filter(F.col("load_batch").isin(batches))
     return rows.select(*RAW_TABLES[table].fieldNames())
 
 
 def quarantine(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Lines of the landed files that did not parse."""
-    return _loaded(spark, path, table).filter("quarantined").select(CORRUPT)
-
-
-def require_clean(spark: SparkSession, path: str, table: str) -> None:
-    """Fail the run, after everything good is loaded, when any line was quarantined."""
-    bad = quarantine(spark, path, table).count()
-    if bad:
-        raise RuntimeError(f"{table}: {bad} line(s) failed to load")
+    return loaded_rows(spark, path, table).filter("quarantined").select(CORRUPT)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.plans.facts import merge_prices
+from marketlake.session import stored
 from marketlake.sources.schemas import RAW_PRICES
+from marketlake.streaming.load import loaded_schema
+
+# Files of one merge: bounds a batch, not what a call merges.
+FILES_PER_MERGE = 200
 
 
 def upsert_prices(
@@ -14,28 +19,28 @@ def upsert_prices(
     raw_path: str,
     fact_path: str,
     checkpoint: str,
-    max_files: int | None = None,
+    files_per_merge: int = FILES_PER_MERGE,
 ) -> None:
-    """Merge all raw price rows not merged yet into the fact, then stop.
+    """Merge all good raw price rows not merged yet into the fact, then stop.
 
-    A replayed micro-batch changes nothing, so at-least-once delivery is enough. Batches
-    come from the checkpoint, not from a time stamp: late files are not lost.
+    Quarantined lines of a loaded table are left out, as in every other reader of it. A replayed
+    micro-batch changes nothing, so at-least-once delivery is enough. Batches come from the
+    checkpoint, not from a time stamp: late files are not lost.
     """
-    reader = spark.readStream.schema(RAW_PRICES)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = (
+        spark.readStream.schema(loaded_schema("raw_price_history"))
+        .option("maxFilesPerTrigger", files_per_merge)
+        .parquet(raw_path)
+        .filter(~F.coalesce("quarantined", F.lit(False)))
+        .select(*RAW_PRICES.fieldNames())
+    )
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        # Read twice: once for the touched dates, once for the merge.
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            merge_prices(held.sparkSession, fact_path, held)
-        finally:
-            held.unpersist()
+        # Read twice, for the touched dates and for the merge: written to the shared folder once.
+        merge_prices(batch.sparkSession, fact_path, stored(batch))
 
     (
-        reader.parquet(raw_path)
-        .writeStream.foreachBatch(merge)
+        reader.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -8,10 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from marketlake.session import local_session
 
-    session = local_session(cores=8, partitions=4)
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+    session = local_session(cores=8, partitions=4, **shared)
     yield session
     session.stop()
 

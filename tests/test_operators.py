@@ -32,8 +32,7 @@ def point_table(spark, rows):
     return df.withColumn("day", F.to_date("ts"))
 
 
-@pytest.mark.parametrize("day", ["day", None])
-def test_asof_bounds(spark, day):
+def test_asof_bounds(spark):
     targets = spark.createDataFrame(
         [("at", T0), ("edge", T0), ("inside", T0), ("after", T0), ("none", T0)],
         "k string, at timestamp",
@@ -45,13 +44,12 @@ def test_asof_bounds(spark, day):
         ("inside", T0 - timedelta(hours=50) + timedelta(seconds=1), 3.0),
         ("after", T0 + timedelta(seconds=1), 4.0),
     ])
-    got = {r.k: r.v for r in asof(targets, points, day).collect()}
+    got = {r.k: r.v for r in asof(targets, points).collect()}
     assert got == {"at": 1.0, "inside": 3.0}
 
 
-@pytest.mark.parametrize("day", ["day", None])
 @pytest.mark.parametrize("hours", [1, 50, 24 * 9])
-def test_asof_random_with_a_hot_key(spark, day, hours):
+def test_asof_random_with_a_hot_key(spark, hours):
     rng = random.Random(hours)
     seconds = rng.sample(range(30 * 86_400), 1500)
     points = [
@@ -70,8 +68,8 @@ def test_asof_random_with_a_hot_key(spark, day, hours):
         if window:
             expected.append((key, at, *max(window)))
     df = asof(
-        spark.createDataFrame(targets, "k string, at timestamp"), point_table(spark, points), day,
-        hours,
+        spark.createDataFrame(targets, "k string, at timestamp"), point_table(spark, points),
+        hours=hours,
     )
     assert as_rows(df) == sorted(expected)
 

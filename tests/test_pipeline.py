@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlake.plans import checks, facts, marts, staging
 from marketlake.plans.warehouse import Warehouse
-from marketlake.session import shuffle_partitions
 from marketlake.sources import landing
-from marketlake.sources.layout import save_bucketed_prices
 from marketlake.sources.schemas import RAW_PRICES, selected_tables
 from marketlake.streaming import load, upsert
 
@@ -50,12 +48,6 @@ def test_event_payloads_are_opt_in():
     assert "raw_events" in selected_tables(include_events=True)
 
 
-def test_shuffle_partitions():
-    assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(10**12, 8) == 3726
-    assert shuffle_partitions(10**15, 8) == 100_000
-
-
 def payload_rows(spark, payloads):
     df = spark.createDataFrame([(p,) for p in payloads], "payload string")
     return landing.with_lineage(df, "run-1", "catalog", datetime(2026, 7, 5, 1, 2, 3, 999))
@@ -64,7 +56,7 @@ def payload_rows(spark, payloads):
 def test_landed_lines(spark, tmp_path):
     payload = '{"id": 1.50, "big": %s, "q":"a\\"b"}' % BIG_ID
     assert landing.land(payload_rows(spark, [payload]), str(tmp_path), "raw_markets")
-    files = list(Path(tmp_path, "raw/raw_markets/dt=2026-07-05").glob("part-*"))
+    files = list(Path(tmp_path, "raw/raw_markets/dt=2026-07-05/run=run-1").glob("part-*"))
     lines = [line for f in files for line in f.read_text().splitlines()]
     assert len(lines) == 1 and payload in lines[0]
     row = json.loads(lines[0])
@@ -75,7 +67,16 @@ def test_landed_lines(spark, tmp_path):
 
 def test_an_empty_run_leaves_nothing(spark, tmp_path):
     assert not landing.land(payload_rows(spark, []), str(tmp_path), "raw_markets")
-    assert list(tmp_path.iterdir()) == []
+    assert not list(tmp_path.rglob("dt=*"))
+
+
+def test_every_payload_comes_back(spark, tmp_path):
+    payloads = ['{"id":\n"1",\r\n"a": 2}', '{"id":"2"}', "not json", '{"id":"3"}, "x": {}', None]
+    landing.land(payload_rows(spark, payloads), str(tmp_path), "raw_markets")
+    rows = landing.scan_landed(spark, str(tmp_path), "raw_markets").collect()
+    assert all(r._corrupt_record is None for r in rows)
+    back = sorted((r.payload or "") for r in rows)
+    assert back == sorted(['{"id": "1",  "a": 2}', '{"id":"2"}', "not json", '{"id":"3"}, "x": {}', ""])
 
 
 def write_landed(root, table, run, lines, day="2026-07-05"):
@@ -96,43 +97,89 @@ def loaded(spark, root, warehouse, **options):
     return load.scan_raw(spark, path, "raw_price_history"), path
 
 
-def test_load_resumes_caps_and_archives(spark, tmp_path):
+def test_load_takes_every_pending_file_once_and_archives(spark, tmp_path):
     root, house, archive = tmp_path / "land", tmp_path / "house", tmp_path / "loaded"
+    write_landed(root, "raw_markets", "m", [])
     for i in range(4):
         write_landed(root, "raw_price_history", f"run-{i}", [price_line(i)], f"2026-07-0{i + 1}")
-    options = {"archive_dir": str(archive)}
-    good, _ = loaded(spark, root, house, max_files=1, **options)
-    assert [r.t for r in good.collect()] == [0]  # oldest first, one file only
-    good, _ = loaded(spark, root, house, max_files=2, **options)
-    assert sorted(r.t for r in good.collect()) == [0, 1, 2]
-    good, _ = loaded(spark, root, house, **options)
+    options = {"archive_dir": str(archive), "files_per_batch": 1}
+    good, _ = loaded(spark, root, house, **options)  # four batches, one call
     assert sorted(r.t for r in good.collect()) == [0, 1, 2, 3]
     good, _ = loaded(spark, root, house, **options)
     assert good.count() == 4 and good.first().token_id == BIG_ID
+    write_landed(root, "raw_price_history", "run-9", [price_line(9)], "2026-06-01")  # an old date
+    good, _ = loaded(spark, root, house, **options)
+    assert sorted(r.t for r in good.collect()) == [0, 1, 2, 3, 9]
     archived = [str(p) for p in archive.rglob("*.jsonl")]
     assert any(p.endswith("raw/raw_price_history/dt=2026-07-01/run-0.jsonl") for p in archived)
 
 
-def test_bad_lines_are_quarantined_and_fail_the_run_at_the_end(spark, tmp_path):
+def test_a_replayed_load_batch_changes_nothing(spark, tmp_path):
     root, house = tmp_path / "land", tmp_path / "house"
+    write_landed(root, "raw_markets", "m", [])
+    write_landed(root, "raw_price_history", "a", [price_line(1), price_line(2)])
+    good, path = loaded(spark, root, house)
+    assert good.count() == 2
+    # A crash after the write and before the commit: the commit of the batch is gone.
+    commits = house / "checkpoints" / "load_raw_price_history" / "commits"
+    for name in ("0", ".0.crc"):
+        if (commits / name).exists():
+            (commits / name).unlink()
+    good, path = loaded(spark, root, house)
+    assert sorted(r.t for r in good.collect()) == [1, 2]
+
+
+def test_bad_lines_and_files_fail_the_run_at_the_end(spark, tmp_path):
+    root, house = tmp_path / "land", tmp_path / "house"
+    write_landed(root, "raw_markets", "ok", [json.dumps({"_run_id": "r", "payload": {"id": "1"}})])
+    Path(root, "raw/raw_markets/dt=2026-07-05/broken.json.gz").write_bytes(b"no gzip at all")
     write_landed(root, "raw_price_history", "a", [price_line(1), "{broken", price_line(2, t="x")])
     write_landed(root, "raw_price_history", "b", [price_line(3, brand_new_field={"x": 1})])
-    good, path = loaded(spark, root, house)
+    with pytest.raises(load.LoadFailed, match="2 line") as caught:
+        loaded(spark, root, house)
+    results = caught.value.results
+    assert results["raw_markets"].unreadable_files == 1 and results["raw_markets"].rows == 1
+    assert (results["raw_price_history"].rows, results["raw_price_history"].bad_lines) == (2, 2)
+    path = load.raw_path(str(house), "raw_price_history")
+    good = load.scan_raw(spark, path, "raw_price_history")
     assert sorted(r.t for r in good.collect()) == [1, 3]
     bad = [r[0] for r in load.quarantine(spark, path, "raw_price_history").collect()]
     assert len(bad) == 2 and "{broken" in bad
-    with pytest.raises(RuntimeError, match="2 line"):
-        load.require_clean(spark, path, "raw_price_history")
+    # The next run has nothing new, and old bad lines do not make it red.
+    results = load.load_pending(spark, str(root), str(house))
+    assert not any(r.failed for r in results.values())
+
+
+def test_loaded_merged_and_rebuilt_agree(spark, tmp_path):
+    root, house = tmp_path / "land", str(tmp_path / "house")
+    good_t = 1704067200
+    write_landed(root, "raw_markets", "m", [])
+    write_landed(root, "raw_price_history", "a", [
+        price_line(good_t), price_line(good_t + 60, fidelity_minutes="abc"), "{broken",
+        price_line(good_t * 1000), price_line(good_t * 1_000_000), price_line(5)])
+    load.load_pending(spark, str(root), house, strict=False)
+    path, fact = load.raw_path(house, "raw_price_history"), str(tmp_path / "fct")
+    upsert.upsert_prices(spark, path, fact, str(tmp_path / "cp"))
+    write_landed(root, "raw_price_history", "b", [price_line(good_t), price_line(good_t + 120)])
+    load.load_pending(spark, str(root), house)
+    upsert.upsert_prices(spark, path, fact, str(tmp_path / "cp"))
+    raw = load.scan_raw(spark, path, "raw_price_history")
+    facts.rebuild_prices(raw, str(tmp_path / "whole"))
+    merged = rows_of(facts.read_prices(spark, fact))
+    assert merged == rows_of(facts.read_prices(spark, str(tmp_path / "whole")))
+    assert len(merged) == 2  # the line with a text for a number is quarantined, odd times are not
+    counted = {r.reason: r.n_rows for r in checks.unusable_points(raw).collect()}
+    assert counted == {"implausible time": 3}
 
 
 def test_finest_then_newest_wins(spark):
     rows = [
-        (T0, "r1", "s", "a", "m", "c", 3600, 0.1, 720),
-        (T0, "r1", "s", "a", "m", "c", 3600, 0.2, 60),
-        (T0 + timedelta(days=1), "r2", "s", "a", "m", "c", 3600, 0.3, 60),
-        (T0 + timedelta(days=2), "r3", "s", "a", "m", "c", 3600, 0.4, 1440),
-        (T0, "r1", "s", "b", "m", "c", 3600, 0.5, 60),
-        (T0, "r2", "s", "b", "m", "c", 3600, 0.6, 60),  # same second: the later run
+        (T0, "r1", "s", "a", "m", "c", 1704070800, 0.1, 720),
+        (T0, "r1", "s", "a", "m", "c", 1704070800, 0.2, 60),
+        (T0 + timedelta(days=1), "r2", "s", "a", "m", "c", 1704070800, 0.3, 60),
+        (T0 + timedelta(days=2), "r3", "s", "a", "m", "c", 1704070800, 0.4, 1440),
+        (T0, "r1", "s", "b", "m", "c", 1704070800, 0.5, 60),
+        (T0, "r2", "s", "b", "m", "c", 1704070800, 0.6, 60),  # same second: the later run
     ]
     staged = staging.stg_prices(spark.createDataFrame(rows, RAW_PRICES))
     assert {r.token_id: r.price for r in staged.collect()} == {"a": 0.3, "b": 0.6}
@@ -219,9 +266,42 @@ def test_warehouse_tables(spark, built):
 
 def test_warehouse_rerun_on_a_batch(built):
     house, tables, raw, prices = built
-    before = rows_of(tables["fct_prices"])
+    before = {name: rows_of(df) for name, df in tables.items()}
     tables.update(house.build(raw, prices.limit(20), full_refresh=False))
-    assert rows_of(tables["fct_prices"]) == before
+    assert {name: rows_of(df) for name, df in tables.items()} == before
+
+
+def test_batches_end_as_a_full_build(spark, tmp_path):
+    rows = [
+        (T0 + timedelta(days=day), f"r{day}-{i}", "s",
+         market_payload(i, volumeNum=100 * day + i, updatedAt=f"2024-01-{3 + day + i % 2:02d}T00:00:00Z"))
+        for day in range(4) for i in range(6)
+    ] + [(None, "r-null", "s", market_payload(1, updatedAt="2024-01-02T00:00:00Z"))]
+    raw = spark.createDataFrame(
+        rows, "_ingested_at timestamp, _run_id string, _source string, payload string")
+    prices = points_table(spark)
+    number = F.substring("_run_id", 5, 4).cast("int")
+    whole = Warehouse(spark, str(tmp_path / "whole")).build(raw, prices)
+    house = Warehouse(spark, str(tmp_path / "parts"))
+    first = F.col("_ingested_at").isNull() | (F.col("_ingested_at") < T0 + timedelta(days=1))
+    house.build(raw.filter(first), prices.filter(number % 3 == 0))
+    for k in (1, 2):
+        later = F.col("_ingested_at") >= T0 + timedelta(days=k)
+        if k == 1:
+            later = later & (F.col("_ingested_at") < T0 + timedelta(days=2))
+        batch = (raw.filter(later), prices.filter(number % 3 == k))
+        parts = house.build(*batch, full_refresh=False, batch=f"b{k}")
+    parts = house.build(*batch, full_refresh=False, batch="b2")  # a replay
+    for name in whole:
+        assert rows_of(parts[name].select(whole[name].columns)) == rows_of(whole[name]), name
+    open_ones = parts["markets_history"].filter("valid_to is null")
+    assert open_ones.groupBy("market_id").count().filter("count > 1").count() == 0
+
+
+def test_a_stale_source_stops_the_build(built):
+    house, _, raw, prices = built
+    with pytest.raises(RuntimeError, match="stale"):
+        house.build(raw, prices, now=F.lit("2025-01-01").cast("timestamp"))
 
 
 def test_prices_after_resolution_do_not_count(spark):
@@ -234,13 +314,11 @@ def test_prices_after_resolution_do_not_count(spark):
             ("t", datetime(2024, 1, 1, 0), 0.2), ("t", datetime(2023, 12, 31, 23), 0.3)]
     points = spark.createDataFrame(rows, "token_id string, price_ts timestamp, price double")
     points = points.withColumn("price_date", F.to_date("price_ts"))
-    for bucketed in (False, True):
-        daily = marts.daily_before_resolution(
-            marts.prices_before_resolution(resolutions, points, bucketed))
-        got = {r.days_before: (r.eod_price, r.abs_daily_move) for r in marts.with_moves(daily).collect()}
-        assert got[0] == (0.9, pytest.approx(0.3))
-        assert got[3] == (0.6, pytest.approx(0.4))
-        assert got[30] == (0.2, None) and len(got) == 3
+    daily = marts.daily_before_resolution(marts.prices_before_resolution(resolutions, points))
+    got = {r.days_before: (r.eod_price, r.abs_daily_move) for r in marts.with_moves(daily).collect()}
+    assert got[0] == (0.9, pytest.approx(0.3))
+    assert got[3] == (0.6, pytest.approx(0.4))
+    assert got[30] == (0.2, None) and len(got) == 3
 
 
 def test_coherence_needs_every_market(spark):
@@ -294,12 +372,29 @@ def test_daily_aggregate_reuses_the_join_partitioning(built, no_broadcast):
         "Exchange")
 
 
-def test_bucketed_prices_are_joined_in_place(spark, built, no_broadcast, tmp_path):
+def test_days_out_of_reach_are_pruned(spark, built):
     _, t, _, _ = built
-    save_bucketed_prices(t["fct_prices"], "bucketed_prices", str(tmp_path / "b"), 4)
-    bucketed = spark.table("bucketed_prices")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     targets = marts.horizon_targets(t["fct_resolutions"])
-    in_place = marts.price_at_targets(targets, bucketed, bucketed=True)
-    plan = plan_of(in_place)
-    assert "Bucketed: true" in plan and plan.count("Exchange") == 1  # the targets only
-    assert rows_of(in_place) == rows_of(marts.price_at_targets(targets, t["fct_prices"]))
+    for df in (
+        marts.price_at_targets(targets, t["fct_prices"]),
+        marts.prices_before_resolution(t["fct_resolutions"], t["fct_prices"]),
+    ):
+        scans = [x for x in plan_of(df).splitlines() if "PartitionFilters" in x and "token_id" in x]
+        assert any("price_date" in x and ">=" in x and "<=" in x for x in scans), scans
+
+
+def test_other_tokens_go_before_closing_prices_are_taken(built, no_broadcast):
+    _, t, _, _ = built
+    plan = plan_of(marts.mart_event_coherence(t["dim_markets"], t["fct_prices"]))
+    lines = plan.splitlines()
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+    closing = [i for i, x in enumerate(lines) if "max_by(price" in x]
+    assert closing and max(closing) < semi  # parents are printed before their children
+
+
+def test_calibration_is_ordered(built):
+    _, t, _, _ = built
+    mart = marts.mart_calibration(t["fct_resolutions"], t["fct_prices"])
+    keys = [(r.horizon_hours, r.price_bucket) for r in mart.collect()]
+    assert keys == sorted(keys)

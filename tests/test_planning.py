@@ -32,8 +32,11 @@ def test_incremental_fetch_overlaps_its_watermark(spark):
     assert window(spark, mark) == (mark - 3600, NOW)
 
 
-def test_stale_watermark_is_capped(spark):
+def test_stale_watermark_is_capped_and_the_rest_counted(spark):
     assert window(spark, NOW - 90 * DAY)[0] == NOW - 30 * DAY
+    df = spark.createDataFrame([(NOW - 90 * DAY,), (NOW - DAY,), (None,)], "watermark long")
+    rows = planning.with_window(df, now()).collect()
+    assert [r.uncovered_seconds for r in rows] == [60 * DAY + 3600, 0, 0]
 
 
 @pytest.mark.parametrize(
@@ -83,7 +86,7 @@ def ids(df):
 def test_scopes(spark):
     markets = market_table(spark)
     assert ids(planning.harvest_scope(markets)) == ["1", "3"]
-    assert [r.market_id for r in planning.harvest_scope(markets, max_markets=1).collect()] == ["3"]
+    assert [r.market_id for r in planning.top_by_volume(planning.harvest_scope(markets), 1).collect()] == ["3"]
     assert ids(planning.backfill_scope(markets)) == ["4", "5", "7"]
     assert ids(planning.backfill_scope(markets, end_date_min="2024-01-17")) == ["4"]
     attempted = spark.createDataFrame([("t5",), ("t5",), ("zz",)], "token_id string")
@@ -98,7 +101,19 @@ def test_sweeps_name_both_states(spark):
     assert recent == {"1": "open", "2": "open", "3": "open", "4": "recently-closed"}
     assert ids(sweeps.sweep(markets, full=True)) == ["1", "2", "3", "4", "5", "7"]
     assert ids(sweeps.sweep(markets, full=True, volume_floor=50_000)) == ["3", "5", "7"]
-    assert ids(sweeps.sweep(markets, full=True, max_rows=1)) == ["1", "4"]
+    assert ids(sweeps.first_of_arms(sweeps.sweep(markets, full=True), 1)) == ["1", "4"]
+
+
+def test_nan_is_below_every_floor(spark):
+    nan = float("nan")
+    markets = spark.createDataFrame(
+        [("1", False, nan), ("2", False, 20_000.0), ("3", True, nan), ("4", False, None)],
+        "market_id string, is_closed boolean, volume_usd double",
+    )
+    assert ids(planning.harvest_scope(markets)) == ["2"]
+    assert ids(planning.backfill_scope(markets)) == []
+    assert ids(sweeps.sweep(markets, full=True, volume_floor=1.0)) == ["2"]
+    assert [r.market_id for r in planning.top_by_volume(markets, 2).collect()] == ["2", "1"]
 
 
 def raw_points(spark, rows):
