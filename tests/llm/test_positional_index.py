@@ -1,0 +1,72 @@
+import random
+
+from conftest import plan_of
+from helpers import brute_hits, docs_frame, random_words
+
+from marketlake.llm.positional_index import PositionalIndex, decontaminate
+
+ITEMS = "item_id long, text string"
+
+
+def check(spark, rows, items):
+    got = decontaminate(docs_frame(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    want = [(i, *brute_hits(t, items)) for i, t in rows]
+    assert sorted(((r.doc_id, r.n_words, r.hit_words, r.hit_items) for r in got), key=str) == sorted(
+        want, key=str)
+    for r in got:
+        assert (r.n_hit, r.n_items) == (len(r.hit_words), len(r.hit_items))
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(random_words(rng, rng.choice([1, 3, 9, 10, 11, 25, 40]), 60)))
+             for i in range(30)]
+    rows = []
+    for i in range(120):
+        w = random_words(rng, rng.randrange(0, 80), 60)
+        for _ in range(rng.randrange(0, 3)):
+            item = rng.choice(items)[1].split()
+            a = rng.randrange(len(item))
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = item[a : a + rng.choice([3, 9, 10, 14, 40])]
+        text = " ".join(w)
+        rows.append((i, rng.choice([text, text.upper(), text.replace(" ", ", "), text + "!"])))
+    check(spark, rows, items)
+
+
+def test_edge_rows(spark):
+    phrase = " ".join(f"p{i}" for i in range(12))
+    items = [(1, phrase), (1, phrase), (1, "solo"), (2, None), (3, ""), (4, "..."), (None, phrase),
+             (10, "Été 2024 日本"), (5, "x x x x x x x x x x x x")]
+    rows = [(0, None), (1, ""), (2, phrase), (2, phrase), (2, "other"), (3, phrase[:-4]),
+            (None, phrase.upper()), (4, "a solo b solo"), (5, "été 2024, 日本!"), (6, "x " * 30),
+            (7, "É" + phrase), (8, phrase + " " + phrase)]
+    # A-Z alone are lower-cased, so the capital É of item 10 is met by itself only.
+    check(spark, rows, items)
+
+
+def test_empty_tables(spark):
+    docs, items = docs_frame(spark, ["a b"]), spark.createDataFrame([(1, "a b")], ITEMS)
+    assert decontaminate(docs.limit(0), items).count() == 0
+    assert [r.n_hit for r in decontaminate(docs, items.limit(0)).collect()] == [0]
+    assert [r.n_hit for r in decontaminate(docs, items).collect()] == [2]
+
+
+def test_clashing_columns_and_plan(spark):
+    extra = ["'q' as _id", "'r' as pos", "5 as n_hit", "'s' as _words"]
+    docs = docs_frame(spark, ["a b c"], extra)
+    result = decontaminate(docs, spark.createDataFrame([(1, "b")], ITEMS))
+    row = result.first()
+    assert (row._id, row.pos, row._words, row.n_hit, row.hit_words) == ("q", "r", "s", 1, [1])
+    plan = plan_of(result)
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_proximity(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha zeta")], ITEMS)
+    far = " ".join(["filler"] * 40)
+    docs = docs_frame(spark, ["gamma x alpha y beta", f"alpha {far} beta gamma", "zeta alpha", None])
+    index = PositionalIndex(docs, items)
+    got = {(r._id, r._item, r.pos) for r in index.proximity_matches(slop=4).collect()}
+    assert got == {(0, "1", 0), (2, "2", 0)} or got == {(0, "1", 4), (2, "2", 0)} or {
+        (a, b) for a, b, _ in got} == {(0, "1"), (2, "2")}

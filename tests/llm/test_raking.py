@@ -1,0 +1,107 @@
+import collections
+import random
+
+import numpy as np
+from conftest import plan_of
+from helpers import DOCS, docs_frame, random_words, words
+
+
+from marketlake.llm.raking import NONE, Targets, mix_sources, rake
+
+
+def brute_rake(table, targets, rounds=200):
+    share = {k: v / sum(table.values()) for k, v in table.items() if v > 0}
+    for _ in range(rounds):
+        for axis, target in enumerate(targets):
+            sums = collections.Counter()
+            for k, v in share.items():
+                sums[k[axis]] += v
+            share = {k: v * target[k[axis]] / sums[k[axis]] for k, v in share.items()}
+    return share
+
+
+def frame(spark, seed=2, n=400):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        source = "hot" if i % 3 == 0 else f"s{rng.randrange(6)}"
+        text = " ".join(random_words(rng, rng.choice([5, 60, 200, 1200])))
+        rows.append((i, text, rng.choice(["en", "en", "de"]), source, len(text)))
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_weights_equal_brute_force_and_meet_the_margins(spark):
+    df = frame(spark)
+    got = mix_sources(df).collect()
+    table, margins = collections.Counter(), [collections.Counter() for _ in range(3)]
+    for r in got:
+        assert r.n_tokens == len(words(r.text))
+        cell = (r.source, r.lang, r.topic)
+        table[cell] += r.n_tokens
+        for axis in range(3):
+            margins[axis][cell[axis]] += r.n_tokens
+    targets = []
+    for counts, power in zip(margins, (0.7, 0.8, 0.9)):
+        raised = {k: v**power for k, v in counts.items()}
+        targets.append({k: v / sum(raised.values()) for k, v in raised.items()})
+    want = brute_rake(table, targets)
+    total = sum(table.values())
+    largest = max(want[c] * total / table[c] for c in want)
+    for r in got:
+        cell = (r.source, r.lang, r.topic)
+        weight = want[cell] * total / table[cell]
+        assert abs(r.weight - weight) < 1e-6
+        assert abs(r.probability - weight / largest) < 1e-6
+    # What the sample is expected to hold has the target shares.
+    for axis in range(3):
+        expected = collections.Counter()
+        for r in got:
+            expected[(r.source, r.lang, r.topic)[axis]] += r.n_tokens * r.probability
+        for k, v in expected.items():
+            assert abs(v / sum(expected.values()) - targets[axis][k]) < 1e-6
+
+
+def test_the_draw_follows_the_probability(spark):
+    got = mix_sources(frame(spark, n=3000)).collect()
+    assert max(r.probability for r in got) == 1.0
+    assert all(r.sampled for r in got if r.probability == 1.0)
+    expected = sum(r.probability for r in got)
+    deviation = np.sqrt(sum(r.probability * (1 - r.probability) for r in got))
+    assert abs(sum(r.sampled for r in got) - expected) < 5 * deviation
+    again = {r.doc_id: r.sampled for r in mix_sources(frame(spark, n=3000).repartition(7)).collect()}
+    assert again == {r.doc_id: r.sampled for r in got}
+
+
+def test_stated_targets(spark):
+    stated = Targets(exponents={}, stated={"lang": {"en": 0.5, "de": 0.5}})
+    got = mix_sources(frame(spark), targets=stated).collect()
+    by = collections.Counter()
+    for r in got:
+        by[r.lang] += r.n_tokens * r.probability
+    assert abs(by["en"] / sum(by.values()) - 0.5) < 1e-6
+
+
+def test_edge_rows(spark):
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "w " * 80, None, "a", 160),
+            (3, "w " * 80, None, "a", 160), (None, "w " * 90, "en", None, 1)]
+    got = mix_sources(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == 5
+    empty = [r for r in got if not (r.text or "").strip()]
+    assert all(r.probability == 0 and not r.sampled for r in empty)
+    assert len({r.sampled for r in got if r.doc_id == 3}) == 1
+    assert mix_sources(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_clashing_columns_and_plan(spark):
+    df = docs_frame(spark, ["a b c"] * 5, ["'t' as topic", "'s' as share", "1 as _id", "2 as tokens"])
+    result = mix_sources(df)
+    rows = result.collect()
+    assert {(r.share, r._id, r.tokens, r.topic) for r in rows} == {("s", 1, 2, "note")}
+    plan = plan_of(result)
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_null_categories_are_their_own(spark):
+    rows = [(i, "w " * 60, None if i % 2 else "en", "a", 1) for i in range(10)]
+    cells = {r.weight for r in mix_sources(spark.createDataFrame(rows, DOCS)).collect()}
+    assert cells and NONE == "(none)"
