@@ -10,15 +10,15 @@ on these keys; k depends on the size band, so a document also emits keys for the
 smaller partner may lie there. Candidates are checked by size, by sketch, and then exactly.
 
 No link between classes is lost. The number of filled buckets is compared with D for every
-document; a band in which one has too few is keyed by single elements, for which the argument
-always holds. Not all pairs of a key are formed: each document is checked against one leader of
-the key first, and only where documents of one key remain in different components are the pairs
-between those components enumerated, in blocks.
+document; a band in which one has too few is keyed by single elements too, for which the argument
+always holds. Not all pairs of a key are formed: each document is checked against leaders of its
+keys first. Only where documents of one key remain in different components are they checked
+against the largest of these components, and then the pairs that are left enumerated, in blocks.
 
 Scale: equal sets within a task emit their keys once, and equal keys within a batch are linked to a
 local leader there, so a key shared by a third of all documents arrives as one row per batch. Keys
-are shuffled once as two or three longs; texts are shuffled only for candidates that pass the
-sketches, compressed. Nothing but counts and the list of bands (at most 64) comes to the driver.
+are shuffled once as two or three longs; texts are read again only for candidates that pass the
+sketches. Nothing but the list of bands (at most 64) comes to the driver.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,13 +35,16 @@ from pyspark.sql import types as T
 from marketlake.llm.common import stored, text_or_empty, tune_arrow
 from marketlake.llm.components import components
 
-SKETCH_WORDS = 16  # 1,024 bits
 # Documents of fewer shingles are keyed by single elements; bands are powers of two.
 SMALL_BAND = 6
+# Bits of a sketch over the least size of its band.
+SKETCH_BITS = 8
 # Filled buckets over differing elements, as planned; see `buckets`.
 SPARE = 1.28
 # Members of one key that one task compares with each other.
 BLOCK = 1024
+# Rounds that join the largest components of the keys before the rest is enumerated.
+BRIDGES = 2
 
 U = np.uint64
 
@@ -65,7 +67,13 @@ def shingles(text: str, size: int) -> np.ndarray:
     total = np.zeros(n - size + 1, U)
     for k in range(size):
         total = total * U(0x9E3779B97F4A7C15) + hashed[k : n - size + 1 + k]
-    return np.unique(mix(total + U(size)))
+    return distinct(mix(total + U(size)))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted values, each once."""
+    values.sort()
+    return values[np.r_[True, values[1:] != values[:-1]]]
 
 
 def max_difference(size: int, percent: int) -> int:
@@ -105,111 +113,114 @@ def levels(size: int, percent: int) -> list[tuple[int, int]]:
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
-    bits = np.bincount((elements & U(SKETCH_WORDS * 64 - 1)).astype(np.int64),
-                       minlength=SKETCH_WORDS * 64) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """Parity bits, four to eight for each element, as 64-bit words.
+
+    With so many bits few differences meet on one, so the distance is close to their number. The
+    number of bits is a power of two: a sketch folds to half its size by XOR of its halves.
+    """
+    bits = max(64, SKETCH_BITS << band(len(elements))) if len(elements) else 64
+    flips = np.bincount((elements & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+PROFILE = [
+    ("n", pa.int64(), T.LongType()),
+    ("f1", pa.int64(), T.LongType()),
+    ("f2", pa.int64(), T.LongType()),
+    ("sketch", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
+    ("keys", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
+    ("thin", pa.list_(pa.int32()), T.ArrayType(T.IntegerType())),
+]
+
 
+def document_keys(elements: np.ndarray, percent: int, exact_levels=None):
+    """(keys of a set, levels where its keys are too few to be sure of a common one).
 
-def profiler(size: int, percent: int):
-    """mapInArrow: _id, _text -> id, n, fingerprint, sketch, and the levels with too few keys."""
+    Of each level the smallest keys, one more than may differ. With `exact_levels` only those
+    levels count, and single elements are the keys.
+    """
+    keys, thin = [np.empty(0, U)], []
+    for level, most in levels(len(elements), percent) if len(elements) else []:
+        if exact_levels is not None and level not in exact_levels:
+            continue
+        found = level_keys(elements, level, percent, exact_levels is not None)
+        if len(found) > most + 1:
+            found = np.partition(found, most)[: most + 1]
+        elif len(found) <= most:
+            thin.append(level)
+        keys.append(found)
+    return np.concatenate(keys), thin
+
+
+def profiler(size: int, percent: int, exact_levels: frozenset[int] | None = None):
+    """mapInArrow: _id, _text -> id and the columns of PROFILE."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {"n": [], "f1": [], "f2": [], "sketch": [], "thin": []}
+            columns: list[list] = [[] for _ in PROFILE]
             for text in batch.column("_text").to_pylist():
                 elements = shingles(text, size)
-                n = len(elements)
                 digest = xxhash.xxh3_128_digest(elements.tobytes())
-                first, second = np.frombuffer(digest, np.int64).tolist()
-                thin = [
-                    level
-                    for level, most in (levels(n, percent) if n else [])
-                    if len(level_keys(elements, level, percent, False)) <= most
-                ]
-                for name, value in zip(rows, (n, first, second, sketch(elements), thin)):
-                    rows[name].append(value)
+                keys, thin = document_keys(elements, percent, exact_levels)
+                row = (
+                    len(elements), *np.frombuffer(digest, np.int64).tolist(),
+                    sketch(elements), keys.view(np.int64), thin,
+                )
+                for column, value in zip(columns, row):
+                    column.append(value)
+            arrays = [pa.array(c, kind) for c, (_, kind, _) in zip(columns, PROFILE)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id"),
-                    pa.array(rows["n"], pa.int64()),
-                    pa.array(rows["f1"], pa.int64()),
-                    pa.array(rows["f2"], pa.int64()),
-                    pa.array(rows["sketch"], pa.list_(pa.int64())),
-                    pa.array(rows["thin"], pa.list_(pa.int32())),
-                ],
-                names=["id", "n", "f1", "f2", "sketch", "thin"],
+                [batch.column("_id"), *arrays], names=["id", *[name for name, _, _ in PROFILE]]
             )
 
     return profile
 
 
-def key_emitter(size: int, percent: int, exact_levels: frozenset[int]):
-    """mapInArrow: _id, _text -> key, salt, id, leader.
+def deal_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow: id, f1, f2, keys -> key, salt, id, leader.
 
     Equal sets of one task emit once. Of equal keys within a batch the first is the leader: its row
     has salt 0 and no leader, the others' salts spread them over the tasks of the next stage.
     """
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for batch in batches:
-            owners, keys = [], []
-            for row, text in enumerate(batch.column("_text").to_pylist()):
-                elements = shingles(text, size)
-                if not len(elements):
-                    continue
-                digest = xxhash.xxh3_128_digest(elements.tobytes())
-                if digest in seen:
-                    continue
-                seen.add(digest)
-                for level, most in levels(len(elements), percent):
-                    found = level_keys(elements, level, percent, level in exact_levels)
-                    if len(found) > most + 1:
-                        found = np.partition(found, most)[: most + 1]
-                    keys.append(found)
-                    owners.append(np.full(len(found), row))
-            if not keys:
-                continue
-            key, owner = np.concatenate(keys), np.concatenate(owners)
-            _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            lead = first[inverse]
-            follows = owner[lead] != owner
-            ids = batch.column("_id")
-            salt = np.where(follows, (mix(key + owner.astype(U)) >> U(1)) | U(1), U(0))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64)),
-                    pa.array(salt.view(np.int64)),
-                    ids.take(pa.array(owner)),
-                    ids.take(pa.array(owner[lead], mask=~follows)),
-                ],
-                names=["key", "salt", "id", "leader"],
-            )
-
-    return emit
-
-
-def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow: _id, _text -> the same with the text as Zstandard bytes, for the network."""
-    compressor = zstandard.ZstdCompressor(level=3)
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        texts = [compressor.compress(t.encode()) for t in batch.column("_text").to_pylist()]
+        prints = zip(batch.column("f1").to_pylist(), batch.column("f2").to_pylist())
+        fresh = []
+        for row, fingerprint in enumerate(prints):
+            if fingerprint not in seen:
+                seen.add(fingerprint)
+                fresh.append(row)
+        lists = batch.column("keys").take(pa.array(fresh, pa.int64()))
+        key = lists.flatten().to_numpy(zero_copy_only=False).view(U)
+        if not len(key):
+            continue
+        owner = np.repeat(np.array(fresh), lists.value_lengths().to_numpy(zero_copy_only=False))
+        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        lead = first[inverse]
+        follows = owner[lead] != owner
+        ids = batch.column("id")
+        salt = np.where(follows, (mix(key + owner.astype(U)) >> U(1)) | U(1), U(0))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), pa.array(texts, pa.binary())], names=["_id", "_text"]
+            [
+                pa.array(key.view(np.int64)),
+                pa.array(salt.view(np.int64)),
+                ids.take(pa.array(owner)),
+                ids.take(pa.array(owner[lead], mask=~follows)),
+            ],
+            names=["key", "salt", "id", "leader"],
         )
 
 
 def verifier(size: int, percent: int):
-    """mapInArrow: a, b, text_a, text_b (squeezed) -> a, b of the pairs that are linked."""
+    """mapInArrow: a, b, text_a, text_b -> a, b of the pairs that are linked."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            known: dict[bytes, np.ndarray] = {}
+            known: dict[str, np.ndarray] = {}
 
-            def of(text: bytes) -> np.ndarray:
+            def of(text: str) -> np.ndarray:
                 if text not in known:
-                    known[text] = shingles(unpacker.decompress(text).decode(), size)
+                    known[text] = shingles(text, size)
                 return known[text]
 
             linked = []
@@ -223,17 +234,34 @@ def verifier(size: int, percent: int):
     return verify
 
 
-def near(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column, percent: int) -> Column:
-    """Whether sizes and sketches allow a link; never false for a linked pair."""
+def folded(sketch: Column, words: Column) -> Column:
+    """A sketch in `words` words: its halves XORed if it has twice as many."""
+    halves = F.zip_with(
+        F.slice(sketch, 1, words),
+        F.slice(sketch, words + 1, words),
+        lambda x, y: x.bitwiseXOR(y),
+    )
+    return F.when(F.size(sketch) > words, halves).otherwise(sketch)
+
+
+def apart(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column, percent: int) -> Column:
+    """At least so many elements differ, by the sketches; null if sizes or sketches rule a link out.
+
+    Never null for a linked pair: sizes that allow a link are at most one band apart.
+    """
     smaller = F.least(n_a, n_b)
-    apart = F.aggregate(
-        F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+    words = F.least(F.size(sketch_a), F.size(sketch_b))
+    distance = F.aggregate(
+        F.zip_with(
+            folded(sketch_a, words),
+            folded(sketch_b, words),
+            lambda x, y: F.bit_count(x.bitwiseXOR(y)),
+        ),
         F.lit(0),
         lambda total, x: total + x,
     )
-    return (percent * F.greatest(n_a, n_b) <= 100 * smaller) & (
-        apart * percent <= (100 - percent) * smaller
-    )
+    sizes = percent * F.greatest(n_a, n_b) <= 100 * smaller
+    return F.when(sizes, F.when(distance * percent <= (100 - percent) * smaller, distance))
 
 
 class ParityJoin:
@@ -246,24 +274,18 @@ class ParityJoin:
     def schema(self, *fields: tuple[str, T.DataType]) -> T.StructType:
         return T.StructType([T.StructField(*field) for field in fields])
 
-    def profiles(self) -> DataFrame:
-        """id, n, f1, f2, sketch, thin of each row."""
+    def profiles(self, exact_levels: frozenset[int] | None = None) -> DataFrame:
+        """id and the columns of PROFILE for each row."""
+        fields = [(name, kind) for name, _, kind in PROFILE]
         return self.rows.mapInArrow(
-            profiler(self.size, self.percent),
-            self.schema(
-                ("id", self.id_type),
-                ("n", T.LongType()),
-                ("f1", T.LongType()),
-                ("f2", T.LongType()),
-                ("sketch", T.ArrayType(T.LongType())),
-                ("thin", T.ArrayType(T.IntegerType())),
-            ),
+            profiler(self.size, self.percent, exact_levels),
+            self.schema(("id", self.id_type), *fields),
         )
 
-    def memberships(self, thin_levels: frozenset[int]) -> DataFrame:
+    def memberships(self, profiles: DataFrame) -> DataFrame:
         """key, id, leader: documents that share a key, each with another of that key."""
-        keyed = self.rows.mapInArrow(
-            key_emitter(self.size, self.percent, thin_levels),
+        keyed = profiles.select("id", "f1", "f2", "keys").mapInArrow(
+            deal_keys,
             self.schema(
                 ("key", T.LongType()),
                 ("salt", T.LongType()),
@@ -279,11 +301,8 @@ class ParityJoin:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked, by their texts."""
-        wanted = pairs.select("a").union(pairs.select("b")).distinct()
-        squeezed = self.rows.mapInArrow(
-            squeeze, self.schema(("_id", self.id_type), ("_text", T.BinaryType()))
-        )
-        texts = squeezed.join(stored(wanted), F.col("_id") == F.col("a"), "left_semi")
+        wanted = stored(pairs.select("a").union(pairs.select("b")).distinct())
+        texts = self.rows.join(wanted, F.col("_id") == F.col("a"), "left_semi")
         first = texts.select(F.col("_id").alias("a"), F.col("_text").alias("text_a"))
         second = texts.select(F.col("_id").alias("b"), F.col("_text").alias("text_b"))
         return (
@@ -297,52 +316,89 @@ class ParityJoin:
         )
 
     def candidates(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs (a, b, ...) of class representatives that sizes and sketches allow."""
+        """Of the pairs (a, b) of class representatives those that may be linked, with `share`.
+
+        `share` is the part of both sets that differs at least, by sizes and sketches.
+        """
         left = classes.select(
             F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")
         )
         right = classes.select(
             F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")
         )
-        near_enough = near(
-            F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"), self.percent
-        )
-        return pairs.join(left, "a").join(right, "b").filter(near_enough).select(*pairs.columns)
-
-    def contested(
-        self, members: DataFrame, reps: DataFrame, classes: DataFrame, found: DataFrame
-    ) -> DataFrame:
-        """Candidate pairs of one key whose documents are in different components so far."""
-        placed = reps.join(found, F.col("rep") == F.col("node"), "left").select(
-            "id", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        led = members.groupBy("id", "leader").agg(F.lit(1).alias("_one"))
+        n_a, n_b = F.col("n_a"), F.col("n_b")
+        share = apart(n_a, n_b, F.col("s_a"), F.col("s_b"), self.percent) / (n_a + n_b)
+        met = pairs.select("a", "b").join(left, "a").join(right, "b")
+        return met.select("a", "b", share.alias("share")).filter(F.col("share").isNotNull())
+
+    def open_members(self, members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
+        """key, rep: the members of keys whose documents are in several components."""
+        placed = with_component(reps, found)
+        here = placed.select("id", F.col("component").alias("_c"))
+        there = placed.select(F.col("id").alias("leader"), F.col("component").alias("_lc"))
         split = (
-            led.join(placed.select("id", F.col("component").alias("_c")), "id")
-            .join(
-                placed.select(F.col("id").alias("leader"), F.col("component").alias("_lc")),
-                "leader",
-            )
+            members.groupBy("id", "leader")
+            .agg(F.lit(1).alias("_one"))
+            .join(here, "id")
+            .join(there, "leader")
             .filter(F.col("_c") != F.col("_lc"))
             .select("id", "leader")
         )
-        open_keys = stored(members.join(split, ["id", "leader"]).select("key").distinct())
-        open_members = members.join(open_keys, "key", "left_semi")
-        grouped = (
-            open_members.select("key", "id")
-            .union(open_members.select("key", F.col("leader").alias("id")))
-            .join(placed, "id")
-            .select("key", "rep", "component")
+        open_keys = stored(members.join(stored(split), ["id", "leader"]).select("key").distinct())
+        kept = members.join(open_keys, "key", "left_semi")
+        both = kept.select("key", "id").union(kept.select("key", F.col("leader").alias("id")))
+        return both.join(reps, "id").select("key", "rep").distinct()
+
+    def bridges(self, members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs between the largest component of each key and the key's other documents.
+
+        A document meets one member of that component per key, another one in each, and the pair
+        that differs least goes on for each document and component.
+        """
+        sizes = found.groupBy("component").agg(F.count("*").alias("_size"))
+        placed = stored(
+            with_component(members.select("key", "rep"), found)
+            .join(sizes, "component", "left")
+            .select("key", "rep", "component", F.coalesce("_size", F.lit(1)).alias("_size"))
+        )
+        lead = F.struct("_size", "component", F.xxhash64("key", "rep"))
+        leaders = placed.groupBy("key").agg(
+            F.max_by(F.struct("rep", "component"), lead).alias("_lead")
+        )
+        met = (
+            placed.join(leaders, "key")
+            .filter(F.col("component") != F.col("_lead.component"))
+            .select(
+                F.col("rep").alias("x"),
+                F.col("_lead.component").alias("there"),
+                F.least("rep", "_lead.rep").alias("a"),
+                F.greatest("rep", "_lead.rep").alias("b"),
+            )
             .distinct()
         )
-        sized = stored(grouped.join(classes.select("rep", "n", "sketch"), "rep"))
-        blocks = sized.groupBy("key").agg(
-            F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("_blocks")
+        near = self.candidates(met.distinct(), classes)
+        best = F.min_by(F.struct("a", "b"), F.struct("share", "a", "b"))
+        return (
+            met.join(near, ["a", "b"]).groupBy("x", "there").agg(best.alias("p")).select("p.*")
+        ).distinct()
+
+    def enumerated(self, members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+        """All pairs of one key and of different components that sizes and sketches allow.
+
+        Members of a key are dealt into blocks, and each block meets each block of its key, itself
+        included, in a place of its own.
+        """
+        placed = with_component(members, found)
+        mixed = placed.groupBy("key").agg(
+            F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("_blocks"),
+            F.min("component").alias("_least"),
+            F.max("component").alias("_most"),
         )
-        dealt = sized.join(blocks, "key").withColumn(
+        mixed = stored(mixed.filter(F.col("_least") != F.col("_most")).select("key", "_blocks"))
+        sized = placed.join(mixed, "key").join(classes.select("rep", "n", "sketch"), "rep")
+        dealt = sized.withColumn(
             "_block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
         )
-        # Each block of a key meets each block of it, itself included, in a place of its own.
         others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
         left = dealt.select(
             "key", F.col("_block").alias("_i"), others.alias("_j"), F.col("rep").alias("a"),
@@ -352,7 +408,7 @@ class ParityJoin:
             "key", others.alias("_i"), F.col("_block").alias("_j"), F.col("rep").alias("b"),
             F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"),
         )
-        near_enough = near(
+        distance = apart(
             F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"), self.percent
         )
         pairs = left.alias("l").join(
@@ -362,7 +418,7 @@ class ParityJoin:
             & (F.col("l._j") == F.col("r._j"))
             & (F.col("a") < F.col("b"))
             & (F.col("c_a") != F.col("c_b"))
-            & near_enough,
+            & distance.isNotNull(),
         )
         return pairs.select("a", "b").distinct()
 
@@ -370,7 +426,6 @@ class ParityJoin:
         """id, n, class_id, component_id of each row."""
         profiles = stored(self.profiles())
         filled = profiles.filter(F.col("n") > 0)
-        thin = filled.select(F.explode("thin").alias("level")).distinct().collect()
         classes = stored(
             filled.groupBy("f1", "f2", "n").agg(
                 F.min("id").alias("rep"), F.first("sketch").alias("sketch")
@@ -381,65 +436,60 @@ class ParityJoin:
             .select("id", "n", F.coalesce("rep", "id").alias("rep"))
         )
         reps = placed.filter(F.col("n") > 0).select("id", "rep").distinct()
-        members = stored(self.memberships(frozenset(row["level"] for row in thin)))
+        keyed = profiles
+        thin = filled.select(F.explode("thin").alias("level")).distinct().collect()
+        if thin:  # at most one level for each power of two
+            exact = frozenset(row["level"] for row in thin)
+            keyed = keyed.unionByName(stored(self.profiles(exact)))
+        members = stored(self.memberships(keyed))
 
-        votes = (
+        # Each document is checked against the leader that seems nearest, from either side.
+        led = (
             members.groupBy("id", "leader")
-            .agg(F.count("*").alias("votes"))
+            .agg(F.lit(1).alias("_one"))
             .join(reps.withColumnRenamed("rep", "_a"), "id")
             .join(reps.select(F.col("id").alias("leader"), F.col("rep").alias("_b")), "leader")
             .filter(F.col("_a") != F.col("_b"))
-            .groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
-            .agg(F.sum("votes").alias("votes"))
-        )
-        led = stored(self.candidates(votes, classes))
-        # First the partner with most common keys, for the larger and for the smaller id of a pair.
-        best = F.max_by(F.struct("a", "b"), F.struct("votes", "a", "b"))
-        first = (
-            led.groupBy("b").agg(best.alias("p")).select("p.*")
-            .union(led.groupBy("a").agg(best.alias("p")).select("p.*"))
+            .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
             .distinct()
-        )
-        links = stored(self.linked(stored(first)))
+        )
+        led = stored(self.candidates(led, classes))
+        best = F.min_by(F.struct("a", "b"), F.struct("share", "a", "b"))
+        by_a, by_b = (led.groupBy(c).agg(best.alias("p")).select("p.*") for c in ("a", "b"))
+        links = stored(self.linked(stored(by_a.union(by_b).distinct())))
         # An id with several sets belongs to all their classes.
         shared = reps.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("_max"))
         shared = shared.filter(F.col("a") != F.col("_max")).select("id", "a")
-        same_id = stored(reps.join(shared, "id").select("a", F.col("rep").alias("b")))
-        links = links.union(same_id)
-
-        open_pairs = None
-        for last in (False, True):
-            found = stored(components(links))
-            if open_pairs is None:
-                open_pairs = stored(self.contested(members, reps, classes, found))
-            where = found.select(F.col("node"), F.col("component"))
-            rest = (
-                open_pairs.join(where.toDF("a", "c_a"), "a", "left")
-                .join(where.toDF("b", "c_b"), "b", "left")
-                .withColumns(
-                    {"c_a": F.coalesce("c_a", "a"), "c_b": F.coalesce("c_b", "b")}
-                )
-                .filter(F.col("c_a") != F.col("c_b"))
-            )
-            if not last:  # one pair for each document and component before all that remain
-                rest = rest.groupBy("a", "c_b").agg(F.min("b").alias("b"))
-            rest = stored(rest.select("a", "b"))
-            if rest.isEmpty():
+        links = links.union(
+            stored(reps.join(shared, "id").select("a", F.col("rep").alias("b")))
+        )
+        found = components(links)
+        open_members = stored(self.open_members(members, reps, found))
+        for step in [self.bridges] * BRIDGES + [None]:
+            if open_members.isEmpty():
                 break
-            links = links.union(stored(self.linked(rest)))
-        else:
-            found = components(links)
-        return (
-            placed.join(found, F.col("rep") == F.col("node"), "left")
-            .select(
-                "id",
-                "n",
-                F.col("rep").alias("class_id"),
-                F.coalesce("component", "rep").alias("component_id"),
-            )
+            if step is None:
+                pairs = stored(self.enumerated(open_members, classes, found))
+            else:
+                pairs = stored(step(open_members, classes, found))
+            if pairs.isEmpty():
+                continue
+            fresh = stored(self.linked(pairs))
+            if not fresh.isEmpty():
+                links = links.union(fresh)
+                found = components(links)
+        return with_component(placed, found).select(
+            "id", "n", F.col("rep").alias("class_id"), F.col("component").alias("component_id")
         )
 
 
+def with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with `rep` and the component it is in so far, its own if it has no link."""
+    return rows.join(found.select("node", "component"), F.col("rep") == F.col("node"), "left").select(
+        *rows.columns, F.coalesce("component", "rep").alias("component")
+    )
+
+
 def jaccard_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
