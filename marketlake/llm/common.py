@@ -41,12 +41,18 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_th")]
 
 
-def pack(df: DataFrame) -> Column:
-    """All columns as one struct, so that working columns cannot clash with them."""
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+def pack(df: DataFrame, *without: str) -> Column:
+    """All columns but `without` as one struct, so that working columns cannot clash with them."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in without]
+    return F.struct(*kept).alias("_row")
 
 
 def unpack(df: DataFrame, names: list[str], **results: Column) -> DataFrame:
-    """The packed columns again, then `results`. A result replaces a column of its name."""
-    kept = [F.col("_row").getField(c).alias(c) for c in names if c not in results]
-    return df.select(*kept, *[col.alias(name) for name, col in results.items()])
+    """The packed columns again, in their order, then `results`.
+
+    A result of a packed or left out column's name stands in its place.
+    """
+    kept = [
+        results[c].alias(c) if c in results else F.col("_row").getField(c).alias(c) for c in names
+    ]
+    return df.select(*kept, *[col.alias(c) for c, col in results.items() if c not in names])

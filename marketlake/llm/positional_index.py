@@ -240,29 +240,38 @@ def decontaminate(
             ).alias("_places")
         )
     )
-    # The words are made below the join, so that every use above reads one array.
-    split = docs.select(
-        pack(docs), *row_key(id_col, text_col), item_words(text_or_empty(text_col)).alias("_words")
+    rows = docs.select(
+        pack(docs, text_col), *row_key(id_col, text_col), F.col(f"`{text_col}`").alias("_text")
     )
-    joined = split.join(
+    joined = rows.join(
         places,
         F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_th") == F.col("_hit_th")),
         "left",
     )
+    # The one-element array binds the words, so that they are made once for a document. They are
+    # made above the join: a list of words is several times the size of the text in a shuffle.
+    doc_words = item_words(F.coalesce(F.col("_text").cast("string"), F.lit("")))
+    judged = F.transform(
+        F.array(doc_words),
+        lambda w: F.struct(
+            F.size(w).alias("n"), phrase_hits(w, F.col("_places"), window).alias("found")
+        ),
+    )[0]
+    checked = joined.select("_row", "_text", judged.alias("_judged"))
     found = F.coalesce(
-        phrase_hits(F.col("_words"), F.col("_places"), window),
-        F.array().cast("array<struct<item:string,hits:array<int>>>"),
+        F.col("_judged.found"), F.array().cast("array<struct<item:string,hits:array<int>>>")
     )
-    checked = joined.select("_row", F.size("_words").alias("_n_words"), found.alias("_found"))
-    # Lists of a bounded size from here on; the joins above keep them apart from the texts.
-    positions = F.array_sort(F.array_distinct(F.flatten("_found.hits")))
-    named = F.array_sort(F.array_distinct(F.filter("_found.item", lambda x: x.isNotNull())))
+    positions = F.array_sort(F.array_distinct(F.flatten(found["hits"])))
+    named = F.array_sort(F.array_distinct(F.filter(found["item"], lambda x: x.isNotNull())))
     return unpack(
         checked,
         docs.columns,
-        n_words=F.col("_n_words").cast("bigint"),
-        n_hit=F.size(positions).cast("bigint"),
-        n_items=F.size(named).cast("bigint"),
-        hit_items=named,
-        hit_words=positions,
+        **{
+            text_col: F.col("_text"),
+            "n_words": F.col("_judged.n").cast("bigint"),
+            "n_hit": F.size(positions).cast("bigint"),
+            "n_items": F.size(named).cast("bigint"),
+            "hit_items": named,
+            "hit_words": positions,
+        },
     )
