@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import line_dedup, parity_join, positional_index, raking, ranking
-from marketlake.llm.common import shared_dir, stored
+from marketlake.llm.common import pack, shared_dir, stored, unpack
 from marketlake.llm.queries import fold, table
 
 
@@ -36,21 +36,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that share an id one stays, the first by text hash. Rows without an id stay.
     """
     classes = parity_join.jaccard_classes(docs)
-    first = classes.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    chosen = docs.join(stored(first), "doc_id", "left_semi").select(docs.columns)
-    repeated = docs.groupBy("doc_id").agg(
-        F.count("*").alias("_n"), F.min(F.xxhash64("text")).alias("_th")
+    first = classes.filter(F.col("doc_id") == F.col("component_id"))
+    first = stored(first.select(F.col("doc_id").alias("_first")).distinct())
+    rows = docs.select(
+        pack(docs), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th")
     )
-    repeated = stored(repeated.filter((F.col("_n") > 1) & F.col("doc_id").isNotNull()))
+    chosen = rows.join(first, F.col("_id") == F.col("_first"), "left_semi")
+    repeated = rows.groupBy("_id").agg(F.count("*").alias("_n"), F.min("_th").alias("_least"))
+    repeated = stored(repeated.filter((F.col("_n") > 1) & F.col("_id").isNotNull()))
     if not repeated.isEmpty():
-        one = repeated.select(F.col("doc_id").alias("_id"), "_th")
-        chosen = chosen.join(
-            one, F.col("doc_id") == F.col("_id"), "left"
-        ).filter(F.col("_th").isNull() | (F.xxhash64("text") == F.col("_th")))
-        alone = chosen.filter(F.col("_th").isNull()).select(docs.columns)
-        shared = chosen.filter(F.col("_th").isNotNull()).dropDuplicates(["doc_id"])
-        chosen = alone.union(shared.select(docs.columns))
-    return chosen.union(docs.filter(F.col("doc_id").isNull()))
+        one = repeated.select(F.col("_id").alias("_repeated"), "_least")
+        marked = chosen.join(one, F.col("_id") == F.col("_repeated"), "left")
+        alone = marked.filter(F.col("_repeated").isNull())
+        shared = marked.filter(F.col("_th") == F.col("_least")).dropDuplicates(["_id"])
+        chosen = alone.select("_row").union(shared.select("_row"))
+    unnamed = rows.filter(F.col("_id").isNull()).select("_row")
+    return unpack(chosen.select("_row").union(unnamed), docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
