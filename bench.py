@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from marketlake.plans import checks, facts, marts, planning, staging
 from marketlake.registry import fixtures
 from marketlake.session import local_session, shared_dir, stored
+from marketlake.sources import landing
+from marketlake.streaming import load, upsert
 
 
 def replicated(raw_prices: DataFrame, copies: int) -> DataFrame:
@@ -80,6 +82,22 @@ def main() -> None:
     merge_path = shared_dir(spark, "merged")
     facts.rebuild_prices(raw_prices, merge_path)
     now = F.lit(fixtures.NOW).cast("bigint")
+    landed = shared_dir(spark, "landing")
+    one_run = {"_run_id": F.lit("bench")}
+    landing.land(raw_prices.withColumns(one_run), landed, "raw_price_history")
+    landing.land(raw_markets.limit(1).withColumns(one_run), landed, "raw_markets")
+    recent = F.col("ingested_at") >= F.lit("1998-01-01").cast("timestamp")
+    open_before = stored(
+        facts.markets_history(log.filter(~recent)).filter(F.col("valid_to").isNull())
+    )
+    late_log = stored(log.filter(recent))
+
+    def upsert_all() -> None:
+        house = shared_dir(spark, "house")
+        load.load_pending(spark, landed, house)
+        upsert.upsert_prices(
+            spark, load.raw_path(house, "raw_price_history"), f"{house}/fct", f"{house}/cp"
+        )
 
     def tables() -> dict[str, DataFrame]:
         return {
@@ -102,6 +120,9 @@ def main() -> None:
             marts.mart_event_coherence(facts.dim_markets(markets), prices)
         ),
         "markets_history": lambda: noop(facts.markets_history(log)),
+        "markets_history_extend": lambda: noop(facts.extend_history(open_before, late_log)),
+        "load_pending": lambda: load.load_pending(spark, landed, shared_dir(spark, "house")),
+        "load_and_upsert": upsert_all,
         "mart_daily_volume": lambda: noop(marts.mart_daily_volume(history)),
         "finest_fidelity": lambda: noop(planning.finest_fidelity(raw_prices)),
         "gap_report": lambda: noop(planning.gap_report(prices, 24)),
