@@ -73,7 +73,7 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTR = re.compile(
-    r"(?P<name>class|id|role|hidden|style|aria-hidden)(?![\w-])"
+    r"(?<![\w-])(?P<name>class|id|role|hidden|style|aria-hidden)(?![\w-])"
     r"(?:\s*=\s*(?:\"(?P<d>[^\"]*)\"|'(?P<s>[^']*)'|(?P<u>[^\s\"'>]+)))?",
     re.IGNORECASE,
 )
