@@ -72,29 +72,29 @@ def dedup_lines(
         .groupBy(F.col("_id").alias("_drop_id"), F.col("_th").alias("_drop_th"))
         .agg(F.collect_set("_pos").alias("_drop"))
     )
-    # The lines are split below the join, so that every use above reads one array.
-    split = docs.select(
-        pack(docs),
-        *row_key(id_col, text_col),
-        F.split(text_or_empty(text_col), "\n").alias("_lines"),
+    rows = docs.select(
+        pack(docs, text_col), *row_key(id_col, text_col), F.col(f"`{text_col}`").alias("_text")
     )
-    joined = split.join(
+    joined = rows.join(
         dropped,
         F.col("_id").eqNullSafe(F.col("_drop_id")) & (F.col("_th") == F.col("_drop_th")),
         "left",
     )
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    cleaned = F.array_join(F.transform(stay, lambda i: F.col("_lines")[i]), "\n")
+    # The one-element array binds the lines, so that they are split once for a document.
+    text = F.coalesce(F.col("_text").cast("string"), F.lit(""))
+
+    def without_dropped(lines):
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
+        return F.array_join(F.transform(stay, lambda i: lines[i]), "\n")
+
+    cleaned = F.transform(F.array(F.split(text, "\n")), without_dropped)[0]
+    kept = F.col("_drop").isNull()
     return unpack(
         joined,
         docs.columns,
         **{
-            text_col: F.when(F.col("_drop").isNull(), F.col("_row").getField(text_col)).otherwise(
-                cleaned
-            ),
-            "n_lines": F.size("_lines").cast("bigint"),
-            "n_dropped": F.when(F.col("_drop").isNull(), F.lit(0))
-            .otherwise(F.size("_drop"))
-            .cast("bigint"),
+            text_col: F.when(kept, F.col("_text")).otherwise(cleaned),
+            "n_lines": F.size(F.split(text, "\n")).cast("bigint"),
+            "n_dropped": F.when(kept, F.lit(0)).otherwise(F.size("_drop")).cast("bigint"),
         },
     )
