@@ -12,9 +12,9 @@ def compare(spark, rows):
     got = sorted(
         ((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in dedup_lines(df).collect()), key=str
     )
-    null = {i for i, t in rows if t is None}
     want = [
-        (i, n, d, None if i in null else kept) for i, n, d, kept in brute_line_dedup(rows)
+        (i, n, d, None if text is None else kept)
+        for (_, text), (i, n, d, kept) in zip(rows, brute_line_dedup(rows))
     ]
     assert got == sorted(want, key=str)
 
