@@ -61,8 +61,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sampled documents, with their topic, tokens, weight and probability."""
-    return raking.mix_sources(docs).filter("sampled").drop("sampled")
+    """The sampled documents, with their topic, tokens, weight and probability.
+
+    A document is there as many times as the sample has copies of it.
+    """
+    mixed = raking.mix_sources(docs).filter("sampled")
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))
+    repeated = mixed.select(pack(mixed), times.alias("_time"))
+    return unpack(repeated, [c for c in mixed.columns if c not in ("sampled", "copies")])
 
 
 STAGES = [

@@ -2,8 +2,9 @@
 
 Token weights of the cells (one for each combination of source, language and topic) are raked:
 multiplied so that the totals by source meet their targets, then by language, then by topic, and
-again until all hold. A document is then drawn with the probability its cell's factor gives,
-by a hash of its id, so that the expected tokens of the sample have the target shares.
+again until all hold. A document is then taken as often as its cell's factor gives, in whole
+copies and a draw by a hash of its id, so that the expected tokens of the sample have the target
+shares. How much is taken does not hang on the rarest cells: see `scale_of`.
 
 Scale: the documents are read twice, once for the cell totals (map-side partials) and once for the
 draw. The rounds work on the cells alone, as tables joined and summed by Spark; only the largest
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import pack, stored, text_or_empty, unpack, words
@@ -127,6 +128,26 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance
     return state, error
 
 
+# Buckets of weights for each doubling.
+FINENESS = 64
+
+
+def scale_of(weights: DataFrame, rate: float, rare: float) -> DataFrame:
+    """One row, `_scale`: the weight of which a document is taken once.
+
+    It is the largest weight, but for the heaviest cells that hold no more than `rare` of the target
+    tokens together, and 1 / `rate` at most. `weights` has `share` and `weight`, one row a cell.
+    """
+    buckets = weights.groupBy(F.floor(F.log2("weight") * FINENESS).alias("_bucket")).agg(
+        F.sum("share").alias("_mass"), F.max("weight").alias("_top")
+    )
+    heavier = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    above = buckets.withColumn("_above", F.coalesce(F.sum("_mass").over(heavier), F.lit(0.0)))
+    return above.filter(F.col("_above") <= rare).agg(
+        F.least(F.min("_top"), F.lit(1.0 / rate)).alias("_scale")
+    )
+
+
 def mix_sources(
     docs: DataFrame,
     targets: Targets = Targets(),
@@ -138,13 +159,21 @@ def mix_sources(
     rounds: int = 50,
     tolerance: float = 1e-9,
     seed: int = 7,
+    rate: float = 0.4,
+    rare: float = 1e-4,
 ) -> DataFrame:
-    """`docs` with `topic`, `n_tokens` (words), `weight`, `probability` and `sampled`.
+    """`docs` with `topic`, `n_tokens` (words), `weight`, `probability`, `sampled` and `copies`.
+
+    `weight` is the raked share of tokens over the corpus' own, of the document's cell. Divided by
+    the scale, to 9 decimals, it is the number of copies to expect; `probability` is that number, 1
+    at most. `copies` is its whole part, and one more if a hash of the id and `seed`, as a number
+    below 1, is below the rest. `sampled`: there is a copy. With every row taken `copies` times,
+    each cell is expected to have its target share. `topic` is an expression over the text column
+    (default `register_of`).
 
-    `weight` is the raked share of tokens over the corpus' own, of the document's cell;
-    `probability` is weight / largest weight, to 9 decimals: the largest sample in which every cell
-    has its target share. `sampled`: a hash of the id and `seed`, as a number below 1, is below the
-    probability. `topic` is an expression over the text column (default `register_of`).
+    `rate` is the least share of the corpus' tokens that the sample is expected to hold. It holds
+    more as long as only cells with `rare` of the target tokens need more than one copy. So a tiny
+    source gets repeats and takes nothing from the others.
 
     A null source, language or topic is a category of its own, "(none)". A document without words
     has weight and probability 0 if its cell has no tokens, else those of its cell. Rows that share
@@ -169,12 +198,13 @@ def mix_sources(
         .join(total, "_k")
         .withColumn("weight", F.col("share") * F.col("_total") / F.col("tokens"))
     )
-    largest = weights.agg(F.max("weight").alias("_largest")).withColumn("_k", F.lit(0))
+    weights = stored(weights)
+    scale = scale_of(weights, rate, rare).withColumn("_k", F.lit(0))
     chances = stored(
-        weights.join(largest, "_k").select(
+        weights.join(scale, "_k").select(
             *[F.col(m).alias(f"_{m}") for m in margins],
             "weight",
-            F.round(F.col("weight") / F.col("_largest"), 9).alias("probability"),
+            F.round(F.col("weight") / F.col("_scale"), 9).alias("expected"),
         )
     )
     joined = described.join(
@@ -182,15 +212,18 @@ def mix_sources(
     ).select(
         "_row", "_id", "topic", "tokens",
         F.coalesce("weight", F.lit(0.0)).alias("weight"),
-        F.coalesce("probability", F.lit(0.0)).alias("probability"),
+        F.coalesce("expected", F.lit(0.0)).alias("expected"),
     )
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_id")), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    whole = F.floor("expected")
+    copies = whole + (draw < F.col("expected") - whole).cast("bigint")
     return unpack(
         joined,
         docs.columns,
         topic=F.col("topic"),
         n_tokens=F.col("tokens"),
         weight=F.col("weight"),
-        probability=F.col("probability"),
-        sampled=draw < F.col("probability"),
+        probability=F.least(F.col("expected"), F.lit(1.0)),
+        sampled=copies > 0,
+        copies=copies,
     )

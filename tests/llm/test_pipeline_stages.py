@@ -120,3 +120,13 @@ def test_edge_rows_and_empty_tables(spark, name):
     extra = docs.withColumn("_id", F.lit("x")).withColumn("component_id", F.lit("y"))
     again = stage(name)(spark, extra, SF)
     assert {"_id", "component_id"} <= set(again.columns) and again.filter("_id <> 'x'").count() == 0
+
+
+def test_mixing_stage_repeats_rows_by_copies(spark):
+    rows = [(i, "w " * 300, "en", "large", 600) for i in range(400)]
+    rows += [(9000 + i, "w " * 300, "en", "rare", 600) for i in range(2)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = stage("mixing")(spark, docs, SF).collect()
+    counts = [sum(r.doc_id == 9000 + i for r in got) for i in range(2)]
+    want = {r.doc_id: r.copies for r in raking.mix_sources(docs).collect()}
+    assert counts == [want[9000], want[9001]] and min(counts) >= 1 and len(got) == sum(want.values())

@@ -105,3 +105,28 @@ def test_null_categories_are_their_own(spark):
     rows = [(i, "w " * 60, None if i % 2 else "en", "a", 1) for i in range(10)]
     cells = {r.weight for r in mix_sources(spark.createDataFrame(rows, DOCS)).collect()}
     assert cells and NONE == "(none)"
+
+
+def test_a_tiny_source_takes_nothing_from_the_others(spark):
+    df = frame(spark, n=3000)
+    base = {r.doc_id: r for r in mix_sources(df).collect()}
+    rare = spark.createDataFrame([(9001, "three short words", "en", "tiny", 17)], DOCS)
+    none = spark.createDataFrame([(9001, "three short words", None, None, 17)], DOCS)
+    for extra in (rare, none):
+        got = {r.doc_id: r for r in mix_sources(df.unionByName(extra)).collect()}
+        tiny = got.pop(9001)
+        assert tiny.weight > 5 and tiny.probability == 1.0 and tiny.copies >= 2
+        kept, before = (sum(r.sampled for r in rows.values()) for rows in (got, base))
+        assert abs(kept - before) < 0.03 * before
+        assert max(abs(got[i].probability - base[i].probability) for i in base) < 0.05
+
+
+def test_a_rare_source_of_some_size_leaves_the_stated_rate(spark):
+    df = frame(spark, n=3000)
+    rows = [(9000 + i, "w " * 300, "en", "rare", 600) for i in range(20)]
+    got = mix_sources(df.unionByName(spark.createDataFrame(rows, DOCS)), Targets({"source": 0.0})).collect()
+    total = sum(r.n_tokens for r in got)
+    taken = sum(r.n_tokens * r.copies for r in got)
+    assert max(r.weight for r in got) > 10 and 0.37 * total < taken < 0.43 * total
+    # Every cell has its target in whole copies and a draw.
+    assert all(abs(r.copies - 0.4 * r.weight) < 1 for r in got)
