@@ -2,9 +2,12 @@
 
 For each node of a page the density is its characters over its tags, adjusted by links: text
 inside links counts against a node, more so in pages whose body is mostly links. A node's density
-sum is the sum over its children. The threshold is the smallest density on the path from the body
-to the node with the largest density sum; the node on that path whose density reaches the
-threshold and whose density sum is largest holds the article. Its blocks are the result.
+sum is the sum over its children; texts beside blocks count as children. The threshold is the
+smallest density on the path from the body to the node with the largest density sum, or the median
+density of that node's blocks if it is less: densities grow with the size of a node, and a shorter
+section of the same prose is no less a part of the article. From the body
+down, every branch whose density reaches the threshold gives its subtree with the largest density
+sum. The blocks of these and the headings right before them, in page order, are the result.
 
 Elements that never hold prose of the article (navigation, scripts, forms, asides, and elements
 named as adverts, comments and the like) are left out before anything is counted.
@@ -19,6 +22,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from statistics import median_low
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -82,14 +86,24 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNO
 SPACE = re.compile(r"\s+")
 
 
+RUN = "#run"
+HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+
+
 class Node:
-    """An element; `parts` holds texts and child nodes in page order."""
+    """An element; `parts` holds texts and child nodes in page order.
+
+    A node with the tag RUN holds the texts and inline elements between two blocks. `top` is the
+    block with the largest density sum below a node, or itself; `around` the nearest article or main
+    element that a node is or is in.
+    """
 
     __slots__ = ("tag", "parent", "parts", "skip", "chars", "tags", "link_chars", "link_tags",
-                 "density", "density_sum")
+                 "density", "density_sum", "block", "top", "around")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.parts, self.skip = tag, parent, [], skip
+        self.around = self if tag in ("article", "main") else parent and parent.around
 
 
 def is_boilerplate(tag: str, attrs: str) -> bool:
@@ -200,8 +214,31 @@ def _postorder(root: Node) -> list[Node]:
     return order
 
 
+def _wrap_runs(root: Node) -> None:
+    """Put what stands between blocks into nodes of its own, where a node has both."""
+    for node in _postorder(root):
+        inner = [isinstance(p, Node) and not p.skip and p.block for p in node.parts]
+        node.block = node is root or node.tag not in INLINE or any(inner)
+        if not any(inner):
+            continue
+        parts, node.parts, run = node.parts, [], None
+        for part, block in zip(parts, inner, strict=True):
+            if block or (isinstance(part, Node) and part.skip and part.tag not in INLINE):
+                node.parts.append(part)
+                run = None
+                continue
+            if run is None:
+                run = Node(RUN, node, False)
+                run.block = True
+                node.parts.append(run)
+            run.parts.append(part)
+            if isinstance(part, Node):
+                part.parent = run
+
+
 def densities(root: Node) -> list[Node]:
     """Fill the counts and densities of all nodes that are not left out; children come first."""
+    _wrap_runs(root)
     order = _postorder(root)
     for node in order:
         node.chars = node.tags = node.link_chars = node.link_tags = 0
@@ -210,7 +247,7 @@ def densities(root: Node) -> list[Node]:
                 node.chars += _visible(part)
             elif not part.skip:
                 node.chars += part.chars
-                node.tags += part.tags + 1
+                node.tags += part.tags + (part.tag != RUN)
                 node.link_chars += part.link_chars
                 node.link_tags += part.link_tags + (part.tag == "a")
         if node.tag == "a":
@@ -227,33 +264,63 @@ def densities(root: Node) -> list[Node]:
             base = math.log(chars * links / plain + body_links * chars + math.e)
             odds = max(1.0, (chars / links) * (tags / link_tags))
             node.density = chars / tags * math.log(odds, base) if odds > 1 else 0.0
-        node.density_sum = sum(
-            p.density for p in node.parts if isinstance(p, Node) and not p.skip
-        )
+        inner = [p for p in node.parts if isinstance(p, Node) and not p.skip and p.block]
+        # A block without blocks stands for itself.
+        node.density_sum = sum(p.density for p in inner) if inner else node.density
+        node.top = max([node, *(p.top for p in inner)], key=lambda n: n.density_sum)
     return order
 
 
-def main_node(root: Node) -> Node:
-    """The node that holds the article.
+def main_nodes(root: Node) -> list[Node]:
+    """The nodes that hold the article, in page order; none is inside another.
 
     From the node with the largest density sum, the path to the body gives the threshold, its
-    smallest density. The result is the highest node on that path that meets it and whose own
-    density sum is the largest of those.
+    smallest density, or the median of the node's blocks. A node that does not meet it is left out
+    with all below it, but for headings before a node that stays.
     """
-    order = densities(root)
-    best = max(order, key=lambda n: (n.density_sum, n.density))
-    path, node = [], best
+    densities(root)
+    node = root.top
+    inside = [p.density for p in node.parts if isinstance(p, Node) and not p.skip and p.block]
+    threshold = median_low(inside or [node.density])
     while node is not None:
-        path.append(node)
+        threshold = min(threshold, node.density)
         node = node.parent
-    threshold = min(n.density for n in path)
-    above = [n for n in path if n.density >= threshold]
-    chosen = max(above, key=lambda n: n.density_sum)
-    # A page's h1 or lead may stand beside the block of paragraphs, within the same article.
-    for node in path:
-        if node.tag in ("article", "main"):
-            return node
-    return chosen
+    chosen: set[Node] = set()
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node in chosen or node.density < threshold:
+            continue
+        # Short blocks of an article, such as its h1, stay with it.
+        chosen.add(node.top.around or node.top)
+        if node not in chosen:
+            stack.extend(
+                p for p in reversed(node.parts) if isinstance(p, Node) and not p.skip and p.block
+            )
+    holding: set[Node] = set()
+    for node in chosen:
+        while node is not None and node not in holding:
+            holding.add(node)
+            node = node.parent
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node in chosen:
+            found.append(node)
+        elif node in holding:
+            kept, before = [], False
+            for part in reversed(node.parts):
+                if not isinstance(part, Node) or part.skip:
+                    continue
+                if part in holding or (before and part.tag in HEADINGS):
+                    kept.append(part)
+                    before = True
+                elif part.density_sum != part.density:
+                    before = False  # a heading before such a part belongs to it
+            stack.extend(kept)
+        else:
+            found.append(node)
+    return found
 
 
 def blocks(node: Node) -> list[str]:
@@ -298,7 +365,7 @@ def main_text(page: str | None) -> str:
     """The article of a page, one block per line."""
     if not page:
         return ""
-    return "\n".join(blocks(main_node(parse(page))))
+    return "\n".join(text for node in main_nodes(parse(page)) for text in blocks(node))
 
 
 def main_texts():

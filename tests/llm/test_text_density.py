@@ -89,3 +89,33 @@ def test_given_pages(spark):
         parts = re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))
         texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in parts]
         assert r.text == "\n".join(t for t in texts if t)
+
+
+def paragraphs(name, n):
+    return [f"{name} {i}: " + "running text that is clearly part of the article, " * 3 + "end." for i in range(n)]
+
+
+def tagged(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize("sizes", [(4, 4), (8, 3), (3, 8), (5, 5, 5), (1, 6, 2)])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_all_sections_of_a_page(sizes, tag):
+    parts = [paragraphs(f"part {k}", n) for k, n in enumerate(sizes)]
+    body = "".join(f"<{tag}>{tagged(p)}</{tag}>" for p in parts)
+    links = "".join(f'<li><a href="/{i}">Another story number {i}</a></li>' for i in range(20))
+    want = "\n".join(t for p in parts for t in p)
+    assert main_text(page(f"<div>{body}</div>")) == want
+    assert main_text(page(f"{MENU}<ul>{links}</ul><div>{body}</div><div><ul>{links}</ul></div>")) == want
+
+
+def test_heading_and_text_beside_the_body():
+    texts = paragraphs("body", 6)
+    lead = "A lead that stands by itself, without an element around it, and is <b>long</b> enough to count."
+    links = "".join(f'<li><a href="/{i}">Another story number {i}</a></li>' for i in range(20))
+    got = main_text(page(f"<ul>{links}</ul><div><h1>A headline of some length</h1>{lead}<div>{tagged(texts)}</div></div>"))
+    assert got == "\n".join(["A headline of some length", lead.replace("<b>", "").replace("</b>", ""), *texts])
+    assert main_text(page(f"<div><h1>Title</h1><div>{tagged(texts)}</div></div>")) == "\n".join(["Title", *texts])
+    other = f"<h2>More</h2><ul>{links}</ul>"
+    assert main_text(page(f"{other}<h1>Title</h1><div>{tagged(texts)}</div>{other}")) == "\n".join(["Title", *texts])
