@@ -13,6 +13,7 @@ error of a round comes to the driver.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,11 +84,26 @@ class Targets:
         return joined.select("category", share.alias("target"))
 
 
+class MarginsNotMet(UserWarning):
+    """Raking ended above its tolerance. `error` is the largest error left, `margins` the largest of
+    each margin."""
+
+    def __init__(self, error: float, margins: dict[str, float], rounds: int):
+        self.error, self.margins, self.rounds = error, margins, rounds
+        left = ", ".join(f"{m} {e:.3g}" for m, e in margins.items())
+        super().__init__(f"error {error:.3g} left after {rounds} rounds of raking; by margin: {left}")
+
+
+# Raking ends when the error has not fallen by a hundredth in so many rounds.
+PATIENCE = 10
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float):
     """(`cells` with `share`, largest error left): shares that meet all margins.
 
     `cells` has the margins and `tokens`. Each round scales the shares by margin after margin.
-    Margins that no weights can meet together end at the last round, as near as it came.
+    Margins that no weights can meet together end when the error falls no further, or at the last
+    round, as near as it came, with the warning `MarginsNotMet`.
     """
     margins = list(targets)
     total = cells.agg(F.sum("tokens").alias("_total")).withColumn("_k", F.lit(0))
@@ -98,9 +114,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance
         .filter(F.col("tokens") > 0)
     )
     wanted = {m: stored(t) for m, t in targets.items()}
-    error = 0.0
+    seen: list[float] = []
+    left: dict[str, float] = {}
     for _ in range(rounds):
-        errors = None
         for margin in margins:
             sums = state.groupBy(F.col(margin).alias("category")).agg(
                 F.sum("share").alias("_sum")
@@ -118,13 +134,18 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance
                 .withColumn(f"_error_{margin}", F.col("_error"))
                 .drop("category", "_factor", "_error")
             )
-            worst = F.max(f"_error_{margin}")
-            errors = worst if errors is None else F.greatest(errors, worst)
         state = stored(state)
-        error = state.agg(errors.alias("e")).head()["e"] or 0.0
+        worst = state.agg(*[F.max(f"_error_{m}").alias(m) for m in margins]).head()
+        left = {m: worst[m] or 0.0 for m in margins}
+        seen.append(max(left.values()))
         state = state.drop(*[f"_error_{m}" for m in margins])
-        if error <= tolerance:
+        if seen[-1] <= tolerance:
+            return state, seen[-1]
+        if len(seen) > PATIENCE and min(seen[-PATIENCE:]) > 0.99 * min(seen[:-PATIENCE]):
             break
+    error = seen[-1] if seen else 0.0
+    if error > tolerance:
+        warnings.warn(MarginsNotMet(error, left, len(seen)), stacklevel=2)
     return state, error
 
 
@@ -156,7 +177,7 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     lang_col: str = "lang",
-    rounds: int = 50,
+    rounds: int = 500,
     tolerance: float = 1e-9,
     seed: int = 7,
     rate: float = 0.4,
@@ -175,6 +196,9 @@ def mix_sources(
     more as long as only cells with `rare` of the target tokens need more than one copy. So a tiny
     source gets repeats and takes nothing from the others.
 
+    Targets that are not met to the `tolerance` when raking makes no further progress, or after
+    `rounds`, are told by the warning `MarginsNotMet`, which holds the error of each margin.
+
     A null source, language or topic is a category of its own, "(none)". A document without words
     has weight and probability 0 if its cell has no tokens, else those of its cell. Rows that share
     an id are drawn alike within a cell. Other columns pass through; a column named like a result

@@ -2,11 +2,13 @@ import collections
 import random
 
 import numpy as np
+import pytest
 from conftest import plan_of
 from helpers import DOCS, docs_frame, random_words, words
+from pyspark.sql import functions as F
 
 
-from marketlake.llm.raking import NONE, Targets, mix_sources, rake
+from marketlake.llm.raking import NONE, MarginsNotMet, Targets, mix_sources, rake
 
 
 def brute_rake(table, targets, rounds=200):
@@ -130,3 +132,25 @@ def test_a_rare_source_of_some_size_leaves_the_stated_rate(spark):
     assert max(r.weight for r in got) > 10 and 0.37 * total < taken < 0.43 * total
     # Every cell has its target in whole copies and a draw.
     assert all(abs(r.copies - 0.4 * r.weight) < 1 for r in got)
+
+
+def test_margins_that_cannot_be_met_are_told(spark):
+    none = spark.createDataFrame([(9001, "three short words", None, None, 17)], DOCS)
+    with pytest.warns(MarginsNotMet) as told:
+        mix_sources(frame(spark).unionByName(none))
+    (left,) = [w.message for w in told if isinstance(w.message, MarginsNotMet)]
+    assert 1e-9 < left.error < 0.01 and left.error == max(left.margins.values()) and left.rounds < 50
+    assert set(left.margins) == {"source", "lang", "topic"}
+
+
+def test_slow_raking_goes_on_to_the_tolerance(spark):
+    # After 50 rounds an error of 3e-8 is left; it takes 63.
+    cells = {("a", "x"): 1000, ("a", "y"): 60, ("b", "x"): 60, ("b", "y"): 1000}
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, tokens long")
+    shares = {"source": {"a": 0.3, "b": 0.7}, "lang": {"x": 0.31, "y": 0.69}}
+    targets = {m: spark.createDataFrame(list(t.items()), "category string, target double") for m, t in shares.items()}
+    raked, error = rake(df, targets, 500, 1e-9)
+    assert error <= 1e-9
+    for m, t in shares.items():
+        for r in raked.groupBy(m).agg(F.sum("share").alias("s")).collect():
+            assert abs(r.s - t[r[m]]) < 1e-8
