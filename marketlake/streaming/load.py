@@ -9,6 +9,7 @@ neither loses nor doubles rows, and the table needs no log of its files.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,8 @@ class LoadResult:
     batches: list[int] = field(default_factory=list)
     rows: int = 0
     bad_lines: int = 0
-    unreadable_files: int = 0
+    unreadable_files: int = 0  # of which no row was loaded, or only the rows before a break
+    partly_read: list[str] = field(default_factory=list)
     error: str | None = None
 
     @property
@@ -55,6 +57,7 @@ class LoadFailed(RuntimeError):
         super().__init__(
             "; ".join(
                 f"{r.table}: {r.bad_lines} line(s) and {r.unreadable_files} file(s) failed to load"
+                + (f", partly read: {', '.join(r.partly_read)}" if r.partly_read else "")
                 + (f": {r.error}" if r.error else "")
                 for r in bad
             )
@@ -82,6 +85,30 @@ def landed_stream(
     return reader.json(f"{table_path(root, table)}/dt=*")
 
 
+# Files that can break off part-way.
+COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|zst|lz4|snappy)$"
+
+
+def broken_off(spark: SparkSession, files: list[str]) -> list[str]:
+    """Those of `files` that cannot be read to their end: all are read again, halves if that fails."""
+    if not files:
+        return []
+    try:
+        (
+            spark.read.option("ignoreCorruptFiles", False)
+            .option("recursiveFileLookup", True)
+            .text([unquote(f) for f in files])
+            .agg(F.sum(F.length("value")))
+            .collect()
+        )
+        return []
+    except Exception:  # whatever the codec raises
+        if len(files) == 1:
+            return files
+    half = len(files) // 2
+    return broken_off(spark, files[:half]) + broken_off(spark, files[half:])
+
+
 def load_table(
     spark: SparkSession,
     root: str,
@@ -91,10 +118,12 @@ def load_table(
     *,
     files_per_batch: int = FILES_PER_BATCH,
     archive_dir: str | None = None,
+    partly_read: list[str] | None = None,
 ) -> list[int]:
     """Load all pending files of one table into `target`; returns the numbers of the batches.
 
-    Lines that do not parse go to `quarantined=true`, so a bad line holds up no other.
+    Lines that do not parse go to `quarantined=true`, so a bad line holds up no other. Compressed
+    files that gave rows but break off are added to `partly_read`.
     """
     batches: list[int] = []
 
@@ -106,6 +135,11 @@ def load_table(
             .partitionBy("load_batch", "quarantined", "ingest_date")
             .parquet(target)
         )
+        if partly_read is not None:
+            # Within the batch: its files are not archived yet, and a crash repeats this too.
+            loaded = loaded_rows(spark, target, table).filter(F.col("load_batch") == batch)
+            packed = loaded.select("load_file").distinct().filter(F.col("load_file").rlike(COMPRESSED))
+            partly_read.extend(broken_off(spark, sorted(r["load_file"] for r in packed.collect())))
         batches.append(batch)
 
     landed = landed_stream(spark, root, table, files_per_batch, archive_dir)
@@ -146,8 +180,10 @@ def unread_files(spark: SparkSession, root: str, target: str, table: str) -> Dat
     )
 
 
-def _summary(spark: SparkSession, root: str, target: str, table: str, batches: list[int]):
-    result = LoadResult(table, batches)
+def _summary(
+    spark: SparkSession, root: str, target: str, table: str, batches: list[int], partly: list[str]
+):
+    result = LoadResult(table, batches, partly_read=partly)
     if batches:
         counts = (
             loaded_rows(spark, target, table)
@@ -159,7 +195,8 @@ def _summary(spark: SparkSession, root: str, target: str, table: str, batches: l
             .head()
         )
         result.rows, result.bad_lines = counts["good"], counts["bad"]
-        result.unreadable_files = unread_files(spark, root, target, table).count()
+        unread = unread_files(spark, root, target, table).count()
+        result.unreadable_files = unread + len(partly)
     return result
 
 
@@ -181,6 +218,7 @@ def load_pending(
     results = {}
     for table in selected_tables(include_events):
         target = raw_path(warehouse, table)
+        partly: list[str] = []
         try:
             batches = load_table(
                 spark,
@@ -190,8 +228,9 @@ def load_pending(
                 f"{warehouse.rstrip('/')}/checkpoints/load_{table}",
                 files_per_batch=files_per_batch,
                 archive_dir=archive_dir,
+                partly_read=partly,
             )
-            results[table] = _summary(spark, root, target, table, batches)
+            results[table] = _summary(spark, root, target, table, batches, partly)
         except Exception as exc:  # reported with the others at the end
             results[table] = LoadResult(table, error=f"{type(exc).__name__}: {str(exc)[:500]}")
     if strict and any(r.failed for r in results.values()):

@@ -1,5 +1,6 @@
 """Landing, loading, merging and the warehouse, on disk."""
 
+import gzip
 import json
 import random
 from datetime import datetime, timedelta
@@ -150,6 +151,22 @@ def test_bad_lines_and_files_fail_the_run_at_the_end(spark, tmp_path):
     assert not any(r.failed for r in results.values())
 
 
+def test_a_compressed_file_that_breaks_off_fails_the_run(spark, tmp_path):
+    root, house, archive = tmp_path / "land", tmp_path / "house", tmp_path / "loaded"
+    write_landed(root, "raw_markets", "m", [])
+    write_landed(root, "raw_price_history", "a", [price_line(1)])
+    folder = Path(root, "raw/raw_price_history/dt=2026-07-05")
+    lines = "".join(f"{price_line(i)}\n" for i in range(20_000)).encode()
+    (folder / "whole.json.gz").write_bytes(gzip.compress(lines))
+    packed = gzip.compress(lines)
+    (folder / "half.json.gz").write_bytes(packed[: len(packed) // 2])
+    with pytest.raises(load.LoadFailed, match="half.json.gz") as caught:
+        loaded(spark, root, house, archive_dir=str(archive))
+    result = caught.value.results["raw_price_history"]
+    assert result.unreadable_files == 1 and 20_001 < result.rows < 40_001
+    assert [p.rsplit("/", 1)[1] for p in result.partly_read] == ["half.json.gz"]
+
+
 def test_loaded_merged_and_rebuilt_agree(spark, tmp_path):
     root, house = tmp_path / "land", str(tmp_path / "house")
     good_t = 1704067200
