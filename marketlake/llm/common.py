@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from marketlake.session import shared_dir, stored
 
-__all__ = ["ascii_lower", "pack", "row_key", "shared_dir", "stored", "text_or_empty",
-           "tune_arrow", "unpack", "words"]
+__all__ = ["HEAVIEST", "ascii_lower", "heavy_lookup", "pack", "row_key", "shared_dir", "stored",
+           "text_or_empty", "tune_arrow", "unpack", "words"]
 
 # ASCII white space, as in the class [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\f\r"
@@ -56,3 +56,26 @@ def unpack(df: DataFrame, names: list[str], **results: Column) -> DataFrame:
         results[c].alias(c) if c in results else F.col("_row").getField(c).alias(c) for c in names
     ]
     return df.select(*kept, *[col.alias(c) for c, col in results.items() if c not in names])
+
+
+# Keys that a `heavy_lookup` broadcasts, at most.
+HEAVIEST = 1000
+
+
+def heavy_lookup(
+    rows: DataFrame, facts: DataFrame, on: list[str], weight: str, columns: list[str]
+) -> DataFrame:
+    """`rows` with `columns` of `facts`, by a left join on `on`, even where few keys hold most rows.
+
+    `facts` has each key once and `weight`, the rows that it meets. Keys of at least 1 / HEAVIEST of
+    all these rows, so HEAVIEST at most, are broadcast; the others are joined by a shuffle, in which
+    no key is large. Both tables are read twice: store them first.
+    """
+    total = facts.agg(F.sum(weight).alias("n")).head()["n"] or 0
+    is_heavy = F.col(weight) * HEAVIEST >= total
+    heavy = facts.filter(is_heavy).select(*on, *columns).withColumn("_heavy", F.lit(True))
+    met = rows.join(F.broadcast(heavy), on, "left")
+    light = facts.filter(~is_heavy).select(*on, *columns)
+    others = met.filter(F.col("_heavy").isNull()).drop("_heavy", *columns).join(light, on, "left")
+    names = [*rows.columns, *columns]
+    return met.filter("_heavy").select(names).unionByName(others.select(names))

@@ -14,13 +14,14 @@ from marketlake.llm import (
     line_dedup,
     parity_join,
     positional_index,
+    prefix_trie,
     quotes,
     raking,
     ranking,
     text_density,
     token_counts,
 )
-from marketlake.llm.common import shared_dir
+from marketlake.llm.common import shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -201,3 +202,109 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of an SQL text expression."""
+    hexed = f"hex(encode({text}))"
+    octets = (
+        f"list_transform(range(0, length({hexed}), 2), lambda i: "
+        f"cast('0x' || substr({hexed}, cast(i as integer) + 1, 2) as ubigint))"
+    )
+    shifted = (
+        "list_reduce(list_prepend(xor(c, b), cast(range(8) as ubigint[])), "
+        "lambda k, i: xor(k >> 1, cast(3988292384 as ubigint) * (k & 1)))"
+    )
+    start = "cast(4294967295 as ubigint)"
+    return f"xor(list_reduce(list_prepend({start}, {octets}), lambda c, b: {shifted}), {start})"
+
+
+@query(
+    "op13_prefix_trie",
+    f"""
+    with own as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+            row_number() over (partition by conv_id order by turn nulls first, role, text) as place
+        from conversations where conv_id is not null
+    ), whole as (
+        select conv_id, list(struct_pack(role, text) order by place) as turns,
+            {crc32_sql("cast(conv_id as varchar)")} % 4 as h
+        from own group by conv_id
+    ), rebuilt as (
+        select c.conv_id, list_concat(coalesce(d.turns[1 : c.h], []), c.turns[c.h + 1 :]) as turns
+        from whole c left join whole d on d.conv_id = c.conv_id - c.conv_id % 20
+    ), prefixes as (
+        select conv_id, turns, depth, turns[1 : depth] as prefix
+        from (select conv_id, turns, unnest(range(len(turns) + 1)) as depth from rebuilt)
+    ), nodes as (
+        select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs,
+            len(list_filter(regexp_split_to_array(prefix[depth].text, '[\x20\x09-\x0D]+'),
+                lambda x: x <> '')) as n_words,
+            coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id)
+                filter (where len(turns) = depth), '') as ends
+        from prefixes group by prefix, depth
+    ), born as (
+        select prefix[1 : depth - 1] as prefix, count(*) as n_children
+        from nodes where depth > 0 group by 1
+    ), described as (
+        select n.*, coalesce(n_children, 0) as n_children
+        from nodes n left join born b on b.prefix = n.prefix
+    ), climbed as (
+        select prefix[1 : unnest(range(depth + 1))] as prefix, n_convs, n_words, n_children
+        from described
+    ), summed as (
+        select prefix, count(*) filter (where n_children = 0) as n_leaves,
+            cast(sum((n_convs - 1) * coalesce(n_words, 0)) as bigint) as saved_tokens
+        from climbed group by prefix
+    )
+    select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+        s.saved_tokens, sha256(n.ends) as ends_sha256
+    from described n join summed s on s.prefix = n.prefix
+    left join nodes p on n.depth > 0 and p.prefix = n.prefix[1 : n.depth - 1]
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = prefix_trie.deal_turns(prefix_trie.digested(table(spark, sf_dir, "conversations")))
+    turns, members = rebuilt_conversations(dealt)
+    trie = prefix_trie.prefix_trie(turns, members)
+    listed = F.array_join(F.sort_array(F.collect_list("conv_id")).cast("array<string>"), ",")
+    ends = trie.ends.groupBy("key").agg(F.sha2(listed, 256).alias("_ends"))
+    return trie.nodes.join(ends, "key", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("_ends", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+# Conversations of so many ids in a row borrow from the first; at most so many turns, less one.
+BORROWERS, BORROWED = 20, 4
+
+
+def rebuilt_conversations(dealt: prefix_trie.Dealt) -> tuple[DataFrame, DataFrame]:
+    """(turns, members): conversations that begin with turns of another one.
+
+    Conversation c has the first h turns of c - c % 20, then its own after its first h; h is
+    crc32(c) % 4. `members` has every conv_id.
+    """
+    counts = stored(dealt.counts())
+    planned = counts.select(
+        "conv_id",
+        fold("conv_id", BORROWED).alias("h"),
+        (F.col("conv_id") - F.col("conv_id") % BORROWERS).alias("_from"),
+    )
+    lenders = counts.select(F.col("conv_id").alias("_from"), F.col("n").alias("_lent"))
+    plan = stored(
+        planned.join(lenders, "_from", "left").select(
+            "conv_id", "_from", "h", F.least("h", F.coalesce("_lent", F.lit(0))).alias("k")
+        )
+    )
+    placed = stored(dealt.placed(plan.select("conv_id", "h", "k")))
+    digest = ["h1", "h2", "n_words"]
+    own = placed.filter("place > h").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("k")).alias("place"), *digest
+    )
+    first = placed.filter((F.col("place") < BORROWED) & (F.col("conv_id") % BORROWERS == 0))
+    lent = plan.select("conv_id", "_from", F.col("k").alias("_k")).join(
+        first.select(F.col("conv_id").alias("_from"), "place", *digest), "_from"
+    )
+    lent = lent.filter(F.col("place") <= F.col("_k")).select("conv_id", "place", *digest)
+    return own.union(lent), plan.select("conv_id")
