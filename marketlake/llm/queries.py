@@ -18,6 +18,7 @@ from marketlake.llm import (
     quotes,
     raking,
     ranking,
+    spelling_trie,
     text_density,
     token_counts,
 )
@@ -308,3 +309,59 @@ def rebuilt_conversations(dealt: prefix_trie.Dealt) -> tuple[DataFrame, DataFram
     )
     lent = lent.filter(F.col("place") <= F.col("_k")).select("conv_id", "place", *digest)
     return own.union(lent), plan.select("conv_id")
+
+
+# Of one run in so many a code point is dropped, so that the texts hold misspellings.
+SLIPS = 31
+
+
+@query(
+    "op12_spelling_trie",
+    f"""
+    with runs as (
+        select doc_id, run, count(*) as n from (
+            select coalesce(cast(doc_id as varchar), '') as doc_id,
+                translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+            from documents
+        ) group by doc_id, run
+    ), hashed as (
+        select run, n, cast({crc32_sql("doc_id || ':' || run")} as bigint) as h from runs
+    ), slipped as (
+        select n, case when h % {SLIPS} <> 0 then run
+            else substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) end as word
+        from hashed
+    ), counted as (
+        select word, cast(sum(n) as bigint) as n from slipped where length(word) >= 7
+        group by word having sum(n) >= 2
+    ), cuts as (
+        select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as cut
+        from (select word, n, unnest(range(1, length(word) + 1)) as i from counted)
+    ), near as (
+        select a.word, b.word as near, b.n as near_n from cuts a join cuts b
+            on a.cut = b.cut and a.i = b.i and a.word <> b.word
+        union select a.word, b.word, b.n from cuts a join counted b on a.cut = b.word
+        union select b.word, a.word, a.n from cuts a join counted b on a.cut = b.word
+    ), best as (
+        select word, near, near_n, count(*) over (partition by word) as n_near,
+            row_number() over (partition by word order by near_n desc, near) as place
+        from near
+    ), formed as (
+        select c.word, c.n, coalesce(n_near, 0) as n_near,
+            case when near_n >= 10 * c.n then near end as form,
+            case when near_n >= 10 * c.n then near_n end as form_n
+        from counted c left join best b on b.word = c.word and place = 1
+    ), steps as (
+        with recursive climb as (
+            select word, word as root, form from formed
+            union all
+            select s.word, f.word, f.form from climb s join formed f on f.word = s.form
+        ) select word, root from climb where form is null
+    )
+    select f.word, form, root, n, n_near, form_n from formed f join steps s on s.word = f.word
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = spelling_trie.word_counts(docs, slip=spelling_trie.one_dropped(SLIPS))
+    return spelling_trie.spelling_groups(counted)
