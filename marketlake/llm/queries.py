@@ -12,6 +12,7 @@ from marketlake.llm import (
     compression,
     lattice,
     line_dedup,
+    multi_index,
     parity_join,
     positional_index,
     prefix_trie,
@@ -365,3 +366,13 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = spelling_trie.word_counts(docs, slip=spelling_trie.one_dropped(SLIPS))
     return spelling_trie.spelling_groups(counted)
+
+
+NEIGHBOURS, ASKED_EVERY = 5, 50
+
+
+@query("op11_multi_index")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = multi_index.nearest(vectors, lambda vec: vec % ASKED_EVERY == 0, NEIGHBOURS)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
