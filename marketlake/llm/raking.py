@@ -7,8 +7,8 @@ copies and a draw by a hash of its id, so that the expected tokens of the sample
 shares. How much is taken does not hang on the rarest cells: see `scale_of`.
 
 Scale: the documents are read twice, once for the cell totals (map-side partials) and once for the
-draw. The rounds work on the cells alone, as tables joined and summed by Spark; only the largest
-error of a round comes to the driver.
+draw. The rounds work on the cells alone, as tables joined and summed by Spark: what a step writes
+is one factor for each category of a margin. Only the largest error of a step comes to the driver.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import pack, stored, text_or_empty, unpack, words
@@ -98,55 +98,68 @@ class MarginsNotMet(UserWarning):
 PATIENCE = 10
 
 
+def updated(cells: DataFrame, factors: dict[str, DataFrame], margin: str) -> DataFrame:
+    """The factors of one margin, so that its sums meet the targets under the others' factors.
+
+    `_error` is how far the sums were from the targets before.
+    """
+    weighted, share = cells, F.col("share")
+    for other, table in factors.items():
+        if other != margin:
+            there = table.select(F.col("category").alias("_c"), F.col("factor").alias(f"_f_{other}"))
+            weighted = weighted.join(there, F.col(other) == F.col("_c")).drop("_c")
+            share = share * F.col(f"_f_{other}")
+    sums = weighted.groupBy(F.col(margin).alias("category")).agg(F.sum(share).alias("_sum"))
+    return sums.join(factors[margin], "category").select(
+        "category",
+        "target",
+        F.when(F.col("_sum") > 0, F.col("target") / F.col("_sum")).otherwise(0.0).alias("factor"),
+        F.abs(F.col("target") - F.col("_sum") * F.col("factor")).alias("_error"),
+    )
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float):
     """(`cells` with `share`, largest error left): shares that meet all margins.
 
-    `cells` has the margins and `tokens`. Each round scales the shares by margin after margin.
-    Margins that no weights can meet together end when the error falls no further, or at the last
-    round, as near as it came, with the warning `MarginsNotMet`.
+    `cells` has the margins and `tokens`. What changes is one factor for each category: a round
+    fits the factors of margin after margin, each from one pass over the cells. Margins that no
+    weights can meet together end when the error falls no further, or at the last round, as near as
+    it came, with the warning `MarginsNotMet`.
     """
-    margins = list(targets)
     total = cells.agg(F.sum("tokens").alias("_total")).withColumn("_k", F.lit(0))
-    state = stored(
+    base = stored(
         cells.withColumn("_k", F.lit(0))
         .join(total, "_k")
         .select(*cells.columns, (F.col("tokens") / F.col("_total")).alias("share"))
         .filter(F.col("tokens") > 0)
     )
-    wanted = {m: stored(t) for m, t in targets.items()}
+    factors = {
+        m: stored(t.select("category", "target", F.lit(1.0).alias("factor")))
+        for m, t in targets.items()
+    }
     seen: list[float] = []
     left: dict[str, float] = {}
     for _ in range(rounds):
-        for margin in margins:
-            sums = state.groupBy(F.col(margin).alias("category")).agg(
-                F.sum("share").alias("_sum")
-            )
-            factors = sums.join(wanted[margin], "category").select(
-                "category",
-                F.when(F.col("_sum") > 0, F.col("target") / F.col("_sum"))
-                .otherwise(0.0)
-                .alias("_factor"),
-                F.abs(F.col("target") - F.col("_sum")).alias("_error"),
-            )
-            state = (
-                state.join(factors, F.col(margin) == F.col("category"))
-                .withColumn("share", F.col("share") * F.col("_factor"))
-                .withColumn(f"_error_{margin}", F.col("_error"))
-                .drop("category", "_factor", "_error")
-            )
-        state = stored(state)
-        worst = state.agg(*[F.max(f"_error_{m}").alias(m) for m in margins]).head()
-        left = {m: worst[m] or 0.0 for m in margins}
-        seen.append(max(left.values()))
-        state = state.drop(*[f"_error_{m}" for m in margins])
+        for margin in factors:
+            # The error is observed while the factors are written.
+            told = Observation()
+            fitted = updated(base, factors, margin).observe(told, F.max("_error").alias("error"))
+            factors[margin] = stored(fitted).drop("_error")
+            left[margin] = told.get.get("error") or 0.0
+        seen.append(max(left.values(), default=0.0))
         if seen[-1] <= tolerance:
-            return state, seen[-1]
+            break
         if len(seen) > PATIENCE and min(seen[-PATIENCE:]) > 0.99 * min(seen[:-PATIENCE]):
             break
     error = seen[-1] if seen else 0.0
     if error > tolerance:
         warnings.warn(MarginsNotMet(error, left, len(seen)), stacklevel=2)
-    return state, error
+    raked, share = base, F.col("share")
+    for margin, table in factors.items():
+        there = table.select(F.col("category").alias("_c"), F.col("factor").alias(f"_f_{margin}"))
+        raked = raked.join(there, F.col(margin) == F.col("_c")).drop("_c")
+        share = share * F.col(f"_f_{margin}")
+    return raked.select(*cells.columns, share.alias("share")), error
 
 
 # Buckets of weights for each doubling.
