@@ -113,7 +113,9 @@ def test_edge_rows_and_empty_tables(spark, name):
     kept = rows_of(got)
     if name == "near_duplicates":
         ids = [i for i, _ in kept]
-        assert ids.count(3) == 1 and ids.count(None) == 2 and 4 not in ids and len(ids) == 5
+        # Of id 3 one of the equal texts stays, and the unrelated one.
+        assert ids.count(3) == 2 and ids.count(None) == 2 and 4 not in ids and len(ids) == 6
+        assert len({t for i, t in kept if i == 3}) == 2
     elif name in ("line_dedup", "decontamination"):
         assert len(kept) == len(EDGE)
     assert stage(name)(spark, docs.limit(0), SF).count() == 0
@@ -130,3 +132,38 @@ def test_mixing_stage_repeats_rows_by_copies(spark):
     counts = [sum(r.doc_id == 9000 + i for r in got) for i in range(2)]
     want = {r.doc_id: r.copies for r in raking.mix_sources(docs).collect()}
     assert counts == [want[9000], want[9001]] and min(counts) >= 1 and len(got) == sum(want.values())
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    """Unrelated texts of one id all stay, each group of linked ones loses all but one."""
+    texts = [f"text {k} " + " ".join(f"w{k}x{j}" for j in range(40)) for k in range(6)]
+    rows = [(7, t) for t in texts] + [(7, texts[0] + " more"), (7, texts[1]), (9, texts[2]), (1, texts[3])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS)
+    kept = rows_of(stage("near_duplicates")(spark, docs, SF))
+    assert len(kept) == 6 and (1, texts[3]) in kept
+    groups = [next(k for k, x in enumerate(texts) if t.startswith(x)) for _, t in kept]
+    assert sorted(groups) == list(range(6))
+
+
+def test_mixing_runs_few_and_small_plans(spark):
+    """Driver memory goes by plans: a round of raking is three small ones."""
+    status = spark._jsparkSession.sharedState().statusStore()
+    rows = [(i, "w " * (40 + i % 90), ["en", "de"][i % 2], f"s{i % 5}", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    rounds = []
+    real = raking.updated
+
+    def counted(cells, factors, margin):
+        rounds.append(margin)
+        out = real(cells, factors, margin)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") <= 4  # the cells and one table a margin
+        return out
+
+    raking.updated = counted
+    try:
+        before = status.executionsCount()
+        stage("mixing")(spark, docs, SF).count()
+        assert status.executionsCount() - before <= len(rounds) + 20
+    finally:
+        raking.updated = real
