@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import line_dedup, parity_join, positional_index, raking, ranking
-from marketlake.llm.common import pack, shared_dir, stored, unpack
+from marketlake.llm.common import pack, row_key, shared_dir, stored, unpack
 from marketlake.llm.queries import fold, table
 
 
@@ -31,26 +31,41 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id.
+    """Of each group of linked texts the one with the smallest id.
 
-    Of rows that share an id one stays, the first by text hash. Rows without an id stay.
+    Rows that share an id are compared like any others: of equal or linked ones one stays, and one
+    with an unrelated text stays too. Rows without an id stay.
     """
-    classes = parity_join.jaccard_classes(docs)
-    first = classes.filter(F.col("doc_id") == F.col("component_id"))
-    first = stored(first.select(F.col("doc_id").alias("_first")).distinct())
     rows = docs.select(
-        pack(docs), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th")
+        pack(docs), *row_key("doc_id", "text"), F.col("text").alias("_text")
+    )
+    by_id = rows.groupBy("_id").agg(
+        F.count("*").alias("_n"), F.min("_th").alias("_least"), F.max("_th").alias("_most")
+    )
+    shared = stored(by_id.filter((F.col("_n") > 1) & F.col("_id").isNotNull()))
+    if shared.isEmpty():
+        named = rows.withColumn("_name", F.col("_id"))
+        repeated = None
+    else:
+        # The first text of an id goes by the id, others by a number beyond all ids.
+        marked = rows.join(shared.select(F.col("_id").alias("_shared"), "_least"),
+                           F.col("_id") == F.col("_shared"), "left")
+        beyond = F.xxhash64("_id", "_th").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+        named = marked.withColumn(
+            "_name", F.when(F.col("_th") != F.col("_least"), beyond).otherwise(F.col("_id"))
+        ).select("_row", "_id", "_th", "_text", "_shared", "_name")
+        repeated = F.col("_shared").isNotNull()
+    with_id = named.filter(F.col("_id").isNotNull())
+    classes = parity_join.jaccard_classes(
+        with_id.select(F.col("_name").alias("doc_id"), F.col("_text").alias("text"))
     )
-    chosen = rows.join(first, F.col("_id") == F.col("_first"), "left_semi")
-    repeated = rows.groupBy("_id").agg(F.count("*").alias("_n"), F.min("_th").alias("_least"))
-    repeated = stored(repeated.filter((F.col("_n") > 1) & F.col("_id").isNotNull()))
-    if not repeated.isEmpty():
-        one = repeated.select(F.col("_id").alias("_repeated"), "_least")
-        marked = chosen.join(one, F.col("_id") == F.col("_repeated"), "left")
-        alone = marked.filter(F.col("_repeated").isNull())
-        shared = marked.filter(F.col("_th") == F.col("_least")).dropDuplicates(["_id"])
-        chosen = alone.select("_row").union(shared.select("_row"))
-    unnamed = rows.filter(F.col("_id").isNull()).select("_row")
+    first = classes.filter(F.col("doc_id") == F.col("component_id"))
+    first = stored(first.select(F.col("doc_id").alias("_first")).distinct())
+    chosen = with_id.join(first, F.col("_name") == F.col("_first"), "left_semi")
+    if repeated is not None:
+        once = chosen.filter(repeated).dropDuplicates(["_name"])
+        chosen = chosen.filter(~repeated).select("_row").union(once.select("_row"))
+    unnamed = named.filter(F.col("_id").isNull()).select("_row")
     return unpack(chosen.select("_row").union(unnamed), docs.columns)
 
 
