@@ -8,12 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from marketlake.functions import prices
 from marketlake.operators import history
 from marketlake.plans.staging import POINT_COLUMNS, best_points, newest_first, price_points
-from marketlake.session import stored
+from marketlake.session import stored, table_or_empty
 from marketlake.sources.layout import write_price_partitions
 from marketlake.sources.schemas import FCT_PRICES
 
@@ -101,12 +100,7 @@ def fct_resolutions(stg_markets: DataFrame) -> DataFrame:
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """The stored price fact, empty before its first build."""
-    try:
-        return spark.read.schema(FCT_PRICES).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], FCT_PRICES)
+    return table_or_empty(spark, FCT_PRICES, path)
 
 
 def rebuild_prices(raw: DataFrame, path: str, dates: Sequence[date | str] | None = None) -> None:

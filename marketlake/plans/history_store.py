@@ -16,10 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from marketlake.plans import facts
-from marketlake.session import stored
+from marketlake.session import stored, table_or_empty
 
 BATCHES = T.StructType(
     [T.StructField("batch", T.StringType()), T.StructField("number", T.LongType())]
@@ -36,13 +35,8 @@ class HistoryStore:
 
     def batches(self) -> list[str]:
         """Finished batches in order; one name per build."""
-        try:
-            rows = self.spark.read.schema(BATCHES).parquet(self._path("batches"))
-            return [r["batch"] for r in rows.distinct().orderBy("number").collect()]
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
+        rows = table_or_empty(self.spark, BATCHES, self._path("batches"))
+        return [r["batch"] for r in rows.distinct().orderBy("number").collect()]
 
     def _finish(self, batch: str, number: int, mode: str) -> None:
         row = self.spark.createDataFrame([(batch, number)], BATCHES)

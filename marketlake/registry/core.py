@@ -37,6 +37,10 @@ class Inputs:
     def raw_markets(self) -> DataFrame:
         return fixtures.raw_markets(self.spark, self.sf_dir)
 
+    @cached_property
+    def raw_events(self) -> DataFrame:
+        return fixtures.raw_events(self.spark, self.sf_dir)
+
     @cached_property
     def unordered_log(self) -> DataFrame:
         return fixtures.market_log_unordered(self.spark, self.sf_dir)

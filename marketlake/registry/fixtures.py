@@ -74,6 +74,27 @@ RAW_MARKETS = {
     "_source": "'orders'",
 }
 
+_MARKET = f"concat({', '.join(_PAYLOAD_PARTS)})"
+
+# An event fetched with each order: its market as it was, changed in name, updated later, next to one
+# that no market fetch has, or without markets.
+_COPIES = f"""case o_orderpriority when '1-URGENT' then ''
+  when '2-HIGH' then replace({_MARKET}, '"question":"Q', '"question":"Changed ')
+  when '4-NOT SPECIFIED' then replace({_MARKET}, 'T00:00:00Z"}}', 'T12:00:00Z"}}')
+  when '5-LOW' then concat({_MARKET}, ', {{"id":"x', cast(o_custkey as string), '","slug":"extra"}}')
+  else {_MARKET} end"""
+
+RAW_EVENTS = {
+    "payload": f"""replace(concat('{{"id":"e', {_EVENT}, '","slug":"ev-', {_EVENT},
+      '","closed":', case when o_orderstatus in ('F', 'P') then 'true' else 'false' end,
+      ',"endDate":"2024-01-', lpad(cast(1 + o_custkey % 30 as string), 2, '0'), 'T00:00:00Z"',
+      ',"volume":', cast(cast(o_totalprice * 3 as decimal(18,2)) as string),
+      ',"markets":[', {_COPIES}, ']}}'), '~', chr(92))""",
+    "_ingested_at": "cast(cast(o_orderdate as date) as timestamp) + interval '7' hour",
+    "_run_id": "concat('event-run-', lpad(cast(o_orderkey as string), 12, '0'))",
+    "_source": "'orders'",
+}
+
 # A log whose order (`seq`, unique per market) is not its `updated_at` order.
 MARKET_LOG_UNORDERED = {
     "market_id": "cast(o_custkey as string)",
@@ -101,6 +122,11 @@ def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.selectExpr(*_exprs(RAW_MARKETS, SPARK_EPOCH))
 
 
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.selectExpr(*_exprs(RAW_EVENTS, SPARK_EPOCH))
+
+
 def market_log_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     log = orders.selectExpr(*_exprs(MARKET_LOG_UNORDERED, SPARK_EPOCH))

@@ -85,22 +85,6 @@ def watermark_left_join(x: Inputs) -> DataFrame:
     return joined.select("market_id", "yes_token_id", "watermark")
 
 
-ATTEMPTED = "fidelity_minutes >= 720"
-
-
-@query(
-    "backfill_todo",
-    f"""select market_id, yes_token_id, volume_usd from stg_markets
-       where is_closed and volume_usd >= 10000 and yes_token_id is not null
-         and yes_token_id not in (select token_id from fx_raw_price_history where {ATTEMPTED})""",
-)
-def backfill_todo(x: Inputs) -> DataFrame:
-    todo = planning.backfill_todo(
-        planning.backfill_scope(x.stg_markets), x.raw_prices.filter(ATTEMPTED)
-    )
-    return todo.select("market_id", "yes_token_id", "volume_usd")
-
-
 # --- aggregations ----------------------------------------------------------------
 
 

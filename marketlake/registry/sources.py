@@ -57,10 +57,10 @@ def raw_price_scan(x: Inputs) -> DataFrame:
     return emit(x.spark.read.schema(RAW_PRICES).parquet(path))
 
 
-def _land_in_runs(x: Inputs, root: str, runs: int = 3) -> None:
+def land_in_runs(x: Inputs, root: str, runs: int = 3, newest_first: bool = False) -> None:
     """Price rows landed by several runs, on different days."""
     number = F.substring("_run_id", 5, 12).cast("bigint")
-    for i in range(runs):
+    for i in reversed(range(runs)) if newest_first else range(runs):
         part = x.raw_prices.filter(number % runs == i)
         landing.land(_stamped(part, f"harvest-{i}", 29 + i), root, "raw_price_history")
 
@@ -75,7 +75,7 @@ def _land_in_runs(x: Inputs, root: str, runs: int = 3) -> None:
 )
 def load_pending(x: Inputs) -> DataFrame:
     root, warehouse = shared_dir(x.spark, "landing"), shared_dir(x.spark, "warehouse")
-    _land_in_runs(x, root)
+    land_in_runs(x, root)
     load.load_pending(x.spark, root, warehouse)
     load.load_pending(x.spark, root, warehouse)  # nothing is pending any more
     path = load.raw_path(warehouse, "raw_price_history")

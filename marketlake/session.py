@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Runtime SQL settings every plan here relies on. All can be set on a live session.
 SQL_CONF = {
@@ -60,3 +61,18 @@ def stored(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system the path names."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
+
+
+def table_or_empty(
+    spark: SparkSession, schema: T.StructType, path: str, **options: str
+) -> DataFrame:
+    """A Parquet table, without rows as long as nothing was written there."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.options(**options).schema(schema).parquet(path)

@@ -50,3 +50,12 @@ def first_of_arms(swept: DataFrame, n: int) -> DataFrame:
     w = Window.partitionBy("sweep").orderBy("market_id")
     # row_number <= n makes Spark keep n rows per arm and task before the shuffle.
     return swept.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
+
+
+def arm_counters(swept: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of each arm of each sweep, named `<sweep>_<arm>`: two numbers a sweep."""
+    return {
+        f"{name}_{row['sweep']}": row["count"]
+        for name, rows in swept.items()
+        for row in rows.groupBy("sweep").count().collect()
+    }
