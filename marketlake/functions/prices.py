@@ -29,6 +29,21 @@ def plausible_time(t: Column) -> Column:
     return t.between(EARLIEST, LATEST - 1)
 
 
+# Why staging leaves a raw price row out; the first that holds.
+UNUSABLE_REASONS = ("no token", "no time", "implausible time", "no price")
+
+
+def unusable_reason(token: Column, t: Column, p: Column) -> Column:
+    """One of `UNUSABLE_REASONS`, or NULL for a usable point."""
+    no_token, no_time, implausible, no_price = UNUSABLE_REASONS
+    return (
+        F.when(token.isNull(), no_token)
+        .when(t.isNull(), no_time)
+        .when(~plausible_time(t), implausible)
+        .when(p.isNull() | F.isnan(p), no_price)
+    )
+
+
 def usable_point(token_id: Column, t: Column, p: Column) -> Column:
     return token_id.isNotNull() & plausible_time(t) & p.isNotNull() & ~F.isnan(p)
 

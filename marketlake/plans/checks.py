@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.prices import plausible_time
+from marketlake.functions.prices import unusable_reason
 from marketlake.operators import quality as q
 
 # Fixed service levels per source, in hours: (warn after, error after).
@@ -93,18 +93,21 @@ def relationship_counts(tables: dict[str, DataFrame]) -> list[DataFrame]:
     return [q.count_check("relationship:fct_prices.market_id", lost, "warn", F.col("n_rows"))]
 
 
+def row_checks(table: str) -> list[q.RowCheck]:
+    """The checks of a table that look at one row at a time."""
+    missing = [
+        q.RowCheck(f"not_null:{table}.{c}", q.is_missing(c)) for c in NOT_NULL.get(table, [])
+    ]
+    return missing + value_checks().get(table, [])
+
+
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Every declared check on the given tables, one row each."""
-    row_checks: list[DataFrame] = []
-    values = value_checks()
-    for table, df in tables.items():
-        checks = [
-            q.RowCheck(f"not_null:{table}.{c}", q.is_missing(c)) for c in NOT_NULL.get(table, [])
-        ] + values.get(table, [])
-        if checks:
-            row_checks.append(q.row_check_counts(df, checks))
+    counts = [
+        q.row_check_counts(df, row_checks(table)) for table, df in tables.items() if row_checks(table)
+    ]
     related = relationship_counts(tables) if {"fct_prices", "dim_markets"} <= set(tables) else []
-    return q.severity_report(row_checks + unique_counts(tables) + related)
+    return q.severity_report(counts + unique_counts(tables) + related)
 
 
 def freshness_report(sources: dict[str, DataFrame], now: Column) -> DataFrame:
@@ -127,13 +130,7 @@ def parse_quality(log: DataFrame) -> DataFrame:
 
 def unusable_points(raw_prices: DataFrame) -> DataFrame:
     """Raw price rows that staging leaves out, by reason and run."""
-    t, p = F.col("t"), F.col("p")
-    reason = (
-        F.when(F.col("token_id").isNull(), "no token")
-        .when(t.isNull(), "no time")
-        .when(~plausible_time(t), "implausible time")
-        .when(p.isNull() | F.isnan(p), "no price")
-    )
+    reason = unusable_reason(F.col("token_id"), F.col("t"), F.col("p"))
     bad = raw_prices.select("_run_id", reason.alias("reason")).filter("reason is not null")
     return bad.groupBy("_run_id", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
 

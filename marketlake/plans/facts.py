@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,11 +103,19 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
     return table_or_empty(spark, FCT_PRICES, path)
 
 
-def rebuild_prices(raw: DataFrame, path: str, dates: Sequence[date | str] | None = None) -> None:
+def rebuild_prices(
+    raw: DataFrame,
+    path: str,
+    dates: Sequence[date | str] | None = None,
+    left_out: Observation | None = None,
+) -> None:
     """Full refresh of the price fact from the raw rows, or of some `dates` only.
 
-    The raw log is the truth, so this also repairs dates a crashed driver left half swapped.
+    The raw log is the truth, so this also repairs dates a crashed driver left half swapped. With
+    `left_out` the rows that staging leaves out are counted on the way (see `left_out_counts`).
     """
+    if left_out is not None:
+        raw = raw.observe(left_out, *left_out_counts())
     points = price_points(raw)
     if dates is not None:
         days = [F.lit(day).cast("date") for day in dates]
@@ -115,22 +123,46 @@ def rebuild_prices(raw: DataFrame, path: str, dates: Sequence[date | str] | None
     write_price_partitions(best_points(points), path)
 
 
+def left_out_counts() -> list[Column]:
+    """One count for each reason for which staging leaves a raw price row out."""
+    reason = prices.unusable_reason(F.col("token_id"), F.col("t"), F.col("p"))
+    return [
+        F.count_if(reason == name).alias(name.replace(" ", "_"))
+        for name in prices.UNUSABLE_REASONS
+    ]
+
+
+def touched_dates(raw_batch: DataFrame, left_out: Observation | None = None) -> list[date]:
+    """The dates that a batch of raw rows has points of.
+
+    Points outside `EARLIEST` to `LATEST` are gone, so there are some 33,000 days at most.
+    """
+    if left_out is not None:
+        raw_batch = raw_batch.observe(left_out, *left_out_counts())
+    days = price_points(raw_batch).select(F.to_date("price_ts").alias("price_date")).distinct()
+    return [row.price_date for row in days.collect()]
+
+
+def merged_dates(
+    spark: SparkSession, path: str, raw_batch: DataFrame, touched: list[date]
+) -> DataFrame:
+    """The fact's points of the touched dates after the batch.
+
+    Old and new rows compete under the same total order as in a full rebuild, so any batch split
+    ends equal to it.
+    """
+    old = read_prices(spark, path).filter(F.col("price_date").isin(touched))
+    return best_points(old.select(*POINT_COLUMNS).unionByName(price_points(raw_batch)))
+
+
 def merge_prices(spark: SparkSession, path: str, raw_batch: DataFrame) -> None:
     """Merge a batch of raw rows into the price fact; replaying a batch changes nothing.
 
-    Only the dates the batch touches are read and rewritten. Old and new rows compete
-    under the same total order as in a full rebuild, so any batch split ends equal to it.
-    One writer at a time.
+    Only the dates the batch touches are read and rewritten. One writer at a time.
     """
-    batch = price_points(raw_batch)
-    # Points outside `EARLIEST` to `LATEST` are gone, so there are some 33,000 days at most.
-    days = batch.select(F.to_date("price_ts").alias("price_date")).distinct()
-    touched = [row.price_date for row in days.collect()]
-    if not touched:
-        return
-    old = read_prices(spark, path).filter(F.col("price_date").isin(touched))
-    old = old.select(*POINT_COLUMNS)
-    write_price_partitions(best_points(old.unionByName(batch)), path)
+    touched = touched_dates(raw_batch)
+    if touched:
+        write_price_partitions(merged_dates(spark, path, raw_batch, touched), path)
 
 
 def newer_than_fact(staged: DataFrame, fact: DataFrame) -> DataFrame:

@@ -1,16 +1,18 @@
 """The stored market history: closed versions appended, open ones replaced, batch by batch.
 
-    <root>/closed/batch=<id>   versions that the batch closed, never touched again
-    <root>/open/batch=<id>     open versions after the batch
-    <root>/batches             one row per finished batch, written last
+    <root>/closed/batch=<folder>   versions that the batch closed, never touched again
+    <root>/open/batch=<folder>     open versions after the batch
+    <root>/batches                 one row per finished batch, written last
 
 A batch reads the open versions alone, so its work follows the number of markets and of new
 landings and not the length of the history. A batch without a row in `batches` does not count: a
-crash leaves the previous state in force, and the batch can run again under its name.
+crash leaves the previous state in force, and the batch can run again under its name. So a batch can
+also be prepared, looked at, and finished later or never.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +23,24 @@ from marketlake.plans import facts
 from marketlake.session import stored, table_or_empty
 
 BATCHES = T.StructType(
-    [T.StructField("batch", T.StringType()), T.StructField("number", T.LongType())]
+    [
+        T.StructField("batch", T.StringType()),
+        T.StructField("number", T.LongType()),
+        T.StructField("folder", T.StringType()),
+    ]
 )
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A batch that is written and not finished. `folders` are those of the history with it."""
+
+    batch: str
+    folders: list[str]
+    starts_anew: bool = False
+    is_new: bool = True
+
+
 @dataclass(frozen=True)
 class HistoryStore:
     spark: SparkSession
@@ -33,47 +49,63 @@ class HistoryStore:
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def batches(self) -> list[str]:
-        """Finished batches in order; one name per build."""
+    def _finished(self) -> dict[str, str]:
+        """Finished batches in order, with their folders; one name per build."""
         rows = table_or_empty(self.spark, BATCHES, self._path("batches"))
-        return [r["batch"] for r in rows.distinct().orderBy("number").collect()]
+        named = rows.select("batch", "number", F.coalesce("folder", "batch").alias("folder"))
+        return {r["batch"]: r["folder"] for r in named.distinct().orderBy("number").collect()}
 
-    def _finish(self, batch: str, number: int, mode: str) -> None:
-        row = self.spark.createDataFrame([(batch, number)], BATCHES)
-        row.coalesce(1).write.mode(mode).parquet(self._path("batches"))
+    def batches(self) -> list[str]:
+        return list(self._finished())
 
-    def _save(self, versions: DataFrame, batch: str) -> None:
-        versions = stored(versions)
+    def _save(self, versions: DataFrame, batch: str) -> str:
+        versions, folder = stored(versions), f"{batch}-{uuid.uuid4().hex[:8]}"
         is_open = F.col("valid_to").isNull()
         for state, keep in (("closed", ~is_open), ("open", is_open)):
-            path = self._path(state, f"batch={batch}")
+            path = self._path(state, f"batch={folder}")
             versions.filter(keep).write.mode("overwrite").parquet(path)
+        return folder
 
-    def rebuild(self, log: DataFrame, batch: str) -> None:
-        """The whole history from the whole landing log; earlier batches count no more."""
-        self._save(facts.markets_history(log), batch)
-        self._finish(batch, 0, "overwrite")
+    def prepare_rebuild(self, log: DataFrame, batch: str) -> Prepared:
+        """The whole history from the whole landing log."""
+        folder = self._save(facts.markets_history(log), batch)
+        return Prepared(batch, [folder], starts_anew=True)
 
-    def extend(self, new_log: DataFrame, batch: str) -> None:
-        """One more batch of landings; a batch that is finished already changes nothing."""
-        done = self.batches()
+    def prepare_batch(self, new_log: DataFrame, batch: str) -> Prepared:
+        """One more batch of landings; one that is finished already changes nothing."""
+        done = self._finished()
+        folders = list(done.values())
         if batch in done:
-            return
+            return Prepared(batch, folders, is_new=False)
         if not done:
-            self.rebuild(new_log, batch)
-            return
+            return self.prepare_rebuild(new_log, batch)
         before = self.spark.read.schema(facts.history_schema()).parquet(
-            self._path("open", f"batch={done[-1]}")
+            self._path("open", f"batch={folders[-1]}")
         )
-        self._save(facts.extend_history(before, new_log), batch)
-        self._finish(batch, len(done), "append")
+        folder = self._save(facts.extend_history(before, new_log), batch)
+        return Prepared(batch, [*folders, folder])
 
-    def read(self) -> DataFrame:
-        """All versions after the last finished batch."""
+    def finish(self, prepared: Prepared) -> None:
+        """From now on the batch counts; after a rebuild earlier ones count no more."""
+        if not prepared.is_new:
+            return
+        number = len(prepared.folders) - 1
+        row = self.spark.createDataFrame([(prepared.batch, number, prepared.folders[-1])], BATCHES)
+        mode = "overwrite" if prepared.starts_anew else "append"
+        row.coalesce(1).write.mode(mode).parquet(self._path("batches"))
+
+    def rebuild(self, log: DataFrame, batch: str) -> None:
+        self.finish(self.prepare_rebuild(log, batch))
+
+    def extend(self, new_log: DataFrame, batch: str) -> None:
+        self.finish(self.prepare_batch(new_log, batch))
+
+    def read(self, prepared: Prepared | None = None) -> DataFrame:
+        """All versions after the last finished batch, or after a prepared one."""
         schema = facts.history_schema()
-        done = self.batches()
-        if not done:
+        folders = list(self._finished().values()) if prepared is None else prepared.folders
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        paths = [self._path("closed", f"batch={b}") for b in done]
-        paths.append(self._path("open", f"batch={done[-1]}"))
+        paths = [self._path("closed", f"batch={f}") for f in folders]
+        paths.append(self._path("open", f"batch={folders[-1]}"))
         return self.spark.read.schema(schema).parquet(*paths)

@@ -119,10 +119,23 @@ def test_outcome(spark, yes, no, outcome):
 
 
 def test_nan_and_null_points_are_unusable(spark):
-    rows = [("a", 1, 0.5), ("a", 1, math.nan), ("a", 1, None), (None, 1, 0.5), ("a", None, 0.5)]
+    t = 1704067200
+    rows = [("a", t, 0.5), ("a", t, math.nan), ("a", t, None), (None, t, 0.5), ("a", None, 0.5)]
     df = spark.createDataFrame(rows, "token_id string, t long, p double")
     usable = prices.usable_point(F.col("token_id"), F.col("t"), F.col("p"))
     assert df.filter(usable).count() == 1
+    reason = prices.unusable_reason(F.col("token_id"), F.col("t"), F.col("p"))
+    assert df.filter(reason.isNull()).count() == 1
+
+
+def test_both_edges_of_the_plausible_range(spark):
+    first, last = 1262304000, 4102444799  # 2010-01-01 and the last second of 2099
+    rows = [("a", t, 0.5) for t in (first - 1, first, last, last + 1)]
+    df = spark.createDataFrame(rows, "token_id string, t long, p double")
+    usable = prices.usable_point(F.col("token_id"), F.col("t"), F.col("p"))
+    assert sorted(r.t for r in df.filter(usable).collect()) == [first, last]
+    reason = prices.unusable_reason(F.col("token_id"), F.col("t"), F.col("p"))
+    assert df.filter(reason == "implausible time").count() == 2
 
 
 @pytest.mark.parametrize("rate, n", [(0.0, 1), (1.0, 1), (0.5, 10), (0.07, 300)])
