@@ -75,6 +75,11 @@ def main() -> None:
     log = stored(staging.market_log(raw_markets))
     markets = stored(staging.latest_markets(log))
     resolutions = stored(facts.fct_resolutions(markets))
+    # A build observes these while it writes the table.
+    moment = F.col("resolved_at").cast("timestamp_ntz")
+    reach = marts.resolved_reach(
+        resolutions, *resolutions.agg(F.count("*"), F.min(moment), F.max(moment)).head()
+    )
     prices_path = shared_dir(spark, "fct_prices")
     facts.rebuild_prices(raw_prices, prices_path)
     prices = facts.read_prices(spark, prices_path)
@@ -114,8 +119,8 @@ def main() -> None:
             raw_prices, shared_dir(spark, "rebuilt")
         ),
         "fct_prices_merge": lambda: facts.merge_prices(spark, merge_path, batch),
-        "mart_calibration": lambda: noop(marts.mart_calibration(resolutions, prices)),
-        "mart_price_dynamics": lambda: noop(marts.mart_price_dynamics(resolutions, prices)),
+        "mart_calibration": lambda: noop(marts.mart_calibration(resolutions, prices, reach)),
+        "mart_price_dynamics": lambda: noop(marts.mart_price_dynamics(resolutions, prices, reach)),
         "mart_event_coherence": lambda: noop(
             marts.mart_event_coherence(facts.dim_markets(markets), prices)
         ),
@@ -126,6 +131,14 @@ def main() -> None:
         "mart_daily_volume": lambda: noop(marts.mart_daily_volume(history)),
         "finest_fidelity": lambda: noop(planning.finest_fidelity(raw_prices)),
         "gap_report": lambda: noop(planning.gap_report(prices, 24)),
+        "window_coverage": lambda: noop(
+            planning.window_coverage(
+                planning.with_window(
+                    planning.with_watermark(markets, planning.token_watermarks(raw_prices)), now
+                ),
+                raw_prices,
+            )
+        ),
         "fetch_plan": lambda: noop(
             planning.plan_fetches(
                 planning.harvest_scope(markets), planning.token_watermarks(raw_prices), now

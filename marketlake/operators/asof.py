@@ -2,9 +2,44 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Keys of the left side that are broadcast at most: some 25 MB of ids of 77 digits.
+MOST_KEYS = 250_000
+
+
+@dataclass(frozen=True)
+class Reach:
+    """What is known of the left side from when it was written: the days its moments lie on, and its
+    keys, if they are few."""
+
+    first: date | None
+    last: date | None
+    keys: DataFrame | None = None
+
+    @classmethod
+    def known(cls, left: DataFrame, key: str, n: int, first: date | None, last: date | None) -> Reach:
+        """`n`: rows of `left`. Beyond `MOST_KEYS` keys the join alone has to sort them out."""
+        keys = left.select(F.col(key).alias("_reached")).distinct() if n <= MOST_KEYS else None
+        return cls(first, last, keys)
+
+    def prune(self, right: DataFrame, key: str, day: str, before: timedelta, until: timedelta) -> DataFrame:
+        """`right` on the days from `before` the first moment to `until` the last, of the keys.
+
+        Plain bounds on the partition column, and a filter by key before anything is shuffled.
+        """
+        if self.first is None:
+            return right.limit(0)
+        bounds = (self.first - before, self.last - until)
+        near = right.filter(F.col(day).between(*[F.lit(b) for b in bounds]))
+        if self.keys is None:
+            return near
+        return near.join(F.broadcast(self.keys), F.col(key) == F.col("_reached"), "left_semi")
+
 
 def day_bins(df: DataFrame, first: Column, last: Column, bin_col: str) -> DataFrame:
     """One row per calendar day the interval [first, last] touches."""
@@ -36,18 +71,20 @@ def asof_candidates(
     tolerance_hours: int,
     values: list[str],
     right_day: str,
+    pruned: bool = False,
 ) -> DataFrame:
     """Left rows with every right row in the window (left_ts - tolerance, left_ts].
 
     on: left column -> right column, equal in both.
     right_day: the right side's UTC calendar date of `right_ts` (its partition column).
+    pruned: the right side is cut to the days in reach already (`Reach`).
 
     Each left row is repeated for the few days its window touches and equi-joined on
     (key, day), so a row meets at most those days of its key's history and one key's
     history spreads over all tasks.
     """
     low = F.col(left_ts) - F.make_dt_interval(hours=F.lit(tolerance_hours))
-    near = reachable_days(left, right, low, F.col(left_ts), right_day)
+    near = right if pruned else reachable_days(left, right, low, F.col(left_ts), right_day)
     keep = {name: f"_r_{name}" for name in {*on.values(), *values, right_ts, right_day}}
     probe = near.select(*[F.col(name).alias(alias) for name, alias in sorted(keep.items())])
 

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions import prices
-from marketlake.operators.asof import asof_candidates, asof_join, day_bins, reachable_days
+from marketlake.operators.asof import (
+    Reach,
+    asof_candidates,
+    asof_join,
+    day_bins,
+    reachable_days,
+)
 from marketlake.operators.periods import diff_cumulative, last_of_period
 
 # Fixed parameters of the marts.
@@ -38,9 +46,13 @@ ASOF = {
 }
 
 
-def price_at_targets(targets: DataFrame, fct_prices: DataFrame) -> DataFrame:
+def price_at_targets(
+    targets: DataFrame, fct_prices: DataFrame, pruned: bool = False
+) -> DataFrame:
     """Last known price at or before each target, if recent enough; unmatched ones drop."""
-    return asof_join(targets, fct_prices, values=["price", "fidelity_minutes"], **ASOF)
+    return asof_join(
+        targets, fct_prices, values=["price", "fidelity_minutes"], pruned=pruned, **ASOF
+    )
 
 
 def ranked_prices(targets: DataFrame, fct_prices: DataFrame) -> DataFrame:
@@ -86,21 +98,53 @@ def with_wilson(buckets: DataFrame) -> DataFrame:
     )
 
 
-def mart_calibration(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
-    """Per (horizon, price decile): how often did it happen? At most 30 rows."""
+def resolved_reach(
+    resolutions: DataFrame, n: int, first: datetime | None, last: datetime | None
+) -> Reach:
+    """The reach of stored resolutions, from their number, first and last moment (UTC)."""
+    days = [None if moment is None else moment.date() for moment in (first, last)]
+    return Reach.known(resolutions, "yes_token_id", n, *days)
+
+
+def calibration_prices(fct_prices: DataFrame, reach: Reach) -> DataFrame:
+    """The prices that some target of the calibration can meet."""
+    longest = timedelta(hours=max(HORIZON_HOURS) + ASOF_TOLERANCE_HOURS + 24)
+    shortest = timedelta(days=min(HORIZON_HOURS) // 24)
+    return reach.prune(fct_prices, "token_id", "price_date", longest, shortest)
+
+
+def mart_calibration(
+    resolutions: DataFrame, fct_prices: DataFrame, reach: Reach | None = None
+) -> DataFrame:
+    """Per (horizon, price decile): how often did it happen? At most 30 rows.
+
+    With the `reach` of the resolutions, known since they were written, prices out of it go before
+    the join; without it their days are found by a subquery.
+    """
     targets = horizon_targets(resolutions).drop("volume_usd")
-    priced = price_at_targets(targets, fct_prices)
+    if reach is not None:
+        fct_prices = calibration_prices(fct_prices, reach)
+    priced = price_at_targets(targets, fct_prices, pruned=reach is not None)
     return with_wilson(calibration_agg(scored(priced))).orderBy("horizon_hours", "price_bucket")
 
 
 # --- price dynamics --------------------------------------------------------------
 
 
-def prices_before_resolution(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
+def dynamics_prices(fct_prices: DataFrame, reach: Reach) -> DataFrame:
+    """The prices of the last days before some resolution."""
+    return reach.prune(
+        fct_prices, "token_id", "price_date", timedelta(days=DYNAMICS_DAYS), timedelta(0)
+    )
+
+
+def prices_before_resolution(
+    resolutions: DataFrame, fct_prices: DataFrame, reach: Reach | None = None
+) -> DataFrame:
     """Every price of a resolved market from 30 days out up to its resolution moment.
 
     Joined on (token, day), so a long history is spread by day. Days before the earliest or
-    after the latest that any market needs are pruned from the scan (`reachable_days`).
+    after the latest that any market needs are pruned from the scan, by `reach` or a subquery.
     """
     resolved = resolutions.select(
         "market_id",
@@ -109,7 +153,10 @@ def prices_before_resolution(resolutions: DataFrame, fct_prices: DataFrame) -> D
         "resolved_at",
     )
     first = F.date_sub(F.to_date("resolved_at"), DYNAMICS_DAYS)
-    near = reachable_days(resolved, fct_prices, first, F.col("resolved_at"), "price_date")
+    if reach is not None:
+        near = dynamics_prices(fct_prices, reach)
+    else:
+        near = reachable_days(resolved, fct_prices, first, F.col("resolved_at"), "price_date")
     points = near.select("token_id", "price_date", "price_ts", "price")
     days = day_bins(resolved, first, F.col("resolved_at"), "price_date")
     return points.join(days, ["token_id", "price_date"]).filter(
@@ -147,9 +194,11 @@ def dynamics_agg(moves: DataFrame) -> DataFrame:
     )
 
 
-def mart_price_dynamics(resolutions: DataFrame, fct_prices: DataFrame) -> DataFrame:
-    """Error and movement by days before resolution, 0 to 30."""
-    daily = daily_before_resolution(prices_before_resolution(resolutions, fct_prices))
+def mart_price_dynamics(
+    resolutions: DataFrame, fct_prices: DataFrame, reach: Reach | None = None
+) -> DataFrame:
+    """Error and movement by days before resolution, 0 to 30. `reach`: as for the calibration."""
+    daily = daily_before_resolution(prices_before_resolution(resolutions, fct_prices, reach))
     return dynamics_agg(with_moves(daily)).orderBy("days_before")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators.coverage import coverage_sum
 from marketlake.operators.periods import lag_by_chunk
 from marketlake.operators.skew import salted_join
 
@@ -148,6 +149,23 @@ def gap_report(points: DataFrame, factor: int = 1) -> DataFrame:
     )
 
 
+def window_coverage(windows: DataFrame, raw_prices: DataFrame) -> DataFrame:
+    """Of each token's fetch window, the seconds that landed points cover and those they do not.
+
+    A point stands for the time from its moment on, as long as its fidelity. windows: yes_token_id
+    (markets that share one have one window), start_ts, end_ts.
+    """
+    points = raw_prices.filter(F.col("token_id").isNotNull()).select(
+        F.col("token_id").alias("yes_token_id"),
+        F.col("t").alias("start"),
+        (F.col("t") + 60 * F.col("fidelity_minutes")).alias("end"),
+    )
+    asked = windows.filter(F.col("yes_token_id").isNotNull()).groupBy("yes_token_id").agg(
+        F.min("start_ts").alias("start"), F.max("end_ts").alias("end")
+    )
+    return coverage_sum(asked, points, "yes_token_id")
+
+
 # --- run summaries and the failure gate ---------------------------------------------
 
 

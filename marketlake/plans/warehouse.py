@@ -13,6 +13,7 @@ where they lie. A build that a check stops leaves every published table as it wa
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -54,11 +55,14 @@ class Build:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     locations: dict[str, str] = field(default_factory=dict)
     counters: dict[str, int] = field(default_factory=dict)
+    seen: dict[str, dict] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return self.house.path(f"_builds/{self.name}/{table}")
 
-    def _watched(self, tables: list[str], df: DataFrame) -> tuple[DataFrame, Observation]:
+    def _watched(
+        self, tables: list[str], df: DataFrame, extra: Sequence[Column] = ()
+    ) -> tuple[DataFrame, Observation]:
         """`df` with its rows and the failures of its row checks counted as it is used."""
         counts = [
             F.count_if(c.failing).alias(f"{table}:{i}")
@@ -66,7 +70,7 @@ class Build:
             for i, c in enumerate(checks.row_checks(table))
         ]
         told = Observation()
-        return df.observe(told, F.count(F.lit(1)).alias("n"), *counts), told
+        return df.observe(told, F.count(F.lit(1)).alias("n"), *counts, *extra), told
 
     def _judge(self, tables: list[str], df: DataFrame, seen: dict, related: list) -> None:
         """Take the counts of the row checks, run the checks that need a shuffle, stop at an error.
@@ -104,15 +108,17 @@ class Build:
             if red and self.strict:
                 raise BuildBlocked(table, red)
 
-    def add(self, table: str, df: DataFrame) -> DataFrame:
+    def add(self, table: str, df: DataFrame, **extra: Column) -> DataFrame:
         """Write a table beside the published one, check it, and read it back.
 
-        Rows and row checks are counted by the write itself.
+        Rows, row checks and `extra` aggregates (kept in `seen`) are observed by the write itself.
         """
-        watched, told = self._watched([table], df)
+        more = [value.alias(name) for name, value in extra.items()]
+        watched, told = self._watched([table], df, more)
         watched.write.mode("overwrite").parquet(self.path(table))
         back = self.house.spark.read.schema(df.schema).parquet(self.path(table))
         self.locations[table] = self.path(table)
+        self.seen[table] = told.get
         self._judge([table], back, told.get, [])
         return back
 
@@ -242,12 +248,18 @@ class Warehouse:
         newest = build.add("newest_markets", newest)
         staged = build.add("stg_markets", newest.select(*staging.MARKET_COLUMNS))
         dims = build.add("dim_markets", facts.dim_markets(staged))
-        resolutions = build.add("fct_resolutions", facts.fct_resolutions(staged))
+        moments = {
+            name: pick(F.col("resolved_at").cast("timestamp_ntz"))
+            for name, pick in (("first", F.min), ("last", F.max))
+        }
+        resolutions = build.add("fct_resolutions", facts.fct_resolutions(staged), **moments)
+        seen = build.seen["fct_resolutions"]
+        reach = marts.resolved_reach(resolutions, seen["n"], seen["first"], seen["last"])
 
         prices, swap = self._prices(build, raw_prices, full_refresh, dims)
         history = store.read(prepared)
-        build.add("mart_calibration", marts.mart_calibration(resolutions, prices))
-        build.add("mart_price_dynamics", marts.mart_price_dynamics(resolutions, prices))
+        build.add("mart_calibration", marts.mart_calibration(resolutions, prices, reach))
+        build.add("mart_price_dynamics", marts.mart_price_dynamics(resolutions, prices, reach))
         build.add("mart_event_coherence", marts.mart_event_coherence(dims, prices))
         build.add("mart_daily_volume", marts.mart_daily_volume(history))
 

@@ -101,6 +101,29 @@ def gap_report(x: Inputs) -> DataFrame:
     return emit(planning.gap_report(x.stg_prices, factor=2))
 
 
+@query(
+    "window_coverage",
+    """select * from (with pieces as (
+         select w.yes_token_id, w.start_ts, w.end_ts, greatest(h.t, w.start_ts) as s,
+           least(h.t + 60 * h.fidelity_minutes, w.end_ts) as e
+         from windows w left join fx_raw_price_history h on h.token_id = w.yes_token_id
+           and h.t < w.end_ts and h.t + 60 * h.fidelity_minutes > w.start_ts),
+       islands as (
+         select *, sum(if(s > reach, 1, 0)) over (partition by yes_token_id order by s, e) as island
+         from (select *, max(e) over (partition by yes_token_id order by s, e
+                 rows between unbounded preceding and 1 preceding) as reach from pieces)),
+       merged as (
+         select yes_token_id, start_ts, end_ts, max(e) - min(s) as seconds
+         from islands group by yes_token_id, start_ts, end_ts, island)
+       select yes_token_id, cast(end_ts - start_ts as bigint) as window_seconds,
+         cast(coalesce(sum(seconds), 0) as bigint) as covered_seconds,
+         cast(end_ts - start_ts - coalesce(sum(seconds), 0) as bigint) as uncovered_seconds
+       from merged group by yes_token_id, start_ts, end_ts)""",
+)
+def window_coverage(x: Inputs) -> DataFrame:
+    return planning.window_coverage(planning.with_window(_marked(x), _now()), x.raw_prices)
+
+
 @query(
     "run_summary",
     """select count(*) as markets_targeted,

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import history, periods, quality
 from marketlake.operators.asof import asof_join
+from marketlake.operators.coverage import coverage_sum
 from marketlake.operators.dedupe import first_by
 from marketlake.operators.skew import salted_join
+from marketlake.plans import marts
 
 T0 = datetime(2024, 1, 10, 5, 30)
 
@@ -252,3 +254,64 @@ def test_freshness(spark, age_hours, status):
 def test_freshness_of_nothing_is_an_error(spark):
     raw = spark.createDataFrame([], "_ingested_at timestamp")
     assert quality.freshness(raw, "s", F.lit(T0), 24, 48).first().status == "error"
+
+
+# --- coverage and reach -----------------------------------------------------------------
+
+
+def test_coverage_equals_counting_seconds(spark):
+    """Overlaps, copies, gaps, midnights, empty and reversed intervals, against sets of seconds."""
+    rng, day = random.Random(4), 86_400
+    windows = [("a", day - 500, 3 * day + 500), ("b", 0, 100), ("c", 50, 50), ("d", 10, 20), ("e", 90, 10)]
+    spans = [("a", s, s + rng.choice([0, 1, 60, 4000, 2 * day])) for s in
+             (rng.randrange(0, 4 * day) for _ in range(12))]
+    spans += [spans[0]] * 5 + [("b", -50, 10), ("b", 5, 20), ("b", 20, 30), ("b", 99, 300), ("b", 40, 35),
+                               ("c", 0, 100), ("x", 0, 9), ("b", None, 50), ("b", 60, None)]
+    schema = "k string, start long, end long"
+    got = coverage_sum(spark.createDataFrame(windows, schema), spark.createDataFrame(spans, schema), "k")
+    want = {}
+    for key, a, b in windows:
+        inside = set(range(a, b))
+        seen = set()
+        for k, s, e in spans:
+            if k == key and s is not None and e is not None:
+                seen |= inside.intersection(range(s, e))
+        want[key] = (len(inside), len(seen), len(inside) - len(seen))
+    assert {r.k: tuple(r)[1:] for r in got.collect()} == want
+
+
+def test_a_hot_token_spreads_by_day(spark):
+    schema = "k string, start long, end long"
+    df = spark.createDataFrame([("a", 0, 10)], schema)
+    windows = [x for x in plan_of(coverage_sum(df, df, "k")).splitlines() if "Window [" in x]
+    assert windows and all("_day" in x for x in windows)
+
+
+def test_reach_cuts_days_and_tokens_before_the_shuffle(spark, tmp_path):
+    """100 times the prices with 1 % of the tokens resolved: the joins see that share."""
+    resolutions = spark.createDataFrame(
+        [("m0", "t0", "yes", datetime(2024, 3, 1, 12)), ("m1", "t1", "no", datetime(2024, 3, 2))],
+        "market_id string, yes_token_id string, outcome string, resolved_at timestamp",
+    ).withColumn("volume_usd", F.lit(1.0))
+    points = spark.range(200 * 80).select(
+        F.concat(F.lit("t"), F.col("id") % 200).alias("token_id"),
+        F.timestamp_seconds(F.lit(1703980800) + F.floor(F.col("id") / 200) * 86_400).alias("price_ts"),
+        ((F.col("id") % 10) / 10).alias("price"),
+        F.lit(60).cast("bigint").alias("fidelity_minutes"),
+    ).withColumn("price_date", F.to_date("price_ts"))
+    path = str(tmp_path / "prices")
+    points.write.partitionBy("price_date").parquet(path)
+    prices = spark.read.parquet(path)
+    reach = marts.resolved_reach(resolutions, 2, datetime(2024, 3, 1, 12), datetime(2024, 3, 2))
+    near = marts.calibration_prices(prices, reach), marts.dynamics_prices(prices, reach)
+    assert [df.count() for df in near] == [2 * 34, 2 * 32]  # of 16,000
+    with_reach = marts.mart_calibration(resolutions, prices, reach)
+    assert with_reach.collect() == marts.mart_calibration(resolutions, prices).collect()
+    assert marts.mart_price_dynamics(resolutions, prices, reach).collect() == (
+        marts.mart_price_dynamics(resolutions, prices).collect())
+    plan = plan_of(with_reach)
+    assert "LeftSemi" in plan and "scalar-subquery" not in plan and "BroadcastHashJoin" in plan
+    # Too many keys to broadcast: days alone. No resolution: nothing.
+    assert marts.resolved_reach(resolutions, 10**7, datetime(2024, 3, 1), datetime(2024, 3, 2)).keys is None
+    none = marts.resolved_reach(resolutions.limit(0), 0, None, None)
+    assert marts.mart_calibration(resolutions.limit(0), prices, none).count() == 0
