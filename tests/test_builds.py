@@ -1,15 +1,17 @@
 """Builds that checks can stop, what they count, and what they publish."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 from test_pipeline import T0, market_payload, points_table, rows_of
 
 from marketlake.operators.quality import RowCheck, out_of_bounds
-from marketlake.plans import checks
+from marketlake.plans import checks, facts, history_store, staging
 from marketlake.plans.run_log import RunLog
 from marketlake.plans.warehouse import BuildBlocked, Warehouse
+from marketlake.session import stored
 from marketlake.sources.schemas import RAW_CATALOG, RAW_PRICES
 
 
@@ -104,3 +106,37 @@ def test_points_left_out_are_counted(spark, tmp_path):
         counted = {r.counter: r.value for r in log.read().filter(F.col("run_id") == run).collect()}
         assert {k: counted[f"left_out:{k}"] for k in want} == want
         assert counted["rows:fct_prices"] == 1
+
+
+def test_history_stays_in_few_folders(spark, tmp_path, monkeypatch):
+    """Compactions bound what a reader lists; a moment prunes years; a replayed batch is known."""
+    monkeypatch.setattr(history_store, "MOST_FOLDERS", 3)
+    store = history_store.HistoryStore(spark, str(tmp_path / "history"))
+    logs = []
+    for year in range(2015, 2023):
+        rows = [(datetime(year, 6, 1), f"r{year}-{i}", "s",
+                 market_payload(i, volumeNum=year + i, updatedAt=f"{year}-0{1 + i % 3}-01T00:00:00Z"))
+                for i in range(4)]
+        logs.append(stored(staging.market_log(spark.createDataFrame(rows, RAW_CATALOG))))
+    for k, log in enumerate(logs):
+        store.extend(log, f"b{k}")
+        assert len(store.folders()) <= 4
+    store.extend(logs[3], "b3")  # known, whatever was compacted
+    assert store.batches() == [f"b{k}" for k in range(8)]
+    assert sum(r["compacted"] for r in store._rows()) == 2
+    whole = facts.markets_history(reduce(lambda a, b: a.unionByName(b), logs))
+    assert rows_of(store.read()) == rows_of(whole)
+
+    moment = datetime(2021, 4, 1)
+    then = store.as_of(moment)
+    at = F.lit(moment).cast("timestamp")
+    want = whole.filter((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at)))
+    assert rows_of(then) == rows_of(want) and then.count() == 4
+    assert all("closed_year=20" not in f or int(f.split("closed_year=")[1][:4]) >= 2021
+               for f in files_read(then))
+    old = store.replaced()
+    assert len(old) == 8 + 7 and not set(f"{store.root}/closed/batch={f}" for f in store.folders()) & set(old)
+
+
+def files_read(df):
+    return [f for f in df.select(F.input_file_name().alias("f")).distinct().toPandas()["f"]]
