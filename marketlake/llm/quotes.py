@@ -22,6 +22,8 @@ from marketlake.operators.periods import running_max_by_chunk
 
 # A quote mark with what may stand before it; one is taken off per level.
 MARKS = r"^(?:[ \t]*>)+ ?"
+# A line that names the writer of the quotation after it, normalised.
+ATTRIBUTION = r"(wrote|writes|said|says|schrieb|escribió|a écrit) ?:$"
 # Turns of one chunk when the latest earlier message is looked for.
 CHUNK = 1024
 
@@ -47,8 +49,8 @@ def levelled_lines(text: Column) -> Column:
     )
 
 
-def passages(lines: Column) -> Column:
-    """The runs of lines of one level without an empty one, as (level, lines joined by a space).
+def spans(lines: Column) -> Column:
+    """The runs of lines of one level without an empty one, as (first, last) places.
 
     `lines` is an array of (level, normalised text); the work is linear in its size.
     """
@@ -62,17 +64,93 @@ def passages(lines: Column) -> Column:
     begins = F.filter(places, lambda i: edge(i, i - 1))
     ends = F.filter(places, lambda i: edge(i, i + 1))
     return F.zip_with(
-        begins,
-        ends,
-        lambda i, j: F.struct(
-            lines[i]["level"].alias("level"),
-            F.array_join(
-                F.transform(F.slice(lines, i + 1, j - i + 1), lambda x: x["text"]), " "
-            ).alias("text"),
+        begins, ends, lambda i, j: F.struct(i.alias("first"), j.alias("last"))
+    )
+
+
+def passage_text(lines: Column, span: Column) -> Column:
+    """The lines of a span, joined by a space."""
+    run = F.slice(lines, span["first"] + 1, span["last"] - span["first"] + 1)
+    return F.array_join(F.transform(run, lambda x: x["text"]), " ")
+
+
+def passages(lines: Column) -> Column:
+    """The spans as (level, text)."""
+    return F.transform(
+        spans(lines),
+        lambda s: F.struct(
+            lines[s["first"]]["level"].alias("level"), passage_text(lines, s).alias("text")
         ),
     )
 
 
+def parted(lines: Column, found: Column) -> Column:
+    """(own, unlinked) of a message: its own lines, and quoted ones that are not linked, in order.
+
+    `lines` is an array of (level, text), `found` the hashes of its linked units. A quoted line is
+    linked if its passage is, or itself. Of the own lines an attribution ("... wrote:") goes if a
+    linked quotation follows it.
+    """
+    cleaned = F.transform(
+        lines,
+        lambda x: F.struct(
+            x["level"].alias("level"), normalised(x["text"]).alias("text"), x["text"].alias("raw")
+        ),
+    )
+
+    def is_found(text: Column) -> Column:
+        return F.array_contains(found, F.xxhash64(text))
+
+    def of(clean: Column) -> Column:
+        quoted = F.filter(spans(clean), lambda s: clean[s["first"]]["level"] > 0)
+        judged = F.transform(
+            quoted,
+            lambda s: F.struct(
+                s["first"].alias("first"),
+                F.when(is_found(passage_text(clean, s)), F.array().cast("array<string>"))
+                .otherwise(
+                    F.transform(
+                        F.filter(
+                            F.slice(clean, s["first"] + 1, s["last"] - s["first"] + 1),
+                            lambda x: ~is_found(x["text"]),
+                        ),
+                        lambda x: x["raw"],
+                    )
+                )
+                .alias("left"),
+                (s["last"] - s["first"] + 1).alias("n"),
+            ),
+        )
+        return F.transform(
+            F.array(judged),
+            lambda spans_: F.struct(
+                F.flatten(spans_["left"]).alias("unlinked"),
+                F.transform(
+                    F.filter(spans_, lambda s: F.size(s["left"]) < s["n"]), lambda s: s["first"]
+                ).alias("starts"),
+            ),
+        )[0]
+
+    # One-element arrays bind what is used more than once.
+    return F.transform(
+        F.array(cleaned),
+        lambda clean: F.transform(
+            F.array(of(clean)),
+            lambda told: F.struct(
+                F.transform(
+                    F.filter(
+                        clean,
+                        lambda x, i: (x["level"] == 0)
+                        & ~(x["text"].rlike(ATTRIBUTION) & F.array_contains(told["starts"], i + 1)),
+                    ),
+                    lambda x: x["raw"],
+                ).alias("own"),
+                told["unlinked"].alias("unlinked"),
+            ),
+        )[0],
+    )[0]
+
+
 def units(messages: DataFrame) -> DataFrame:
     """_conv, _turn, level, hash, chars: every passage and every line of the messages.
 
@@ -100,7 +178,7 @@ def units(messages: DataFrame) -> DataFrame:
 
 
 def link_quotes(found: DataFrame) -> DataFrame:
-    """_conv, _turn, level, source, chars: each quoted unit with the message it is from.
+    """_conv, _turn, level, source, chars, hash: each quoted unit with the message it is from.
 
     The source is the latest earlier message that has the unit unquoted. A unit without one is left
     out.
@@ -123,22 +201,26 @@ def link_quotes(found: DataFrame) -> DataFrame:
     return (
         quoted.join(latest, ["_conv", "hash", "_turn"])
         .filter(F.col("source").isNotNull())
-        .select("_conv", "_turn", "level", "source", "chars")
+        .select("_conv", "_turn", "level", "source", "chars", "hash")
     )
 
 
 def parents(links: DataFrame) -> DataFrame:
-    """_conv, _turn, parent, n_linked: the message each one replies to.
+    """_conv, _turn, parent, n_linked, hashes (of the linked units): the message each replies to.
 
     The shallowest level that has links counts; of its sources the one with the most quoted
     characters, and of equal ones the latest.
     """
     by_source = links.groupBy("_conv", "_turn", "level", "source").agg(
-        F.sum("chars").alias("chars"), F.count("*").alias("n")
+        F.sum("chars").alias("chars"),
+        F.count("*").alias("n"),
+        F.collect_set("hash").alias("hashes"),
     )
     best = F.max_by("source", F.struct(-F.col("level"), F.col("chars"), F.col("source")))
     return by_source.groupBy("_conv", "_turn").agg(
-        best.alias("parent"), F.sum("n").alias("n_linked")
+        best.alias("parent"),
+        F.sum("n").alias("n_linked"),
+        F.flatten(F.collect_list("hashes")).alias("hashes"),
     )
 
 
@@ -182,7 +264,9 @@ def link_conversations(
     All columns, the text without quoted lines and without white space at its ends, and `parent`
     (turn replied to, null for the first of a thread), `thread` (turn of that first message),
     `depth` (replies up to it), `n_quoted` (quoted lines), `n_linked` (quoted passages and lines
-    found in earlier messages). Rows are sorted by conversation, thread, depth and turn, so every
+    found in earlier messages) and `unlinked`: the quoted lines that are from no earlier message,
+    without their marks, so that nothing a message says is lost. A line that names the writer goes
+    with a linked quotation right after it. Rows are sorted by conversation, thread, depth and turn, so every
     message stands after the one it replies to.
 
     Null texts stay null and quote nothing; empty texts stay empty. A message without conversation
@@ -201,7 +285,7 @@ def link_conversations(
     trees = threads(replies)
     placed = replies.join(trees, ["_conv", "_turn"]).select(
         F.col("_conv").alias("_c"), F.col("_turn").alias("_t"),
-        "parent", "thread", "depth", "n_linked",
+        "parent", "thread", "depth", "n_linked", "hashes",
     )
     rows = messages.select(
         pack(messages), conv.alias("_conv"), turn.alias("_turn"),
@@ -210,8 +294,14 @@ def link_conversations(
     joined = rows.join(
         placed, (F.col("_conv") == F.col("_c")) & (F.col("_turn") == F.col("_t")), "left"
     )
-    unquoted = F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: x["text"])
-    plain = F.btrim(F.array_join(unquoted, "\n"), F.lit(" \t\n\x0b\f\r"))
+    hashes = F.coalesce("hashes", F.array().cast("array<bigint>"))
+    joined = joined.withColumn(
+        "_parted",
+        F.when(
+            F.exists("_lines", lambda x: x["level"] > 0), parted(F.col("_lines"), hashes)
+        ),
+    )
+    plain = F.btrim(F.array_join("_parted.own", "\n"), F.lit(" \t\n\x0b\f\r"))
     n_quoted = F.size(F.filter("_lines", lambda x: x["level"] > 0))
     packed_text = F.col("_row").getField(text_col)
     result = unpack(
@@ -224,6 +314,7 @@ def link_conversations(
             "depth": F.coalesce("depth", F.lit(0)).cast("bigint"),
             "n_quoted": n_quoted.cast("bigint"),
             "n_linked": F.coalesce("n_linked", F.lit(0)).cast("bigint"),
+            "unlinked": F.coalesce("_parted.unlinked", F.array().cast("array<string>")),
         },
     )
     return result.orderBy(f"`{conv_col}`", "thread", "depth", f"`{turn_col}`")

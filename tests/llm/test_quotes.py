@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 from conftest import plan_of
 
 from marketlake.llm.quotes import link_conversations
@@ -87,3 +91,87 @@ def test_clashing_columns_and_plan(spark):
     assert {r.depth for r in rows} == {0, 1, 2}
     plan = plan_of(result)
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute(rows):
+    """(parent, own text, unlinked lines, n_linked) of each turn of one conversation, by plain loops."""
+    def clean(text):
+        text = re.sub("[A-Z]", lambda m: m.group().lower(), text)
+        return re.sub(r"[\x20\x09-\x0D]+", " ", text).strip(" ")
+
+    def split(text):
+        out = []
+        for line in text.split("\n"):
+            marks = re.match(r"(?:[ \t]*>)+ ?", line)
+            out.append((marks.group().count(">") if marks else 0, line[marks.end():] if marks else line))
+        return out
+
+    def runs(lines):
+        found, run = [], []
+        for i, (level, text) in enumerate([*lines, (-1, "")]):
+            if run and (level != lines[run[0]][0] or not clean(text)):
+                found.append(run)
+                run = []
+            if clean(text):
+                run.append(i)
+        return found
+
+    own = {}  # unit -> turns that have it unquoted
+    out = {}
+    for turn, text in rows:
+        lines = split(text)
+        units = {}
+        for run in runs(lines):
+            joined = " ".join(clean(lines[i][1]) for i in run)
+            for unit in {joined, *(clean(lines[i][1]) for i in run)}:
+                units[lines[run[0]][0], unit] = max(own.get(unit, [-1]))
+        linked = {u: s for u, s in units.items() if u[0] > 0 and s >= 0}
+        by_source = Counter()
+        for (level, unit), source in linked.items():
+            by_source[level, source] += len(unit)
+        best = max(by_source, key=lambda k: (-k[0], by_source[k], k[1]), default=None)
+        texts = {u for _, u in linked}
+        unlinked, starts = [], set()
+        for run in runs(lines):
+            if lines[run[0]][0] > 0:
+                joined = " ".join(clean(lines[i][1]) for i in run)
+                left = [] if joined in texts else [lines[i][1] for i in run if clean(lines[i][1]) not in texts]
+                unlinked += left
+                if len(left) < len(run):
+                    starts.add(run[0])
+        kept = [t for i, (level, t) in enumerate(lines)
+                if level == 0 and not (i + 1 in starts and re.search(r"(wrote|said) ?:$", clean(t)))]
+        quoted = any(level for level, _ in lines)
+        out[turn] = (best[1] if best else None, "\n".join(kept).strip(" \t\n\x0b\f\r") if quoted else text,
+                     unlinked, len(linked))
+        for (level, unit) in units:
+            if level == 0:
+                own.setdefault(unit, []).append(turn)
+    return out
+
+
+def test_equals_brute_force(spark):
+    """Edited quotes, code with marks, attributions, levels and repeated lines, in random talk."""
+    rng = random.Random(9)
+    pool = [f"Line {k} of the talk" for k in range(12)] + ["", "yes", "Yes", ">>> print(1)", "Ann wrote:"]
+    rows = []
+    for turn in range(60):
+        lines = []
+        for _ in range(rng.randrange(1, 7)):
+            line = rng.choice(pool)
+            lines.append(rng.choice(["", "", "> ", ">> ", "> > ", ">"]) + line)
+        rows.append((turn, "\n".join(lines)))
+    got = by_turn(spark, [(1, turn, "u", text) for turn, text in rows])
+    want = brute(rows)
+    for turn, text in rows:
+        r = got[turn]
+        assert (r.parent, r.text, r.unlinked, r.n_linked) == want[turn], text
+
+
+def test_nothing_that_is_said_is_lost(spark):
+    rows = [(1, 0, "u", "Hello there."), (1, 1, "a", "On Monday Ann wrote:\n> Hello there.\nHi!"),
+            (1, 2, "u", "Try\n>>> print(1)\n> Hallo there, edited.\nBob wrote:\n> nothing known")]
+    got = by_turn(spark, rows)
+    assert (got[1].text, got[1].unlinked) == ("Hi!", [])
+    assert got[2].unlinked == ["print(1)", "Hallo there, edited.", "nothing known"]
+    assert got[2].parent is None and got[2].text == "Try\nBob wrote:"
