@@ -68,6 +68,12 @@ BOILERPLATE = frozenset(
     "related recommended popup modal overlay search pagination pager widget widgets complementary "
     "contentinfo dialog form alert".split()
 )
+# Words before which a word names what the element has or lacks, not what it is.
+MODIFIERS = frozenset("has no not with without hide".split())
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+# A named element stays if it holds more than this share of the page's text; one that is named for
+# comments, which may outgrow the article, only if it holds more than the second.
+MOST, MOST_COMMENTS = 0.5, 0.8
 # Elements whose class or id is not taken as boilerplate: they hold the page or the article.
 NEVER_BOILERPLATE = frozenset(["html", "body", "article", "main"])
 
@@ -98,33 +104,42 @@ class Node:
     element that a node is or is in.
     """
 
-    __slots__ = ("tag", "parent", "parts", "skip", "chars", "tags", "link_chars", "link_tags",
+    __slots__ = ("tag", "parent", "parts", "skip", "named", "held", "chars", "tags", "link_chars", "link_tags",
                  "density", "density_sum", "block", "top", "around")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool):
+    def __init__(self, tag: str, parent: Node | None, skip: bool, named: frozenset = frozenset()):
         self.tag, self.parent, self.parts, self.skip = tag, parent, [], skip
+        self.named = named
         self.around = self if tag in ("article", "main") else parent and parent.around
 
 
-def is_boilerplate(tag: str, attrs: str) -> bool:
-    """Whether an element is left out, by its name or by what its attributes call it."""
-    if tag in SKIP:
-        return True
+def naming(value: str) -> frozenset[str]:
+    """The words of a class, id or role that name boilerplate."""
+    split = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()
+    words = re.split(r"[^a-z0-9]+", split)
+    return frozenset(
+        w for before, w in zip(["", *words], words) if w in BOILERPLATE and before not in MODIFIERS
+    )
+
+
+def left_out(tag: str, attrs: str) -> tuple[bool, frozenset[str]]:
+    """(whether an element is left out whatever it holds, the boilerplate words that name it)."""
+    if tag in SKIP and tag != "form":
+        return True, frozenset()
+    named = frozenset(["form"]) if tag == "form" else frozenset()
     if not attrs or tag in NEVER_BOILERPLATE:
-        return False
+        return False, named
     for found in ATTR.finditer(attrs):
         name = found["name"].lower()
         value = found["d"] or found["s"] or found["u"] or ""
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, named
         if name == "style":
             if HIDDEN_STYLE.search(value):
-                return True
+                return True, named
         elif name in ("class", "id", "role"):
-            split = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()
-            if not BOILERPLATE.isdisjoint(re.split(r"[^a-z0-9]+", split)):
-                return True
-    return False
+            named |= naming(value)
+    return False, named
 
 
 def parse(page: str) -> Node:
@@ -132,6 +147,7 @@ def parse(page: str) -> Node:
     article stays, one outside is left out."""
     root = current = Node("html", None, False)
     open_articles = at = 0
+    any_named = False
     length = len(page)
     last_end = page.rfind(">") + 1  # no tag ends after it
     while at < length:
@@ -165,8 +181,10 @@ def parse(page: str) -> Node:
             if target is not None:
                 open_articles -= _articles(current, target)
                 current = target
-        skip = is_boilerplate(tag, found["attrs"]) or (tag == "header" and not open_articles)
-        node = Node(tag, current, skip)
+        always, named = left_out(tag, found["attrs"])
+        always = always or (tag == "header" and not open_articles)
+        any_named = any_named or bool(named)
+        node = Node(tag, current, always or bool(named), frozenset() if always else named)
         current.parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.IGNORECASE)
@@ -175,9 +193,41 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not found["attrs"].endswith("/"):
             open_articles += tag == "article"
             current = node
+    if any_named:
+        _restore(root)
     return root
 
 
+def _restore(root: Node) -> None:
+    """Take back the elements that were left out by their name and hold most of the page's text.
+
+    Where an article or main element has text elsewhere, a name is believed whatever it holds.
+    """
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(p for p in node.parts if isinstance(p, Node) and (p.named or not p.skip))
+    for node in reversed(order):
+        node.held = sum(
+            len("".join(p.split())) if isinstance(p, str) else p.held if p.named or not p.skip else 0
+            for p in node.parts
+        )
+    mains = [n for n in order if n.tag in ("article", "main") and n.held]
+    for node in order:
+        share = MOST_COMMENTS if node.named & COMMENTS else MOST
+        if node.named and node.held > share * root.held:
+            if all(_above(node, m) or _above(m, node) for m in mains):
+                node.skip = False
+
+
+def _above(node: Node, below: Node | None) -> bool:
+    """Whether `below` is `node` or lies in it."""
+    while below is not None and below is not node:
+        below = below.parent
+    return below is node
+
+
 def _articles(node: Node, until: Node) -> int:
     count = 0
     while node is not until:

@@ -119,3 +119,28 @@ def test_heading_and_text_beside_the_body():
     assert main_text(page(f"<div><h1>Title</h1><div>{tagged(texts)}</div></div>")) == "\n".join(["Title", *texts])
     other = f"<h2>More</h2><ul>{links}</ul>"
     assert main_text(page(f"{other}<h1>Title</h1><div>{tagged(texts)}</div>{other}")) == "\n".join(["Title", *texts])
+
+
+ARTICLE = f"<article><h1>Head</h1>{P * 6}</article>"
+WHOLE = "\n".join(["Head", *[PARA] * 6])
+
+
+@pytest.mark.parametrize("body", [
+    f'<div class="content">{ARTICLE}</div>',
+    f'<div class="content has-sidebar">{MENU}{ARTICLE}<div class="sidebar"><p>Aside</p></div></div>',
+    f'<div class="single no-comments">{ARTICLE}</div><div class="footer">Imprint</div>',
+    f'<form id="aspnetForm">{MENU}{ARTICLE}<div class="footer">Imprint</div></form>',
+    f'<article><h1>Head</h1><div class="article-share-wrap-text">{P * 6}</div></article>',
+    f'<div id="search-page"><div class="widget-area">{ARTICLE}</div></div>',
+])
+def test_names_do_not_drop_what_holds_most_of_the_page(body):
+    assert main_text(page(body)) == WHOLE
+
+
+def test_named_parts_that_hold_less_still_go():
+    comments = "<div class='comments'>" + "".join(f"<p>Reader {i} says: {PARA}</p>" for i in range(9)) + "</div>"
+    assert main_text(page(ARTICLE + comments)) == WHOLE  # longer than the article
+    form = f"<form>{P}<input></form>"
+    assert main_text(page(f"<article><h1>Head</h1>{P * 6}{form}</article>")) == WHOLE
+    hidden = f"<div style='display:none'>{P * 30}</div><div hidden>{P * 30}</div>"
+    assert main_text(page(ARTICLE + hidden)) == WHOLE
