@@ -4,18 +4,30 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.session import shared_dir, stored
 
 __all__ = ["HEAVIEST", "ascii_lower", "heavy_lookup", "pack", "row_key", "shared_dir", "stored",
-           "text_or_empty", "tune_arrow", "unpack", "words"]
+           "stored_counting", "text_or_empty", "tune_arrow", "unpack", "words"]
 
 # ASCII white space, as in the class [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\f\r"
 
 
+def stored_counting(df: DataFrame, *conditions: Column) -> tuple[DataFrame, list[int]]:
+    """`stored(df)` with its number of rows, and of those where each condition holds.
+
+    Counted by the write itself.
+    """
+    told = Observation()
+    counts = [F.count_if(c).alias(f"n{i}") for i, c in enumerate([F.lit(True), *conditions])]
+    table = stored(df.observe(told, *counts))
+    seen = told.get
+    return table, [seen.get(f"n{i}") or 0 for i in range(len(counts))]
+
+
 def tune_arrow(spark: SparkSession) -> None:
     """Arrow batches bounded by rows and bytes, so that very long texts do not pile up in one."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

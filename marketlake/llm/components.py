@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import stored, stored_counting
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,13 +37,14 @@ def components(links: DataFrame) -> DataFrame:
         shorter = labels.select(
             F.col("node").alias("_via"), F.col("component").alias("_shorter")
         )
-        fresh = stored(
+        fresh, (_, changed) = stored_counting(
             spread.join(shorter, F.col("_next") == F.col("_via")).select(
                 "node",
                 F.least("_next", "_shorter").alias("component"),
                 (F.least("_next", "_shorter") != F.col("component")).alias("_changed"),
-            )
+            ),
+            F.col("_changed"),
         )
         labels = fresh.select("node", "component")
-        if fresh.filter("_changed").isEmpty():
+        if not changed:
             return labels

@@ -17,8 +17,8 @@ against the largest of these components, and then the pairs that are left enumer
 
 Scale: equal sets within a task emit their keys once, and equal keys within a batch are linked to a
 local leader there, so a key shared by a third of all documents arrives as one row per batch. Keys
-are shuffled once as two or three longs; texts are read again only for candidates that pass the
-sketches. Nothing but the list of bands (at most 64) comes to the driver.
+are shuffled once as two or three longs; pairs carry sketches of a fixed size, and whole sketches
+and texts are read again only for what these let through. Nothing but the list of bands (at most 64) comes to the driver.
 """
 
 from __future__ import annotations
@@ -32,19 +32,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.llm.common import stored, text_or_empty, tune_arrow
+from marketlake.llm.common import stored, stored_counting, text_or_empty, tune_arrow
 from marketlake.llm.components import components
 
 # Documents of fewer shingles are keyed by single elements; bands are powers of two.
 SMALL_BAND = 6
 # Bits of a sketch over the least size of its band.
 SKETCH_BITS = 8
+# Words of the brief sketch, which goes along with pairs; the others are looked up for what it lets
+# through.
+BRIEF = 8
 # Filled buckets over differing elements, as planned; see `buckets`.
 SPARE = 1.28
 # Members of one key that one task compares with each other.
 BLOCK = 1024
 # Rounds that join the largest components of the keys before the rest is enumerated.
-BRIDGES = 2
+BRIDGES = 1
 
 U = np.uint64
 
@@ -123,10 +126,20 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def brief(elements: np.ndarray) -> list[int]:
+    """The parity sketch of `BRIEF` words that sets of every size have."""
+    bits = 64 * BRIEF
+    flips = np.bincount((elements & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+BRIEFS = [f"b{i}" for i in range(BRIEF)]
+
 PROFILE = [
     ("n", pa.int64(), T.LongType()),
     ("f1", pa.int64(), T.LongType()),
     ("f2", pa.int64(), T.LongType()),
+    *[(name, pa.int64(), T.LongType()) for name in BRIEFS],
     ("sketch", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
     ("keys", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
     ("thin", pa.list_(pa.int32()), T.ArrayType(T.IntegerType())),
@@ -164,7 +177,7 @@ def profiler(size: int, percent: int, exact_levels: frozenset[int] | None = None
                 keys, thin = document_keys(elements, percent, exact_levels)
                 row = (
                     len(elements), *np.frombuffer(digest, np.int64).tolist(),
-                    sketch(elements), keys.view(np.int64), thin,
+                    *brief(elements), sketch(elements), keys.view(np.int64), thin,
                 )
                 for column, value in zip(columns, row):
                     column.append(value)
@@ -244,6 +257,22 @@ def folded(sketch: Column, words: Column) -> Column:
     return F.when(F.size(sketch) > words, halves).otherwise(sketch)
 
 
+def within(n_a: Column, n_b: Column, side_a: str, side_b: str, percent: int) -> Column:
+    """Whether sizes and brief sketches, in columns with these prefixes, allow a link."""
+    smaller = F.least(n_a, n_b)
+    distance = F.lit(0)
+    for name in BRIEFS:
+        distance = distance + F.bit_count(F.col(side_a + name).bitwiseXOR(F.col(side_b + name)))
+    sizes = percent * F.greatest(n_a, n_b) <= 100 * smaller
+    return sizes & (distance * percent <= (100 - percent) * smaller)
+
+
+def side(classes: DataFrame, rep: str, n: str, prefix: str) -> DataFrame:
+    """The class representatives as one side of pairs: `rep`, `n` and the brief sketch."""
+    words = [F.col(b).alias(prefix + b) for b in BRIEFS]
+    return classes.select(F.col("rep").alias(rep), F.col("n").alias(n), *words)
+
+
 def apart(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column, percent: int) -> Column:
     """At least so many elements differ, by the sketches; null if sizes or sketches rule a link out.
 
@@ -318,8 +347,17 @@ class ParityJoin:
     def candidates(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """Of the pairs (a, b) of class representatives those that may be linked, with `share`.
 
-        `share` is the part of both sets that differs at least, by sizes and sketches.
+        `share` is the part of both sets that differs at least, by sizes and sketches. The brief
+        sketches come first; whole ones are looked up for what is left.
         """
+        met = pairs.select("a", "b").join(side(classes, "a", "n_a", "l_"), "a")
+        met = met.join(side(classes, "b", "n_b", "r_"), "b")
+        n_a, n_b = F.col("n_a"), F.col("n_b")
+        left = stored(met.filter(within(n_a, n_b, "l_", "r_", self.percent)).select("a", "b"))
+        return self.sketched(left, classes)
+
+    def sketched(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The same by the whole sketches alone."""
         left = classes.select(
             F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")
         )
@@ -376,7 +414,7 @@ class ParityJoin:
             )
             .distinct()
         )
-        near = self.candidates(met.distinct(), classes)
+        near = self.candidates(met.select("a", "b").distinct(), classes)
         best = F.min_by(F.struct("a", "b"), F.struct("share", "a", "b"))
         return (
             met.join(near, ["a", "b"]).groupBy("x", "there").agg(best.alias("p")).select("p.*")
@@ -395,32 +433,30 @@ class ParityJoin:
             F.max("component").alias("_most"),
         )
         mixed = stored(mixed.filter(F.col("_least") != F.col("_most")).select("key", "_blocks"))
-        sized = placed.join(mixed, "key").join(classes.select("rep", "n", "sketch"), "rep")
+        sized = placed.join(mixed, "key").join(classes.drop("f1", "f2", "sketch"), "rep")
         dealt = sized.withColumn(
             "_block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
         )
         others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-        left = dealt.select(
-            "key", F.col("_block").alias("_i"), others.alias("_j"), F.col("rep").alias("a"),
-            F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"),
-        )
-        right = dealt.select(
-            "key", others.alias("_i"), F.col("_block").alias("_j"), F.col("rep").alias("b"),
-            F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"),
-        )
-        distance = apart(
-            F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"), self.percent
-        )
-        pairs = left.alias("l").join(
-            right.alias("r"),
+
+        def half(rep: str, own: str, other: str, prefix: str) -> DataFrame:
+            words = [F.col(b).alias(prefix + b) for b in BRIEFS]
+            return dealt.select(
+                "key", F.col("_block").alias(own), others.alias(other), F.col("rep").alias(rep),
+                F.col("component").alias(f"c_{rep}"), F.col("n").alias(f"n_{rep}"), *words,
+            )
+
+        pairs = half("a", "_i", "_j", "l_").alias("l").join(
+            half("b", "_j", "_i", "r_").alias("r"),
             (F.col("l.key") == F.col("r.key"))
             & (F.col("l._i") == F.col("r._i"))
             & (F.col("l._j") == F.col("r._j"))
             & (F.col("a") < F.col("b"))
             & (F.col("c_a") != F.col("c_b"))
-            & distance.isNotNull(),
+            & within(F.col("n_a"), F.col("n_b"), "l_", "r_", self.percent),
         )
-        return pairs.select("a", "b").distinct()
+        left = stored(pairs.select("a", "b").distinct())
+        return self.sketched(left, classes).select("a", "b")
 
     def run(self) -> DataFrame:
         """id, n, class_id, component_id of each row."""
@@ -428,7 +464,9 @@ class ParityJoin:
         filled = profiles.filter(F.col("n") > 0)
         classes = stored(
             filled.groupBy("f1", "f2", "n").agg(
-                F.min("id").alias("rep"), F.first("sketch").alias("sketch")
+                F.min("id").alias("rep"),
+                *[F.first(b).alias(b) for b in BRIEFS],
+                F.first("sketch").alias("sketch"),
             )
         )
         placed = stored(
@@ -464,18 +502,15 @@ class ParityJoin:
             stored(reps.join(shared, "id").select("a", F.col("rep").alias("b")))
         )
         found = components(links)
-        open_members = stored(self.open_members(members, reps, found))
-        for step in [self.bridges] * BRIDGES + [None]:
-            if open_members.isEmpty():
+        open_members, (n_open,) = stored_counting(self.open_members(members, reps, found))
+        for step in [self.bridges] * BRIDGES + [self.enumerated]:
+            if not n_open:
                 break
-            if step is None:
-                pairs = stored(self.enumerated(open_members, classes, found))
-            else:
-                pairs = stored(step(open_members, classes, found))
-            if pairs.isEmpty():
+            pairs, (n_pairs,) = stored_counting(step(open_members, classes, found))
+            if not n_pairs:
                 continue
-            fresh = stored(self.linked(pairs))
-            if not fresh.isEmpty():
+            fresh, (n_fresh,) = stored_counting(self.linked(pairs))
+            if n_fresh:
                 links = links.union(fresh)
                 found = components(links)
         return with_component(placed, found).select(
