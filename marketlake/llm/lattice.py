@@ -10,14 +10,15 @@ The given scores weigh the first pass over the training words: forward and backw
 each piece's expected count there, and these counts, with the given scores as prior, are the
 weights that score (one step of expectation maximisation).
 
-Scale: lattices run over the distinct words of the corpus, each once, so what is gathered grows with
-the vocabulary of the input. Counts have map-side partials; the words most frequent in the corpus
-(a fixed number) are broadcast, the others joined by a shuffle, and each document's sums have
-map-side partials too. The piece weights are as many as the vocabulary file has pieces.
+Scale: texts are split once, into a stored table of each row's distinct words. Lattices run over the
+distinct words of the corpus, each once, so what is gathered grows with the vocabulary of the input.
+Counts have map-side partials; the words most frequent in the corpus (a fixed number) are broadcast,
+the others joined by a shuffle, and each document's sums have map-side partials too. The piece weights are as many as the vocabulary file has pieces.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,21 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.llm.common import (
-    ascii_lower,
-    pack,
-    row_key,
-    stored,
-    text_or_empty,
-    tune_arrow,
-    unpack,
-    words,
-)
+from marketlake.llm.common import pack, row_key, stored, text_or_empty, tune_arrow, unpack
 
 MARK = "▁"  # stands for the white space before a word
 BASE = np.uint64(0x9E3779B97F4A7C15)
 # Words broadcast with their figures; a fixed number of the most frequent ones.
 FREQUENT = 1 << 16
+FREQUENT_BYTES = 64
 # Characters from which a word's recursion runs by itself and not next to others.
 LONG_WORD = 64
 # Pseudo-counts that the given scores are worth.
@@ -217,6 +210,29 @@ class Lattices:
         return result
 
 
+def row_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow: _id, _th, _train, _text -> _id, _th, _train, word, times: a row's distinct words.
+
+    Bytes are lower-cased and split: A-Z and ASCII white space alone.
+    """
+    for batch in batches:
+        words, times, sizes = [], [], []
+        for text in batch.column("_text").to_pylist():
+            counted = Counter(text.encode().lower().split())
+            words.extend(counted)
+            times.extend(counted.values())
+            sizes.append(len(counted))
+        row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch.column(c).take(row) for c in ("_id", "_th", "_train")],
+                pa.array(words, pa.binary()).cast(pa.string()),
+                pa.array(times, pa.int64()),
+            ],
+            names=["_id", "_th", "_train", "word", "times"],
+        )
+
+
 def expectation(path: str):
     """mapInArrow: word, train_count -> piece, expected; one row per piece and task."""
 
@@ -286,16 +302,22 @@ def lattice_scores(
     through; a column named like a result is replaced. Empty table: no rows.
     """
     tune_arrow(docs.sparkSession)
-    keyed = docs.select(
-        *row_key(id_col, text_col),
-        F.coalesce(train, F.lit(False)).alias("_train"),
-        words(ascii_lower(text_or_empty(text_col))).alias("_words"),
-    )
-    tokens = keyed.select("_id", "_th", "_train", F.explode("_words").alias("word"))
+    trained = F.coalesce(train, F.lit(False)).alias("_train")
+    keyed = docs.select(*row_key(id_col, text_col), trained, text_or_empty(text_col).alias("_text"))
+    id_type = keyed.schema["_id"].dataType
+    fields = [
+        T.StructField("_id", id_type),
+        T.StructField("_th", T.LongType()),
+        T.StructField("_train", T.BooleanType()),
+        T.StructField("word", T.StringType()),
+        T.StructField("times", T.LongType()),
+    ]
+    # Texts are split once: all that follows reads these rows.
+    tokens = stored(keyed.mapInArrow(row_words, T.StructType(fields)))
     counts = stored(
         tokens.groupBy("word").agg(
-            F.count("*").alias("total"),
-            F.count(F.when(F.col("_train"), 1)).alias("train_count"),
+            F.sum("times").alias("total"),
+            F.sum(F.when(F.col("_train"), F.col("times")).otherwise(0)).alias("train_count"),
         )
     )
     ends = docs.filter(train).count()
@@ -316,25 +338,29 @@ def lattice_scores(
         )
     )
 
-    # At most `frequent` rows, whatever the input.
+    # At most `frequent` rows of words of `FREQUENT_BYTES`, whatever the input.
+    brief = scored.filter(F.octet_length("word") <= FREQUENT_BYTES)
     top = stored(
-        scored.orderBy(F.col("total").desc(), "word").limit(frequent).withColumn("_top", F.lit(1))
+        brief.orderBy(F.col("total").desc(), "word").limit(frequent).withColumn("_top", F.lit(1))
     )
     floor = np.log10(n_train + n_distinct + 1)
+    times = F.col("times")
     figures = [
-        F.count("*").alias("_n"),
-        F.count(F.when(F.col("train_count") > 0, 1)).alias("_known"),
-        F.sum(F.log10(F.col("train_count") + 1)).alias("_base"),
-        F.sum("log10p").alias("_score"),
+        F.sum("times").alias("_n"),
+        F.sum(F.when(F.col("train_count") > 0, times).otherwise(0)).alias("_known"),
+        F.sum(times * F.log10(F.col("train_count") + 1)).alias("_base"),
+        F.sum(times * F.col("log10p")).alias("_score"),
     ]
-    named = tokens.select("_id", "_th", "word")
+    named = tokens.select("_id", "_th", "word", "times")
     by_top = named.join(F.broadcast(top), "word").groupBy("_id", "_th").agg(*figures)
     others = named.join(F.broadcast(top.select("word")), "word", "left_anti")
     by_others = others.join(scored, "word").groupBy("_id", "_th").agg(*figures)
     parts = by_top.union(by_others).groupBy("_id", "_th")
     summed = parts.agg(*[F.sum(c).alias(c) for c in ("_n", "_known", "_base", "_score")])
     # Rows with one id and one text were summed together.
-    copies = keyed.groupBy("_id", "_th").agg(F.count("*").alias("_copies"))
+    copies = docs.select(*row_key(id_col, text_col)).groupBy("_id", "_th").agg(
+        F.count("*").alias("_copies")
+    )
     per_row = (
         copies.withColumnsRenamed({"_id": "_cid", "_th": "_cth"})
         .join(summed, F.col("_cid").eqNullSafe(F.col("_id")) & (F.col("_cth") == F.col("_th")))
