@@ -6,8 +6,9 @@ again from the positions that stay.
 
 Scale: what is shuffled by hash are two longs, an id and a position for each line of sufficient
 length; texts are shuffled once, by document. The counts have map-side partials, so a line that
-a third of all documents share arrives as a few rows for each map task; the join that finds its
-positions is a plain equi-join that Spark's adaptive execution splits when one key is large.
+a third of all documents share arrives as a few rows for each map task. The positions of the most
+frequent lines are found by a broadcast of at most `HEAVIEST` hashes, those of the others by a
+shuffle in which no hash has many rows.
 """
 
 from __future__ import annotations
@@ -15,7 +16,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import SPACES, ascii_lower, pack, row_key, text_or_empty, unpack
+from marketlake.llm.common import (
+    SPACES,
+    ascii_lower,
+    heavy_lookup,
+    pack,
+    row_key,
+    stored,
+    text_or_empty,
+    unpack,
+)
 
 
 def line_key(line):
@@ -39,12 +49,15 @@ def long_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
 
 
 def frequent_lines(lines: DataFrame, min_docs: int) -> DataFrame:
-    """Hashes found in `min_docs` documents or more, with the largest document id holding each."""
-    per_doc = lines.select("_h1", "_h2", "_id").distinct()
+    """Hashes found in `min_docs` documents or more, with the largest document id holding each and
+    the number of lines."""
+    per_doc = lines.groupBy("_h1", "_h2", "_id").agg(F.count("*").alias("_in_doc"))
     counted = per_doc.groupBy("_h1", "_h2").agg(
-        F.count("_id").alias("_docs"), F.max("_id").alias("_keeper")
+        F.count("_id").alias("_docs"),
+        F.max("_id").alias("_keeper"),
+        F.sum("_in_doc").alias("_lines"),
     )
-    return counted.filter(F.col("_docs") >= min_docs).select("_h1", "_h2", "_keeper")
+    return counted.filter(F.col("_docs") >= min_docs).select("_h1", "_h2", "_keeper", "_lines")
 
 
 def dedup_lines(
@@ -64,11 +77,11 @@ def dedup_lines(
     results. A row without an id counts in no total and is never the one that keeps a line. Other
     columns pass through; a column named like a result is replaced. Empty table: no rows.
     """
-    lines = long_lines(docs, id_col, text_col, min_chars)
-    repeated = frequent_lines(lines, min_docs)
+    lines = stored(long_lines(docs, id_col, text_col, min_chars))
+    repeated = stored(frequent_lines(lines, min_docs))
+    held = heavy_lookup(lines, repeated, ["_h1", "_h2"], "_lines", ["_keeper"])
     dropped = (
-        lines.join(repeated, ["_h1", "_h2"])
-        .filter(~F.col("_id").eqNullSafe(F.col("_keeper")))
+        held.filter(F.col("_keeper").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_keeper")))
         .groupBy(F.col("_id").alias("_drop_id"), F.col("_th").alias("_drop_th"))
         .agg(F.collect_set("_pos").alias("_drop"))
     )
