@@ -23,7 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.llm.common import pack, text_or_empty, tune_arrow, unpack
+from marketlake.llm.common import (
+    heavy_lookup,
+    pack,
+    stored,
+    text_or_empty,
+    tune_arrow,
+    unpack,
+)
 
 CACHE_SCHEMA = T.StructType(
     [
@@ -168,9 +175,16 @@ def count_tokens(
         text_counter(tokenizer_path)("_text").alias("n_tokens"),
     ).write.mode("append").parquet(cache)
 
-    stored_counts = read_cache(spark, cache, version)
+    # How often each text occurs, so that the counts of the most frequent ones can be broadcast.
+    often = keyed.groupBy("_content").agg(F.count("*").alias("_rows"))
+    counted = read_cache(spark, cache, version)
+    counts = stored(
+        often.join(counted, often["_content"] == counted["content"]).select(
+            "_content", "_rows", "_n_tokens"
+        )
+    )
     sized = keyed.withColumn("_n_bytes", F.octet_length("_text").cast("bigint")).drop("_text")
-    joined = sized.join(stored_counts, sized["_content"] == stored_counts["content"], "left")
+    joined = heavy_lookup(sized, counts, ["_content"], "_rows", ["_n_tokens"])
     return unpack(
         joined, docs.columns, n_bytes=F.col("_n_bytes"), n_tokens=F.col("_n_tokens")
     )
