@@ -315,3 +315,21 @@ def test_reach_cuts_days_and_tokens_before_the_shuffle(spark, tmp_path):
     assert marts.resolved_reach(resolutions, 10**7, datetime(2024, 3, 1), datetime(2024, 3, 2)).keys is None
     none = marts.resolved_reach(resolutions.limit(0), 0, None, None)
     assert marts.mart_calibration(resolutions.limit(0), prices, none).count() == 0
+
+
+def test_exploded_days_are_never_broadcast(spark):
+    """Spark takes an explode for as small as its input: thirty days of many tokens went to the driver."""
+    resolutions = spark.createDataFrame(
+        [("m0", "t0", "yes", datetime(2024, 3, 1, 12), 1.0)],
+        "market_id string, yes_token_id string, outcome string, resolved_at timestamp, volume_usd double",
+    )
+    prices = spark.createDataFrame(
+        [("t0", datetime(2024, 2, 29), datetime(2024, 2, 29).date(), 0.5, 60)],
+        "token_id string, price_ts timestamp, price_date date, price double, fidelity_minutes long",
+    )
+    for mart in (marts.mart_calibration, marts.mart_price_dynamics):
+        df = mart(resolutions, prices)
+        assert "SortMergeJoin" in plan_of(df) and "BroadcastExchange" not in plan_of(df)
+        assert df.count() == 1
+    parent = prices.select("token_id")
+    assert "BroadcastExchange" not in plan_of(quality.orphan_counts(prices, parent, "token_id"))
