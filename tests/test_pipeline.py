@@ -415,3 +415,20 @@ def test_calibration_is_ordered(built):
     mart = marts.mart_calibration(t["fct_resolutions"], t["fct_prices"])
     keys = [(r.horizon_hours, r.price_bucket) for r in mart.collect()]
     assert keys == sorted(keys)
+
+
+def test_a_payload_is_parsed_once_and_comes_back(spark, tmp_path):
+    """Odd payloads through landing: JSON in its place, anything else as text."""
+    whole = ['{"a":1}', "1", "null", '"x"', "[1]", '{"a":\n[2,\r\n3]}']
+    texts = ["", "  ", "1, 2", "abc", "{'a':1}", '{"a":1,"a":2}', '{"a":', '{"a":NaN}', "01"]
+    raw = spark.createDataFrame([(p,) for p in [*whole, *texts, None]], "payload string")
+    rows = landing.with_lineage(raw, "r", "s", F.to_timestamp(F.lit("2024-01-31")))
+    lines = rows.select("payload", landing.json_line(rows).alias("line"))
+    assert "from_json" not in plan_of(lines)
+    got = {r.payload: r.line for r in lines.collect()}
+    assert not any("\n" in x or "\r" in x for x in got.values())
+    for p in whole:
+        assert json.loads(got[p])["payload"] == json.loads(p)
+    for p in texts:
+        assert json.loads(got[p])["payload"] == p
+    assert json.loads(got[None])["payload"] is None and json.loads(got["1"])["_run_id"] == "r"
