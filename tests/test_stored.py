@@ -1,0 +1,48 @@
+"""What the queries store on their way."""
+
+from datetime import datetime, timedelta
+
+import pytest
+
+import __spark_entry__ as contract
+from marketlake.registry import core, history, quality
+from marketlake.session import stored
+
+
+@pytest.fixture()
+def sf_dir(spark, tmp_path):
+    """Orders and events of their own."""
+    start = datetime(1998, 1, 1)
+    orders = [(i, i % 12, "FOP"[i % 3], 100.0 + i, start + timedelta(days=i), "5-LOW") for i in range(60)]
+    spark.createDataFrame(
+        orders,
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    start = datetime(2024, 1, 1)
+    events = [(i, start + timedelta(hours=i), i % 12, "view", float(i)) for i in range(60)]
+    spark.createDataFrame(
+        events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+@pytest.fixture()
+def kept(monkeypatch):
+    """Columns of every table that the queries store."""
+    seen = []
+    for module in (core, history, quality):
+        monkeypatch.setattr(module, "stored", lambda df: seen.append(df.columns) or stored(df))
+    return seen
+
+
+@pytest.mark.parametrize("key", ["markets_scd2", "markets_scd2_incremental", "scd2_as_of"])
+def test_a_history_stores_what_it_tracks(spark, sf_dir, kept, key):
+    assert contract.queries()[key](spark, sf_dir).count() > 0
+    assert kept and not any("yes_token_id" in columns for columns in kept)
+
+
+def test_uniqueness_stores_no_mart(spark, sf_dir, kept):
+    found = {r["name"]: r["failures"] for r in contract.queries()["dq_unique"](spark, sf_dir).collect()}
+    assert len(found) == 7 and not any(found.values())
+    assert len(kept) == 2  # the staged markets and prices, which several checks read
