@@ -7,8 +7,11 @@ below which the worse label's share of documents lies; scores are reported as a
 that passes through `cut` at that quantile.
 
 Features come from the text alone. Scale: one narrow pass makes the features, without a shuffle.
-The fit uses a bounded, documented sample of labelled rows per label (`sample_rows`) and so many
-pairs (`pairs`), whatever the size of the corpus; every document is scored, by an expression.
+Every labelled training row is fitted. Few rows (`driver_rows` of each label) are fitted at the
+driver, on `pairs` preferences drawn from them. More stay in Spark, where every pair of a better and
+a worse row counts: tasks sum their rows by label and score, and as all rows of a score are preferred
+alike, Newton's steps need these sums alone. The cut is an order statistic of all training scores.
+Every document is scored, by an expression.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,13 +134,17 @@ class Ranker:
 
     def score(self, features: Column) -> Column:
         """The score of a feature array, as an expression."""
+        return 1 / (1 + F.exp(-self.linear(features)))
+
+    def linear(self, features: Column) -> Column:
+        """w.z - offset, as an expression."""
         total = F.lit(-self.offset)
         for i, (m, s, w) in enumerate(zip(self.mean, self.scale, self.weights)):
             z = F.greatest(
                 F.lit(-self.clip), F.least(F.lit(self.clip), (features[i] - m) / F.lit(s))
             )
             total = total + F.lit(w) * z
-        return 1 / (1 + F.exp(-total))
+        return total
 
 
 def fit_pairs(better: np.ndarray, worse: np.ndarray, pairs: int, ridge: float, seed: int):
@@ -207,6 +216,109 @@ def fit(
     return Ranker(mean.tolist(), scale.tolist(), weights.tolist(), float(threshold - at_cut))
 
 
+# Width of a score's bin in a fit of all pairs: rows of one bin are taken at their mean score.
+BIN = 1 / 16
+
+
+def binned_sums(rows: DataFrame, unit: Ranker, weights: np.ndarray) -> list:
+    """(_label, _bin, sums) of all rows: sums of 1, score, z and z z' in each bin of the score.
+
+    A score is at most `clip` times the sum of the absolute weights, so the bins are few however
+    many rows there are.
+    """
+    k = len(weights)
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            x = np.array(batch["_features"].tolist(), dtype=float).reshape(-1, k)
+            z = np.clip((x - unit.mean) / unit.scale, -unit.clip, unit.clip)
+            scores = z @ weights
+            keys = np.stack([batch["_label"].to_numpy(), np.floor(scores / BIN).astype(np.int64)])
+            found, at = np.unique(keys, axis=1, return_inverse=True)
+            for i, (label, place) in enumerate(found.T.tolist()):
+                mine = np.flatnonzero(at.ravel() == i)
+                part = np.concatenate(
+                    [[len(mine), scores[mine].sum()], z[mine].sum(axis=0), (z[mine].T @ z[mine]).ravel()]
+                )
+                before = totals.get((label, place))
+                totals[label, place] = part if before is None else before + part
+        names = ["_label", "_bin", "_sums"]
+        yield pd.DataFrame([(*key, v.tolist()) for key, v in totals.items()], columns=names)
+
+    parts = rows.select("_label", "_features").mapInPandas(
+        summed, "_label long, _bin long, _sums array<double>"
+    )
+    total = vector_to_array(Summarizer.sum(array_to_vector("_sums"))).alias("sums")
+    return parts.groupBy("_label", "_bin").agg(total).collect()
+
+
+def newton_step(sums: list, w: np.ndarray, ridge: float) -> np.ndarray:
+    """One step of Newton's method on the mean loss of all pairs, from the sums of the bins."""
+    k = len(w)
+    n, score, z, square = {}, {}, {}, {}
+    for label in (0, 1):
+        mine = np.array([r["sums"] for r in sums if r["_label"] == label])
+        n[label], score[label] = mine[:, 0], mine[:, 1] / mine[:, 0]
+        z[label], square[label] = mine[:, 2 : 2 + k], mine[:, 2 + k :].reshape(-1, k, k)
+    p = 1 / (1 + np.exp(-np.clip(score[1][:, None] - score[0][None, :], -30, 30)))
+    pairs = n[0].sum() * n[1].sum()
+    gradient = (z[1].T @ ((1 - p) @ n[0]) - z[0].T @ (n[1] @ (1 - p))) / pairs - ridge * w
+    curve = p * (1 - p)
+    cross = z[1].T @ curve @ z[0]
+    hessian = (
+        np.einsum("b,bij->ij", curve @ n[0], square[1])
+        + np.einsum("b,bij->ij", n[1] @ curve, square[0])
+        - cross
+        - cross.T
+    ) / pairs + ridge * np.eye(k)
+    return np.linalg.solve(hessian, gradient)
+
+
+def ranked_value(scores: DataFrame, rank: int) -> float:
+    """The value of `_s` at place `rank` (from 0) of all rows, by counts in ever smaller bins."""
+    low, high = scores.agg(F.min("_s"), F.max("_s")).head()
+    while low < high:
+        width = (high - low) / 1000
+        place = F.floor((F.col("_s") - low) / width)
+        within = scores.filter(F.col("_s").between(low, high)) if width else scores
+        bins = within.groupBy(place.alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_s").alias("lo"), F.max("_s").alias("hi")
+        )
+        for row in sorted(bins.collect(), key=lambda r: r["lo"]):
+            if rank < row["n"]:
+                if (row["lo"], row["hi"]) == (low, high):
+                    return (low + high) / 2  # no double lies between
+                low, high = row["lo"], row["hi"]
+                break
+            rank -= row["n"]
+    return low
+
+
+def fit_all(
+    rows: DataFrame, n: dict[int, int], cut: float = 0.3, ridge: float = 1e-3, rounds: int = 30, **_
+) -> Ranker:
+    """A ranker from all stored rows (_label, _features), `n` of each label, and all their pairs."""
+    k = len(FEATURES)
+    at_cut = float(np.log(cut / (1 - cut)))
+    spread = rows.agg(
+        F.array(*[F.avg(F.col("_features")[i]) for i in range(k)]).alias("mean"),
+        F.array(*[F.stddev_pop(F.col("_features")[i]) for i in range(k)]).alias("scale"),
+    ).head()
+    scale = [1.0 if v < 1e-9 else v for v in spread["scale"]]
+    unit = Ranker(spread["mean"], scale, [], 0.0)
+    w = np.zeros(k)
+    for _ in range(rounds):
+        step = newton_step(binned_sums(rows, unit, w), w, ridge)
+        w = w + step
+        if np.abs(step).max() < 1e-3:  # the bins tell no smaller ones apart
+            break
+    plain = Ranker(spread["mean"], scale, w.tolist(), 0.0)
+    scores = stored(rows.select(plain.linear(F.col("_features")).alias("_s")))
+    threshold = (ranked_value(scores, n[0] - 1) + ranked_value(scores, n[0])) / 2
+    return Ranker(spread["mean"], scale, w.tolist(), float(threshold - at_cut))
+
+
 def rank_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -215,15 +327,17 @@ def rank_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     cut: float = 0.3,
-    sample_rows: int = 10_000,
+    sample_rows: int | None = None,
     seed: int = 20,
+    driver_rows: int = 2_000,
     **options,
 ) -> DataFrame:
     """`docs` with `score` (0 to 1, higher for the better label) and `kept` (score >= `cut`).
 
-    `train` is a condition over `id_col`: labels of other rows are not read. At most `sample_rows`
-    rows of each label are fitted, by hash of id and text, and only their features come to the
-    driver; the cut quantile is the share of label 0 among all training labels. Labels, ids and all
+    `train` is a condition over `id_col`: labels of other rows are not read. All other labelled rows
+    are fitted: at the driver up to `driver_rows` of each label, in Spark beyond. Only where
+    `sample_rows` is given, so many rows of each label are, by hash of id and text. The cut quantile
+    is the share of label 0 among all training rows. Labels, ids and all
     columns but the text stay out of the features. A null text scores as an empty one. A document
     without a label, or with a null one, is scored alike; different labels or
     texts of one id are several training rows, equal ones are one. Ties of the score at the cut stay. Equal texts get equal scores. Without training rows of both labels
@@ -238,12 +352,13 @@ def rank_quality(
         .filter(F.col("_label").isin(0, 1))
         .join(texts.select("_id"), F.col("_label_id") == F.col("_id"), "left_semi")
     )
-    counts = {r["_label"]: r["count"] for r in marks.groupBy("_label").count().collect()}
-    # Bounded by the parameter: two longs for each of 2 * sample_rows rows.
-    sample = F.broadcast(sample_labels(marks, sample_rows, seed))
-    # An id may have any number of rows: one for each of its texts, and of these the bound again.
+    if sample_rows is not None:
+        # Bounded by the parameter: two longs for each of 2 * sample_rows rows.
+        counts = {r["_label"]: r["count"] for r in marks.groupBy("_label").count().collect()}
+        marks = F.broadcast(sample_labels(marks, sample_rows, seed))
+    # An id may have any number of rows: one for each of its texts.
     drawn = (
-        texts.join(sample, F.col("_id") == F.col("_label_id"))
+        texts.join(marks, F.col("_id") == F.col("_label_id"))
         .withColumn("_th", F.xxhash64(F.coalesce("_text", F.lit(""))))
         .dropDuplicates(["_label_id", "_label", "_th"])
     )
@@ -251,15 +366,22 @@ def rank_quality(
     described = stored(
         drawn.select("_label", order, text_features(F.col("_text")).alias("_features"))
     )
-    rows = bounded(described, sample_rows).toPandas().sort_values(["_label", "_order"])
-    by_label = {
-        k: np.array(rows["_features"][rows["_label"] == k].tolist(), dtype=float).reshape(
-            -1, len(FEATURES)
-        )
-        for k in (0, 1)
-    }
-    share = counts.get(0, 0) / max(1, sum(counts.values()))
-    ranker = fit(by_label, share, cut, seed=seed, **options)
+    if sample_rows is None:
+        counts = {r["_label"]: r["count"] for r in described.groupBy("_label").count().collect()}
+    n = {label: counts.get(label, 0) for label in (0, 1)}
+    most = driver_rows if sample_rows is None else sample_rows
+    if sample_rows is None and max(n.values()) > most and min(n.values()):
+        ranker = fit_all(described, n, cut, **options)
+    else:
+        # One label alone fits nothing, whatever its number of rows.
+        rows = bounded(described, most).toPandas().sort_values(["_label", "_order"])
+        by_label = {
+            k: np.array(rows["_features"][rows["_label"] == k].tolist(), dtype=float).reshape(
+                -1, len(FEATURES)
+            )
+            for k in (0, 1)
+        }
+        ranker = fit(by_label, n[0] / max(1, sum(n.values())), cut, seed=seed, **options)
     scored = docs.select(pack(docs), text_features(F.col(f"`{text_col}`")).alias("_features"))
     scored = scored.withColumn("_score", ranker.score(F.col("_features")))
     return unpack(

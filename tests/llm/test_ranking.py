@@ -149,3 +149,43 @@ def test_ties_at_the_cut_stay():
     model = ranking.fit(by, 0.5)
     raw = model.raw(by[0][:1])[0] - model.offset
     assert 1 / (1 + math.exp(-raw)) >= 0.3 - 1e-12
+
+
+def test_many_rows_are_all_fitted_in_spark(spark, monkeypatch):
+    """Beyond the driver's rows: weights are the maximum over all pairs, the cut lies behind the
+    worse rows' share of all scores."""
+    rows, labels = corpus(260)
+    rows += [(i, rows[i][1]) for i in range(20)] + [(1000, None)]
+    labels += [(i, 1 - q, t) for i, q, t in labels[:30]]  # the labels overlap
+    monkeypatch.setattr(ranking, "fit", None)
+    made, fit_all = [], ranking.fit_all
+    monkeypatch.setattr(ranking, "fit_all", lambda *a, **k: made.append(fit_all(*a, **k)) or made[-1])
+    marks = spark.createDataFrame(labels, LABELS)
+    train = F.col("doc_id") % 5 != 0
+    got = rank_quality(docs_frame(spark, rows), marks, train=train, driver_rows=20).collect()
+    assert len(got) == len(rows)
+    texts = dict(rows[:260])
+    by = {k: np.array([features(texts[i]) for i, q, _ in labels if i % 5 and q == k]) for k in (0, 1)}
+    both, model = np.vstack([by[0], by[1]]), made[0]
+    assert np.allclose(model.mean, both.mean(axis=0))
+    spread = both.std(axis=0)
+    assert np.allclose(model.scale, np.where(spread < 1e-9, 1.0, spread))
+    z = {k: np.clip((x - model.mean) / model.scale, -4, 4) for k, x in by.items()}
+    diff = (z[1][:, None, :] - z[0][None, :, :]).reshape(-1, len(FEATURES))
+    w = np.array(model.weights)
+    gradient = diff.T @ (1 / (1 + np.exp(diff @ w))) / len(diff) - 1e-3 * w
+    assert np.abs(gradient).max() < 2e-3
+    both_scores = np.concatenate([z[0] @ w, z[1] @ w])
+    raw = np.sort(both_scores)
+    n = len(by[0])
+    assert abs((raw[n - 1] + raw[n]) / 2 - (model.offset + math.log(0.3 / 0.7))) < 1e-9
+    kept = 1 / (1 + np.exp(model.offset - both_scores)) >= 0.3
+    assert abs(int((~kept).sum()) - n) <= 1
+
+
+def test_ranked_values_with_ties(spark):
+    rng = random.Random(2)
+    values = [rng.choice([0.0, 1e-300, 0.1, 0.1 + 1e-16, 5.0, -3.0, rng.random()]) for _ in range(500)]
+    scores = spark.createDataFrame([(v,) for v in values], "_s double")
+    for rank in (0, 1, 137, 250, 498, 499):
+        assert ranking.ranked_value(scores, rank) == sorted(values)[rank]
