@@ -14,6 +14,9 @@ document; a band in which one has too few is keyed by single elements too, for w
 always holds. Not all pairs of a key are formed: each document is checked against leaders of its
 keys first. Only where documents of one key remain in different components are they checked
 against the largest of these components, and then the pairs that are left enumerated, in blocks.
+Before that, documents of crowded keys are keyed again with those keys last in the order, so that a
+passage that many documents share does not make pairs of them all; one of several keys with the
+same documents is enumerated.
 
 Scale: equal sets within a task emit their keys once, and equal keys within a batch are linked to a
 local leader there, so a key shared by a third of all documents arrives as one row per batch. Keys
@@ -24,6 +27,7 @@ and texts are read again only for what these let through. Nothing but the list o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +52,11 @@ SPARE = 1.28
 BLOCK = 1024
 # Rounds that join the largest components of the keys before the rest is enumerated.
 BRIDGES = 1
+# Keys of so many documents are put last in the order of keys before pairs are enumerated: so many
+# keys a round at most, in so many rounds. Those that are left are enumerated as they are.
+CROWD = 128
+CROWDED = 50_000
+ROUNDS = 2
 
 U = np.uint64
 
@@ -146,26 +155,37 @@ PROFILE = [
 ]
 
 
-def document_keys(elements: np.ndarray, percent: int, exact_levels=None):
+def leading(keys: np.ndarray, count: int, late: np.ndarray) -> np.ndarray:
+    """The first `count` keys: the smallest, but any of `late` (sorted) only after all others."""
+    if len(late):
+        is_late = late[np.minimum(np.searchsorted(late, keys), len(late) - 1)] == keys
+        others = keys[~is_late]
+        if len(others) < count:
+            return np.r_[others, leading(keys[is_late], count - len(others), late[:0])]
+        keys = others
+    return np.partition(keys, count - 1)[:count] if len(keys) > count else keys
+
+
+def document_keys(elements: np.ndarray, percent: int, exact_levels=None, late=np.empty(0, U)):
     """(keys of a set, levels where its keys are too few to be sure of a common one).
 
-    Of each level the smallest keys, one more than may differ. With `exact_levels` only those
-    levels count, and single elements are the keys.
+    Of each level the first keys, one more than may differ, by size and those in `late` last. With
+    `exact_levels` only those levels count, and single elements are the keys.
     """
     keys, thin = [np.empty(0, U)], []
     for level, most in levels(len(elements), percent) if len(elements) else []:
         if exact_levels is not None and level not in exact_levels:
             continue
         found = level_keys(elements, level, percent, exact_levels is not None)
-        if len(found) > most + 1:
-            found = np.partition(found, most)[: most + 1]
-        elif len(found) <= most:
+        if len(found) <= most:
             thin.append(level)
-        keys.append(found)
+        keys.append(leading(found, most + 1, late))
     return np.concatenate(keys), thin
 
 
-def profiler(size: int, percent: int, exact_levels: frozenset[int] | None = None):
+def profiler(
+    size: int, percent: int, exact_levels: frozenset[int] | None = None, late=np.empty(0, U)
+):
     """mapInArrow: _id, _text -> id and the columns of PROFILE."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +194,7 @@ def profiler(size: int, percent: int, exact_levels: frozenset[int] | None = None
             for text in batch.column("_text").to_pylist():
                 elements = shingles(text, size)
                 digest = xxhash.xxh3_128_digest(elements.tobytes())
-                keys, thin = document_keys(elements, percent, exact_levels)
+                keys, thin = document_keys(elements, percent, exact_levels, late)
                 row = (
                     len(elements), *np.frombuffer(digest, np.int64).tolist(),
                     *brief(elements), sketch(elements), keys.view(np.int64), thin,
@@ -264,7 +284,7 @@ def within(n_a: Column, n_b: Column, side_a: str, side_b: str, percent: int) ->
     for name in BRIEFS:
         distance = distance + F.bit_count(F.col(side_a + name).bitwiseXOR(F.col(side_b + name)))
     sizes = percent * F.greatest(n_a, n_b) <= 100 * smaller
-    return sizes & (distance * percent <= (100 - percent) * smaller)
+    return sizes & (distance * (100 + percent) <= (100 - percent) * (n_a + n_b))
 
 
 def side(classes: DataFrame, rep: str, n: str, prefix: str) -> DataFrame:
@@ -290,7 +310,8 @@ def apart(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column, percent:
         lambda total, x: total + x,
     )
     sizes = percent * F.greatest(n_a, n_b) <= 100 * smaller
-    return F.when(sizes, F.when(distance * percent <= (100 - percent) * smaller, distance))
+    alike = distance * (100 + percent) <= (100 - percent) * (n_a + n_b)
+    return F.when(sizes, F.when(alike, distance))
 
 
 class ParityJoin:
@@ -299,15 +320,18 @@ class ParityJoin:
     def __init__(self, rows: DataFrame, size: int, percent: int):
         self.rows, self.size, self.percent = rows, size, percent
         self.id_type = rows.schema["_id"].dataType
+        self.exact: frozenset[int] = frozenset()  # levels keyed by single elements too
 
     def schema(self, *fields: tuple[str, T.DataType]) -> T.StructType:
         return T.StructType([T.StructField(*field) for field in fields])
 
-    def profiles(self, exact_levels: frozenset[int] | None = None) -> DataFrame:
+    def profiles(
+        self, exact_levels: frozenset[int] | None = None, rows=None, late=np.empty(0, U)
+    ) -> DataFrame:
         """id and the columns of PROFILE for each row."""
         fields = [(name, kind) for name, _, kind in PROFILE]
-        return self.rows.mapInArrow(
-            profiler(self.size, self.percent, exact_levels),
+        return (self.rows if rows is None else rows).mapInArrow(
+            profiler(self.size, self.percent, exact_levels, late),
             self.schema(("id", self.id_type), *fields),
         )
 
@@ -383,9 +407,41 @@ class ParityJoin:
             .select("id", "leader")
         )
         open_keys = stored(members.join(stored(split), ["id", "leader"]).select("key").distinct())
-        kept = members.join(open_keys, "key", "left_semi")
-        both = kept.select("key", "id").union(kept.select("key", F.col("leader").alias("id")))
-        return both.join(reps, "id").select("key", "rep").distinct()
+        return holders(members.join(open_keys, "key", "left_semi"), reps)
+
+    def uncrowded(self, members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
+        """key, rep: members of keys that stand in for `members`, with fewer documents to a key.
+
+        Linked documents have a common key in whatever order the keys are taken, if it is the same
+        for all. So crowded keys, those of passages that many documents share, are put last, and
+        their documents take the next ones of their own instead. These documents alone are keyed
+        again, among themselves: a linked pair with a document that has no crowded key has a common
+        key that is not crowded. A document without other keys left keeps its crowded ones.
+        """
+        late, parts = np.empty(0, U), []
+        for _ in range(ROUNDS):
+            counted = with_component(members, found).groupBy("key").agg(
+                F.count("*").alias("_n"),
+                F.min("component").alias("_least"),
+                F.max("component").alias("_most"),
+            )
+            crowded = counted.filter((F.col("_n") >= CROWD) & (F.col("_least") != F.col("_most")))
+            listed = crowded.orderBy(F.desc("_n"), "key").limit(CROWDED).collect()
+            fresh = np.setdiff1d(np.array([row["key"] for row in listed], np.int64).view(U), late)
+            if not len(fresh):
+                break
+            late = np.union1d(late, fresh)
+            keys = members.sparkSession.createDataFrame(
+                [(key,) for key in fresh.view(np.int64).tolist()], "key long"
+            )
+            parts.append(members.join(keys, "key", "left_anti"))
+            again = stored(members.join(keys, "key", "left_semi").select("rep").distinct())
+            rows = self.rows.join(again, F.col("_id") == F.col("rep"), "left_semi")
+            keyed = self.profiles(None, rows, late)
+            if self.exact:
+                keyed = keyed.unionByName(self.profiles(self.exact, rows, late))
+            members = stored(holders(self.memberships(keyed), reps))
+        return reduce(DataFrame.union, [*parts, members]).distinct() if parts else members
 
     def bridges(self, members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
         """Pairs between the largest component of each key and the key's other documents.
@@ -423,16 +479,23 @@ class ParityJoin:
     def enumerated(self, members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
         """All pairs of one key and of different components that sizes and sketches allow.
 
-        Members of a key are dealt into blocks, and each block meets each block of its key, itself
+        Of keys with the same members, told by two hashes of them, one is taken. Members of a key are dealt into blocks, and each block meets each block of its key, itself
         included, in a place of its own.
         """
         placed = with_component(members, found)
         mixed = placed.groupBy("key").agg(
-            F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("_blocks"),
+            F.count("*").alias("_n"),
+            F.bit_xor(F.xxhash64("rep")).alias("_x"),
+            F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("_y"),
             F.min("component").alias("_least"),
             F.max("component").alias("_most"),
         )
-        mixed = stored(mixed.filter(F.col("_least") != F.col("_most")).select("key", "_blocks"))
+        mixed = stored(
+            mixed.filter(F.col("_least") != F.col("_most"))
+            .groupBy("_n", "_x", "_y")
+            .agg(F.min("key").alias("key"))
+            .select("key", F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int").alias("_blocks"))
+        )
         sized = placed.join(mixed, "key").join(classes.drop("f1", "f2", "sketch"), "rep")
         dealt = sized.withColumn(
             "_block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
@@ -477,8 +540,8 @@ class ParityJoin:
         keyed = profiles
         thin = filled.select(F.explode("thin").alias("level")).distinct().collect()
         if thin:  # at most one level for each power of two
-            exact = frozenset(row["level"] for row in thin)
-            keyed = keyed.unionByName(stored(self.profiles(exact)))
+            self.exact = frozenset(row["level"] for row in thin)
+            keyed = keyed.unionByName(stored(self.profiles(self.exact)))
         members = stored(self.memberships(keyed))
 
         # Each document is checked against the leader that seems nearest, from either side.
@@ -506,6 +569,8 @@ class ParityJoin:
         for step in [self.bridges] * BRIDGES + [self.enumerated]:
             if not n_open:
                 break
+            if step == self.enumerated:
+                open_members = stored(self.uncrowded(open_members, reps, found))
             pairs, (n_pairs,) = stored_counting(step(open_members, classes, found))
             if not n_pairs:
                 continue
@@ -518,6 +583,12 @@ class ParityJoin:
         )
 
 
+def holders(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """key, rep: all documents of each key, leaders included, by their classes."""
+    both = members.select("key", "id").union(members.select("key", F.col("leader").alias("id")))
+    return both.join(reps, "id").select("key", "rep").distinct()
+
+
 def with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Rows with `rep` and the component it is in so far, its own if it has no link."""
     return rows.join(found.select("node", "component"), F.col("rep") == F.col("node"), "left").select(

@@ -50,6 +50,53 @@ def test_contested_keys(spark, monkeypatch):
     check(spark, rows)
 
 
+def boilerplate_rows(n=60):
+    """Documents with one passage in common, half of them with a near copy, one a copy of it alone."""
+    rng = random.Random(11)
+    passage = random_words(rng, 40)
+    rows = []
+    for i in range(n):
+        own = random_words(rng, rng.choice([300, 340]), 10**6)
+        rows.append((2 * i, " ".join(own + passage)))
+        if i % 2:
+            rows.append((2 * i + 1, " ".join(["z"] + own[1:] + passage)))
+    return [*rows, (1000, " ".join(passage))]
+
+
+def test_a_shared_passage_makes_no_crowd(spark, monkeypatch):
+    """Pairs are enumerated by keys of few documents, though all of them share a passage."""
+    monkeypatch.setattr(pj, "CROWD", 8)
+    crowds, enumerated = [], pj.ParityJoin.enumerated
+
+    def watched(self, members, classes, found):
+        crowds.append(max((r["count"] for r in members.groupBy("key").count().collect()), default=0))
+        return enumerated(self, members, classes, found)
+
+    monkeypatch.setattr(pj.ParityJoin, "enumerated", watched)
+    check(spark, boilerplate_rows())
+    assert crowds and crowds[0] < 8
+
+
+@pytest.mark.parametrize("rounds, crowded", [(1, 3), (3, 5), (3, 10**5)])
+def test_crowded_keys_lose_no_link(spark, monkeypatch, rounds, crowded):
+    """Without links found before, whatever part of the crowded keys is put last."""
+    monkeypatch.setattr(pj, "CROWD", 2)
+    monkeypatch.setattr(pj, "CROWDED", crowded)
+    monkeypatch.setattr(pj, "ROUNDS", rounds)
+    monkeypatch.setattr(pj, "BRIDGES", 0)
+    check(spark, boilerplate_rows(20) + [(2000 + i, t) for i, t in enumerate(near_copies(2)[:120])])
+
+
+@pytest.mark.parametrize("n_late", [0, 1, 40, 100])
+def test_leading_keys(n_late):
+    rng = np.random.default_rng(n_late)
+    keys = np.unique(rng.integers(0, 2**64, 100, np.uint64))
+    late = np.sort(np.r_[rng.permutation(keys)[:n_late], rng.integers(0, 2**64, 5, np.uint64)])
+    order = sorted(rng.permutation(keys), key=lambda k: (k in late, k))
+    for count in (1, 30, 99, 100, 120):
+        assert set(pj.leading(rng.permutation(keys), count, late)) == set(order[:count])
+
+
 def test_edge_rows(spark):
     rows = [(0, None), (1, ""), (2, " \n"), (3, "a"), (4, "A"), (None, "a"), (5, "a"), (5, "b c"),
             (6, "b C"), (7, "x " * 3000), (8, "x " * 4000)]
