@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from marketlake.session import shared_dir, stored
 
-__all__ = ["HEAVIEST", "ascii_lower", "heavy_lookup", "pack", "row_key", "shared_dir", "stored",
-           "stored_counting", "text_or_empty", "tune_arrow", "unpack", "words"]
+__all__ = ["HEAVIEST", "LISTED", "ascii_lower", "heavy_lookup", "listed", "pack", "row_key",
+           "shared_dir", "stored", "stored_counting", "text_or_empty", "tune_arrow", "unpack", "words"]
 
 # ASCII white space, as in the class [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\f\r"
@@ -28,10 +28,23 @@ def stored_counting(df: DataFrame, *conditions: Column) -> tuple[DataFrame, list
     return table, [seen.get(f"n{i}") or 0 for i in range(len(counts))]
 
 
-def tune_arrow(spark: SparkSession) -> None:
+# Keys that `listed` broadcasts, at most.
+LISTED = 1_000_000
+
+
+def listed(keys: DataFrame) -> DataFrame:
+    """`keys`, stored, to pick rows by a semi or anti join: broadcast if there are few of them.
+
+    So the rows, which may be long, are not shuffled for it. More keys are left to Spark.
+    """
+    table, (n,) = stored_counting(keys)
+    return F.broadcast(table) if n <= LISTED else table
+
+
+def tune_arrow(spark: SparkSession, rows: int = 2000, mb: int = 16) -> None:
     """Arrow batches bounded by rows and bytes, so that very long texts do not pile up in one."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
 def ascii_lower(col: Column) -> Column:

@@ -21,7 +21,8 @@ same documents is enumerated.
 Scale: equal sets within a task emit their keys once, and equal keys within a batch are linked to a
 local leader there, so a key shared by a third of all documents arrives as one row per batch. Keys
 are shuffled once as two or three longs; pairs carry sketches of a fixed size, and whole sketches
-and texts are read again only for what these let through. Nothing but the list of bands (at most 64) comes to the driver.
+and texts are read again only for what these let through. Texts are picked by a broadcast of their
+ids, so others are not shuffled. Nothing but the list of bands (at most 64) comes to the driver.
 """
 
 from __future__ import annotations
@@ -36,13 +37,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.llm.common import stored, stored_counting, text_or_empty, tune_arrow
+from marketlake.llm.common import listed, stored, stored_counting, text_or_empty, tune_arrow
 from marketlake.llm.components import components
 
 # Documents of fewer shingles are keyed by single elements; bands are powers of two.
 SMALL_BAND = 6
-# Bits of a sketch over the least size of its band.
-SKETCH_BITS = 8
+# Bits of a sketch over the least size of its band. Sets that differ by a third more than linked
+# ones may are told apart by so few; pairs carry them through a shuffle.
+SKETCH_BITS = 2
 # Words of the brief sketch, which goes along with pairs; the others are looked up for what it lets
 # through.
 BRIEF = 8
@@ -125,10 +127,11 @@ def levels(size: int, percent: int) -> list[tuple[int, int]]:
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
-    """Parity bits, four to eight for each element, as 64-bit words.
+    """Parity bits, one to two for each element, as 64-bit words.
 
-    With so many bits few differences meet on one, so the distance is close to their number. The
-    number of bits is a power of two: a sketch folds to half its size by XOR of its halves.
+    Linked sets differ by a quarter of their elements at most, so few differences meet on one bit
+    and the distance is close to their number. The number of bits is a power of two: a sketch folds
+    to half its size by XOR of its halves.
     """
     bits = max(64, SKETCH_BITS << band(len(elements))) if len(elements) else 64
     flips = np.bincount((elements & U(bits - 1)).astype(np.int64), minlength=bits) & 1
@@ -325,27 +328,27 @@ class ParityJoin:
     def schema(self, *fields: tuple[str, T.DataType]) -> T.StructType:
         return T.StructType([T.StructField(*field) for field in fields])
 
-    def profiles(
-        self, exact_levels: frozenset[int] | None = None, rows=None, late=np.empty(0, U)
-    ) -> DataFrame:
+    def profiles(self, exact_levels: frozenset[int] | None = None) -> DataFrame:
         """id and the columns of PROFILE for each row."""
         fields = [(name, kind) for name, _, kind in PROFILE]
-        return (self.rows if rows is None else rows).mapInArrow(
-            profiler(self.size, self.percent, exact_levels, late),
+        return self.rows.mapInArrow(
+            profiler(self.size, self.percent, exact_levels),
             self.schema(("id", self.id_type), *fields),
         )
 
-    def memberships(self, profiles: DataFrame) -> DataFrame:
+    def dealt(self, rows: DataFrame, deal) -> DataFrame:
+        """The rows of `deal_keys`, or of a function that ends in it."""
+        fields = [("key", T.LongType()), ("salt", T.LongType())]
+        ids = [("id", self.id_type), ("leader", self.id_type)]
+        return rows.mapInArrow(deal, self.schema(*fields, *ids))
+
+    def keyed_again(self, rows: DataFrame, exact_levels, late: np.ndarray) -> DataFrame:
+        """The keys of `rows` with `late` last, dealt by the worker that makes them."""
+        profile = profiler(self.size, self.percent, exact_levels, late)
+        return self.dealt(rows, lambda batches: deal_keys(profile(batches)))
+
+    def memberships(self, keyed: DataFrame) -> DataFrame:
         """key, id, leader: documents that share a key, each with another of that key."""
-        keyed = profiles.select("id", "f1", "f2", "keys").mapInArrow(
-            deal_keys,
-            self.schema(
-                ("key", T.LongType()),
-                ("salt", T.LongType()),
-                ("id", self.id_type),
-                ("leader", self.id_type),
-            ),
-        )
         same = Window.partitionBy("key", "salt")
         led = keyed.select(
             "key", "id", F.coalesce("leader", F.min("id").over(same)).alias("leader")
@@ -354,7 +357,7 @@ class ParityJoin:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked, by their texts."""
-        wanted = stored(pairs.select("a").union(pairs.select("b")).distinct())
+        wanted = listed(pairs.select("a").union(pairs.select("b")).distinct())
         texts = self.rows.join(wanted, F.col("_id") == F.col("a"), "left_semi")
         first = texts.select(F.col("_id").alias("a"), F.col("_text").alias("text_a"))
         second = texts.select(F.col("_id").alias("b"), F.col("_text").alias("text_b"))
@@ -426,8 +429,8 @@ class ParityJoin:
                 F.max("component").alias("_most"),
             )
             crowded = counted.filter((F.col("_n") >= CROWD) & (F.col("_least") != F.col("_most")))
-            listed = crowded.orderBy(F.desc("_n"), "key").limit(CROWDED).collect()
-            fresh = np.setdiff1d(np.array([row["key"] for row in listed], np.int64).view(U), late)
+            worst = crowded.orderBy(F.desc("_n"), "key").limit(CROWDED).collect()
+            fresh = np.setdiff1d(np.array([row["key"] for row in worst], np.int64).view(U), late)
             if not len(fresh):
                 break
             late = np.union1d(late, fresh)
@@ -435,12 +438,12 @@ class ParityJoin:
                 [(key,) for key in fresh.view(np.int64).tolist()], "key long"
             )
             parts.append(members.join(keys, "key", "left_anti"))
-            again = stored(members.join(keys, "key", "left_semi").select("rep").distinct())
+            again = listed(members.join(keys, "key", "left_semi").select("rep").distinct())
             rows = self.rows.join(again, F.col("_id") == F.col("rep"), "left_semi")
-            keyed = self.profiles(None, rows, late)
+            keyed = self.keyed_again(rows, None, late)
             if self.exact:
-                keyed = keyed.unionByName(self.profiles(self.exact, rows, late))
-            members = stored(holders(self.memberships(keyed), reps))
+                keyed = keyed.union(self.keyed_again(rows, self.exact, late))
+            members = stored(holders(stored(self.memberships(keyed)), reps))
         return reduce(DataFrame.union, [*parts, members]).distinct() if parts else members
 
     def bridges(self, members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -542,6 +545,7 @@ class ParityJoin:
         if thin:  # at most one level for each power of two
             self.exact = frozenset(row["level"] for row in thin)
             keyed = keyed.unionByName(stored(self.profiles(self.exact)))
+        keyed = self.dealt(keyed.select("id", "f1", "f2", "keys"), deal_keys)
         members = stored(self.memberships(keyed))
 
         # Each document is checked against the leader that seems nearest, from either side.
@@ -617,7 +621,7 @@ def jaccard_classes(
     """
     if not 75 <= percent <= 100:
         raise ValueError("percent must be 75 to 100")
-    tune_arrow(docs.sparkSession)
+    tune_arrow(docs.sparkSession, 500, 4)  # keys and sketches of a batch add to its texts
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
     result = ParityJoin(rows.filter(F.col("_id").isNotNull()), size, percent)
     known = result.run()

@@ -1,9 +1,12 @@
 import random
+import re
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from helpers import DOCS, brute_components, docs_frame, near_copies, random_words, shingle_set
 
+from marketlake.llm import common
 from marketlake.llm import parity_join as pj
 
 
@@ -150,3 +153,41 @@ def test_linked_sets_share_a_key_and_pass_the_sketch(size):
 def test_bands_with_too_few_keys_fall_back_to_elements(spark, monkeypatch):
     monkeypatch.setattr(pj, "SPARE", 0.5)  # far too few buckets
     check(spark, list(enumerate(near_copies(3)[:200])))
+
+
+def test_each_task_has_one_python_worker(spark, monkeypatch):
+    """Keys are made and dealt by one Python step, also where documents are keyed again."""
+    monkeypatch.setattr(pj, "CROWD", 8)
+    plans, stored = [], pj.stored
+
+    def watched(df):
+        plans.append(plan_of(df))
+        return stored(df)
+
+    monkeypatch.setattr(pj, "stored", watched)
+    again = []
+    monkeypatch.setattr(pj.ParityJoin, "uncrowded", lambda *a, f=pj.ParityJoin.uncrowded: (
+        again.append(len(plans)), f(*a))[1])
+    check(spark, boilerplate_rows())
+    assert again and any("MapInArrow" in p for p in plans[again[0] :])
+    for plan in plans:
+        tasks = re.split("Exchange|Scan", plan)  # what runs together lies between these
+        assert max(t.count("MapInArrow") for t in tasks) <= 1
+
+
+@pytest.mark.parametrize("size", [100, 300, 1000, 1023, 1024, 5000])
+def test_sketches_are_short_and_tell_sets_apart(size):
+    """Two bits an element at most; sets that differ by half of their elements are told apart."""
+    rng = np.random.default_rng(size)
+    a, b = (np.unique(rng.integers(0, 2**64, size, np.uint64)) for _ in range(2))
+    b = np.unique(np.r_[a[size // 4 :], b[: size // 4]])  # half of `size` elements differ
+    x, y = pj.sketch(a).view(pj.U), pj.sketch(b).view(pj.U)
+    assert 64 * len(x) <= 2 * size
+    distance = int(np.bitwise_count(x ^ y).sum())
+    assert distance * 180 > 20 * (len(a) + len(b))
+
+
+def test_texts_are_picked_without_a_shuffle_or_with_one(spark, monkeypatch):
+    """Beyond `LISTED` ids the texts are joined by a shuffle, with the same result."""
+    monkeypatch.setattr(common, "LISTED", 0)
+    check(spark, list(enumerate(near_copies(4)[:150])))
