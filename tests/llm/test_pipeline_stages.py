@@ -1,11 +1,12 @@
 import inspect
 
 import pytest
-from helpers import DOCS, brute_components, brute_hits, brute_line_dedup
+from conftest import plan_of
+from helpers import DOCS, brute_components, brute_hits, brute_line_dedup, docs_frame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketlake.llm import raking, ranking
+from marketlake.llm import common, raking, ranking
 from marketlake.llm.queries import fold, table
 
 SF = "/root/testdata/sf0.001"
@@ -167,3 +168,21 @@ def test_mixing_runs_few_and_small_plans(spark):
         assert status.executionsCount() - before <= len(rounds) + 20
     finally:
         raking.updated = real
+
+
+@pytest.mark.parametrize("most, shuffled", [(10**6, False), (0, True)])
+def test_texts_that_stay_are_not_shuffled(spark, monkeypatch, most, shuffled):
+    """The few ids that go are broadcast whatever Spark's own threshold; more than that are joined."""
+    monkeypatch.setattr(common, "LISTED", most)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.near_duplicates(
+            spark, docs_frame(spark, [(5, "a b"), (3, "A b"), (4, "c"), (None, "c")]), ""
+        )
+        plan = plan_of(kept)
+        assert ("SortMergeJoin" in plan) == shuffled
+        assert ("Exchange hashpartitioning" in plan) == shuffled
+        assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 4, None]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
