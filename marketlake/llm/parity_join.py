@@ -13,10 +13,11 @@ No link between classes is lost. The number of filled buckets is compared with D
 document; a band in which one has too few is keyed by single elements too, for which the argument
 always holds. Not all pairs of a key are formed: each document is checked against leaders of its
 keys first. Only where documents of one key remain in different components are they checked
-against the largest of these components, and then the pairs that are left enumerated, in blocks.
-Before that, documents of crowded keys are keyed again with those keys last in the order, so that a
-passage that many documents share does not make pairs of them all; one of several keys with the
-same documents is enumerated.
+against the largest of these components, and then the pairs that are left enumerated, in blocks:
+those outside the key's largest component with all others. Before that, documents of crowded keys,
+with many outside, are keyed again with those keys last in the order, so that a passage that many
+documents share does not make pairs of them all; one of several keys with the same documents is
+enumerated. A round of this makes no more keys than the first time.
 
 Scale: equal sets within a task emit their keys once, and equal keys within a batch are linked to a
 local leader there, so a key shared by a third of all documents arrives as one row per batch. Keys
@@ -54,9 +55,11 @@ SPARE = 1.28
 BLOCK = 1024
 # Rounds that join the largest components of the keys before the rest is enumerated.
 BRIDGES = 1
-# Keys of so many documents are put last in the order of keys before pairs are enumerated: so many
-# keys a round at most, in so many rounds. Those that are left are enumerated as they are.
-CROWD = 128
+# Keys of so many documents are put last in the order of keys before pairs are enumerated, unless one
+# component holds at least half and fewer than these are outside it: so many keys a round at most, in
+# so many rounds. Those that are left are enumerated as they are. A key that is not put last has
+# fewer than CROWD pairs to compare for each document.
+CROWD = 1024
 CROWDED = 50_000
 ROUNDS = 2
 
@@ -423,13 +426,9 @@ class ParityJoin:
         """
         late, parts = np.empty(0, U), []
         for _ in range(ROUNDS):
-            counted = with_component(members, found).groupBy("key").agg(
-                F.count("*").alias("_n"),
-                F.min("component").alias("_least"),
-                F.max("component").alias("_most"),
-            )
-            crowded = counted.filter((F.col("_n") >= CROWD) & (F.col("_least") != F.col("_most")))
-            worst = crowded.orderBy(F.desc("_n"), "key").limit(CROWDED).collect()
+            keys = parted(with_component(members, found)).filter(F.col("_n") >= CROWD)
+            crowded = keys.filter((F.col("_out") >= CROWD) | (2 * F.col("_out") > F.col("_n")))
+            worst = crowded.orderBy(F.desc("_out"), "key").limit(CROWDED).select("key").collect()
             fresh = np.setdiff1d(np.array([row["key"] for row in worst], np.int64).view(U), late)
             if not len(fresh):
                 break
@@ -482,46 +481,46 @@ class ParityJoin:
     def enumerated(self, members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
         """All pairs of one key and of different components that sizes and sketches allow.
 
-        Of keys with the same members, told by two hashes of them, one is taken. Members of a key are dealt into blocks, and each block meets each block of its key, itself
-        included, in a place of its own.
+        Of keys with the same members, told by two hashes of them, one is taken. One of each pair is
+        outside the key's largest component: these meet all members. Both are dealt into blocks, and
+        each block of the one meets each block of the other in a place of its own.
         """
         placed = with_component(members, found)
-        mixed = placed.groupBy("key").agg(
-            F.count("*").alias("_n"),
-            F.bit_xor(F.xxhash64("rep")).alias("_x"),
-            F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("_y"),
-            F.min("component").alias("_least"),
-            F.max("component").alias("_most"),
-        )
         mixed = stored(
-            mixed.filter(F.col("_least") != F.col("_most"))
+            parted(placed)
+            .filter(F.col("_out") > 0)
             .groupBy("_n", "_x", "_y")
-            .agg(F.min("key").alias("key"))
-            .select("key", F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int").alias("_blocks"))
-        )
+            .agg(F.min_by(F.struct("key", "_lead", "_out"), "key").alias("_k"))
+            .select(
+                "_k.key", "_k._lead",
+                F.ceil(F.col("_k._out") / F.lit(BLOCK)).cast("int").alias("_rows"),
+                F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int").alias("_blocks"),
+            )
+        )
         sized = placed.join(mixed, "key").join(classes.drop("f1", "f2", "sketch"), "rep")
-        dealt = sized.withColumn(
-            "_block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
-        )
-        others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
 
-        def half(rep: str, own: str, other: str, prefix: str) -> DataFrame:
+        def half(rows: DataFrame, rep: str, own: str, n_own: str, other: str, n_other: str,
+                 prefix: str) -> DataFrame:
             words = [F.col(b).alias(prefix + b) for b in BRIEFS]
-            return dealt.select(
-                "key", F.col("_block").alias(own), others.alias(other), F.col("rep").alias(rep),
-                F.col("component").alias(f"c_{rep}"), F.col("n").alias(f"n_{rep}"), *words,
+            return rows.select(
+                "key", F.pmod(F.xxhash64("rep"), F.col(n_own)).cast("int").alias(own),
+                F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other),
+                F.col("rep").alias(rep), F.col("component").alias(f"c_{rep}"),
+                F.col("n").alias(f"n_{rep}"), "_lead", *words,
             )
 
-        pairs = half("a", "_i", "_j", "l_").alias("l").join(
-            half("b", "_j", "_i", "r_").alias("r"),
+        outside = sized.filter(F.col("component") != F.col("_lead"))
+        pairs = half(outside, "x", "_i", "_rows", "_j", "_blocks", "l_").alias("l").join(
+            half(sized, "y", "_j", "_blocks", "_i", "_rows", "r_").alias("r"),
             (F.col("l.key") == F.col("r.key"))
             & (F.col("l._i") == F.col("r._i"))
             & (F.col("l._j") == F.col("r._j"))
-            & (F.col("a") < F.col("b"))
-            & (F.col("c_a") != F.col("c_b"))
-            & within(F.col("n_a"), F.col("n_b"), "l_", "r_", self.percent),
+            & (F.col("c_x") != F.col("c_y"))
+            & ((F.col("c_y") == F.col("r._lead")) | (F.col("x") < F.col("y")))
+            & within(F.col("n_x"), F.col("n_y"), "l_", "r_", self.percent),
         )
-        left = stored(pairs.select("a", "b").distinct())
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        left = stored(pairs.distinct())
         return self.sketched(left, classes).select("a", "b")
 
     def run(self) -> DataFrame:
@@ -600,6 +599,25 @@ def with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def parted(placed: DataFrame) -> DataFrame:
+    """key, _n, _x, _y, _lead, _out of rows (key, rep, component): its members, two hashes of them,
+    the component of most of them, and the number of those outside it.
+    """
+    parts = placed.groupBy("key", "component").agg(
+        F.count("*").alias("_c"),
+        F.bit_xor(F.xxhash64("rep")).alias("_x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("_y"),
+    )
+    most = F.max(F.struct("_c", "component"))
+    return (
+        parts.groupBy("key")
+        .agg(F.sum("_c").alias("_n"), F.bit_xor("_x").alias("_x"), F.bit_xor("_y").alias("_y"),
+             most.alias("_m"))
+        .select("key", "_n", "_x", "_y", F.col("_m.component").alias("_lead"),
+                (F.col("_n") - F.col("_m._c")).alias("_out"))
+    )
+
+
 def jaccard_classes(
     docs: DataFrame,
     id_col: str = "doc_id",

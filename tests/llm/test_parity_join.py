@@ -90,6 +90,52 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch, rounds, crowded):
     check(spark, boilerplate_rows(20) + [(2000 + i, t) for i, t in enumerate(near_copies(2)[:120])])
 
 
+def keyed_again(monkeypatch):
+    """The numbers of documents that are keyed again, filled as the join runs."""
+    counts, again = [], pj.ParityJoin.keyed_again
+
+    def watched(self, rows, exact_levels, late):
+        counts.append(rows.count())
+        return again(self, rows, exact_levels, late)
+
+    monkeypatch.setattr(pj.ParityJoin, "keyed_again", watched)
+    return counts
+
+
+def cluster_rows(n_near, n_alone, seed=13):
+    """Documents with one passage in common: near copies of one, all linked, and others."""
+    rng = random.Random(seed)
+    passage, body = random_words(rng, 200), random_words(rng, 80, 10**6)
+    near = [" ".join([f"v{i}"] + body[1:] + passage) for i in range(n_near)]
+    alone = [" ".join(random_words(rng, 80, 10**6) + passage) for _ in range(n_alone)]
+    return list(enumerate(near + alone))
+
+
+def test_one_large_component_is_not_keyed_again(spark, monkeypatch):
+    """Few others share a key with it: they are compared, and its documents keep their keys."""
+    monkeypatch.setattr(pj, "CROWD", 8)
+    counts = keyed_again(monkeypatch)
+    check(spark, cluster_rows(30, 4))
+    assert not counts
+    check(spark, cluster_rows(30, 20))  # the others are a crowd
+    assert counts
+
+
+def test_some_hundred_documents_of_a_passage_are_not_keyed_again(spark, monkeypatch):
+    """No more keys are made for 250 documents of one passage: one task can compare them."""
+    counts = keyed_again(monkeypatch)
+    check(spark, cluster_rows(0, 250))
+    assert not counts
+
+
+def test_those_outside_the_largest_component_meet_all_in_blocks(spark, monkeypatch):
+    """Without links by bridges, in many blocks of both sides; each pair once."""
+    monkeypatch.setattr(pj, "BLOCK", 3)
+    monkeypatch.setattr(pj, "BRIDGES", 0)
+    rows = cluster_rows(12, 8) + [(100 + i, t) for i, t in enumerate(near_copies(6)[:120])]
+    check(spark, rows + [(1000 + i, t) for i, t in boilerplate_rows(12)])
+
+
 @pytest.mark.parametrize("n_late", [0, 1, 40, 100])
 def test_leading_keys(n_late):
     rng = np.random.default_rng(n_late)
