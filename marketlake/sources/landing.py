@@ -69,11 +69,16 @@ def json_line(df: DataFrame) -> Column:
     return F.when(F.col("payload").isNull() | is_json, nested).otherwise(as_text)
 
 
-def land(df: DataFrame, root: str, table: str) -> bool:
+# Rows of one packed file, at most: a reader cannot share such a file between tasks.
+PACKED_ROWS = 100_000
+
+
+def land(df: DataFrame, root: str, table: str, packed: bool = False) -> bool:
     """Append lineage-stamped rows below `raw/<table>/dt=<ingest date>/run=<run id>/`.
 
     One pass: rows are counted while they are written. Returns whether there were any; an empty
-    run leaves no date folder.
+    run leaves no date folder. `packed`: as gzip files, of PACKED_ROWS at most; lines of JSON are
+    mostly field names, so that takes a small part of the disk.
     """
     counted = Observation()
     lines = df.select(
@@ -81,7 +86,11 @@ def land(df: DataFrame, root: str, table: str) -> bool:
         F.to_date("_ingested_at").alias("dt"),
         F.col("_run_id").alias("run"),
     ).observe(counted, F.count(F.lit(1)).alias("n"))
-    lines.write.mode("append").partitionBy("dt", "run").text(table_path(root, table))
+    writer = lines.write.mode("append").partitionBy("dt", "run")
+    if packed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", PACKED_ROWS)
+        writer = writer.option("zlib.compress.level", "BEST_SPEED")
+    writer.text(table_path(root, table))
     return counted.get["n"] > 0
 
 

@@ -222,17 +222,16 @@ def _move(spark: SparkSession, root: str, files: list[str], archive_dir: str) ->
             fs.rename(source, target)
 
 
-def _load_batch(
-    spark: SparkSession, table: str, target: str, batch: int, files: list[Row], result: LoadResult
-) -> list[tuple]:
-    """Load the files of one batch; (name, dt, rows, bad lines, state) of each."""
+def _write_batch(
+    spark: SparkSession, table: str, target: str, batch: int, names: list[str], *, strict: bool
+) -> dict[str, int]:
+    """Load the files; how many rows were good, and bad. `strict`: a file that breaks off raises."""
     observed = Observation()
-    names = {f["name"]: f for f in files}
     rows = (
         spark.read.schema(with_corrupt(RAW_TABLES[table]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", not strict)
         .option("recursiveFileLookup", True)
         .json([exactly(name) for name in names])
         .withColumns(
@@ -252,10 +251,29 @@ def _load_batch(
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy("load_batch", "quarantined", "ingest_date")
         .parquet(target)
     )
-    seen = observed.get
+    return observed.get
+
+
+def _load_batch(
+    spark: SparkSession, table: str, target: str, batch: int, files: list[Row], result: LoadResult
+) -> list[tuple]:
+    """Load the files of one batch; (name, dt, rows, bad lines, state) of each."""
+    names = {f["name"]: f for f in files}
+    packed = [n for n in names if COMPRESSED.search(n)]
+    # Read so that a file that breaks off fails the batch, which is then loaded over again without
+    # that: files that are whole are read once.
+    whole = bool(packed)
+    try:
+        seen = _write_batch(spark, table, target, batch, list(names), strict=whole)
+    except (PySparkException, Py4JJavaError):
+        if not whole:
+            raise
+        whole = False
+        seen = _write_batch(spark, table, target, batch, list(names), strict=False)
     result.rows += seen.get("good") or 0
     result.bad_lines += seen.get("bad") or 0
 
@@ -267,9 +285,8 @@ def _load_batch(
         .agg(F.count_if(~F.col("quarantined")).alias("good"), F.count_if("quarantined").alias("bad"))
         .collect()
     }
-    silent = [n for n, f in names.items() if n not in counted and f["length"] > 0]
-    packed = [n for n in counted if COMPRESSED.search(n)]
-    broken = set(broken_off(spark, sorted(silent + packed)))
+    suspects = {n for n, f in names.items() if n not in counted and f["length"] > 0}.union(packed)
+    broken = set() if whole else set(broken_off(spark, sorted(suspects)))
     done = []
     for name, f in names.items():
         here = counted.get(name)

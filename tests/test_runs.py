@@ -11,7 +11,9 @@ from test_pipeline import price_line, write_landed
 
 from marketlake.plans import attempts, planning
 from marketlake.plans.run_log import RunFailed, RunLog
-from marketlake.sources import events, sweeps
+from marketlake.registry import sources  # noqa: F401
+from marketlake.registry.core import QUERIES
+from marketlake.sources import events, landing, sweeps
 from marketlake.sources.schemas import RAW_CATALOG, RAW_PRICES
 from marketlake.streaming import load
 
@@ -196,6 +198,61 @@ def test_files_that_break_off_stay_named(spark, tmp_path):
     assert [n.rsplit("/", 1)[1] for n in later.left_over] == ["half.json.gz", "none.json.gz"]
 
 
+def test_whole_compressed_files_are_read_once(spark, tmp_path, monkeypatch):
+    root, house = tmp_path / "land", tmp_path / "house"
+    write_landed(root, "raw_price_history", "a", [price_line(1)])
+    folder = Path(root, "raw/raw_price_history/dt=2026-07-05")
+    (folder / "whole.json.gz").write_bytes(gzip.compress(f"{price_line(2)}\n{{broken\n".encode()))
+    (folder / "blank.json.gz").write_bytes(gzip.compress(b"\n\n"))
+    monkeypatch.setattr(load, "broken_off", lambda spark, files: pytest.fail(f"read again: {files}"))
+    done = load.load_pending(spark, str(root), str(house), strict=False)["raw_price_history"]
+    assert done.error is None and (done.rows, done.bad_lines, done.unreadable_files) == (2, 1, 0)
+    states = {n: f.state for n, f in files_of(spark, house).items()}
+    assert states == {"a.jsonl": "loaded", "whole.json.gz": "loaded", "blank.json.gz": "empty"}
+
+
+def test_packed_files_are_small_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PACKED_ROWS", 300)
+    raw = spark.range(1000).coalesce(1).selectExpr(
+        """concat('{"id":"', id, '","question":"will it be so"}') as payload"""
+    )
+    rows = landing.with_lineage(raw, "r", "s", F.to_timestamp(F.lit("2024-01-31")))
+    root, house = str(tmp_path / "land"), str(tmp_path / "house")
+    assert landing.land(rows, root, "raw_markets", packed=True)
+    files = [f for f in Path(root).rglob("part-*")]
+    lines = [len(gzip.decompress(f.read_bytes()).splitlines()) for f in files]
+    assert sorted(lines) == [100, 300, 300, 300]
+    load.load_pending(spark, root, house)
+    back = load.scan_raw(spark, load.raw_path(house, "raw_markets"), "raw_markets")
+    assert sorted(r.payload for r in back.collect()) == sorted(r.payload for r in raw.collect())
+
+
+def test_include_events_leaves_little_on_disk(spark, tmp_path):
+    """Landed and loaded, the payloads take less room than they are long: five copies of them."""
+    orders = spark.range(3000).selectExpr(
+        "id as o_orderkey", "id % 500 as o_custkey", "if(id % 2 = 0, 'F', 'O') as o_orderstatus",
+        "id / 7 + 10 as o_totalprice", "timestamp '2024-01-01' + make_interval(0, 0, 0, id % 20)"
+        " as o_orderdate", "'5-LOW' as o_orderpriority",
+    )
+    events = spark.range(1).selectExpr(
+        "id as event_id", "id as user_id", "'view' as event_type", "1.0D as value",
+        "timestamp '2024-01-01' as ts",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(base.glob("*"))
+    got = QUERIES["include_events"](spark, str(tmp_path))
+    counts = {(r["include_events"], r["table_name"]): r["count"]
+              for r in got.groupBy("include_events", "table_name").count().collect()}
+    assert counts == {(False, "raw_markets"): 3000, (True, "raw_markets"): 3000,
+                      (True, "raw_events"): 3000}
+    length = got.agg(F.sum(F.length("payload"))).first()[0] / 3
+    kept = [f for d in set(base.glob("*")) - before for f in d.rglob("part-*")]
+    assert {f.name.rsplit(".", 1)[-1] for f in kept if "/raw/" in str(f)} == {"gz"}
+    assert sum(f.stat().st_size for f in kept) < length
+
+
 def test_a_missing_file_is_no_broken_file(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         load.broken_off(spark, [f"file:{tmp_path}/gone.json.gz"])
